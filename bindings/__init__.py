@@ -1,6 +1,6 @@
 """The operators bound to the given tables, each with its SQL."""
 
-from bindings import turnstile  # noqa: F401
+from bindings import feeds, journeys, turnstile  # noqa: F401
 from bindings.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
