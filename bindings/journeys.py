@@ -362,16 +362,28 @@ def harmonize_trips(spark, sf):
     return t.harmonize_trips(*_layouts(spark, sf))
 
 
+SEEN = """
+    SELECT {key} AS station_id,
+           arg_min({name}, (started_at, {name}, {lng}, {lat})) AS station_name,
+           arg_min({lng}, (started_at, {name}, {lng}, {lat})) AS lng,
+           arg_min({lat}, (started_at, {name}, {lng}, {lat})) AS lat
+    FROM harmonized GROUP BY ALL
+"""
+piece("begun_at", SEEN.format(key="start_station_id", name="start_station_name", lng="start_lng", lat="start_lat"))
+piece("ended_at_station", SEEN.format(key="end_station_id", name="end_station_name", lng="end_lng", lat="end_lat"))
+
+
 @bind(
     "stations_of_trips",
-    """
-    SELECT DISTINCT CAST(k AS VARCHAR) AS station_id
-    FROM (SELECT l_suppkey AS k FROM lineitem UNION ALL SELECT l_partkey FROM lineitem)
-    """,
+    sql(
+        """
+        SELECT * FROM begun_at UNION ALL
+        SELECT * FROM ended_at_station WHERE station_id NOT IN (SELECT station_id FROM begun_at)
+        """
+    ),
 )
 def stations_of_trips(spark, sf):
-    stations = t.stations_of_trips(t.harmonize_trips(*_layouts(spark, sf)))
-    return stations.select("station_id")
+    return t.stations_of_trips(t.harmonize_trips(*_layouts(spark, sf)))
 
 
 @bind(

@@ -102,9 +102,8 @@ def stations_of_trips(trips: DataFrame) -> DataFrame:
 
     def side(name: str) -> DataFrame:
         cols = [f"{name}_station_name", f"{name}_lng", f"{name}_lat"]
-        tied = trips.withColumn("_tie", F.xxhash64(*[f"{name}_station_id", *cols]))
         firsts = first_non_null_per_key(
-            tied, f"{name}_station_id", cols, ["started_at", "_tie"]
+            trips, f"{name}_station_id", cols, ["started_at", *cols]
         )
         return firsts.toDF("station_id", "station_name", "lng", "lat")
 

@@ -49,9 +49,9 @@ def turnstile_raw(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def scan_turnstiles(spark: SparkSession, path: str) -> DataFrame:
+def scan_turnstiles(spark: SparkSession, path: str, glob: str = TURNSTILE_GLOB) -> DataFrame:
     """Turnstile reads under a directory, renamed, keyed and with their file name."""
-    raw = turnstile_raw(spark, f"{path}/{TURNSTILE_GLOB}")
+    raw = turnstile_raw(spark, f"{path}/{glob}")
     named = raw.withColumn("filename", F.col("_metadata.file_path"))
     return unit_keys(parse_observed_at(rename_columns(named, TURNSTILE_RAW)))
 
