@@ -1,6 +1,6 @@
 """The operators bound to the given tables, each with its SQL."""
 
-from bindings import feeds, files, journeys, turnstile  # noqa: F401
+from bindings import cells, checks, feeds, files, journeys, siting, streams, turnstile  # noqa: F401
 from bindings.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

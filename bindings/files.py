@@ -252,7 +252,9 @@ def status_documents(spark, sf) -> DataFrame:
 
 
 def _named_captures(documents: DataFrame) -> DataFrame:
-    return documents.withColumn("_file", F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit("_06-30-00.json.gz")))
+    return documents.withColumn(
+        "capture", F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit("_06-30-00"))
+    )
 
 
 STATUS_ROWS = """
@@ -288,11 +290,11 @@ STATUS_COLUMNS = [
 
 
 def capture_files(spark, sf) -> str:
-    """Status documents as compressed files. Spark names the files, so the capture
-    time travels in the directory: one per capture."""
+    """Status documents as compressed files. Spark names the files itself, so the
+    capture time stands in the directory: one per capture."""
     path = work_dir(spark, "captures")
     documents = _named_captures(status_documents(spark, sf))
-    documents.select("_file", "data").write.partitionBy("_file").option(
+    documents.select("capture", "data").write.partitionBy("capture").option(
         "compression", "gzip"
     ).json(path)
     return path
@@ -300,20 +302,17 @@ def capture_files(spark, sf) -> str:
 
 @bind("scan_station_status", STATUS_ROWS)
 def scan_station_status(spark, sf):
-    path = capture_files(spark, sf)
-    feed = spark.read.schema(schemas.STATION_STATUS + ", _file string").option("multiLine", True)
-    rows = files.status_rows(feed.json(path), F.col("_file"))
+    rows = files.scan_station_status(spark, capture_files(spark, sf))
     return rows.select(*STATUS_COLUMNS)
 
 
 @bind("flatten_status", STATUS_ROWS)
 def flatten_status(spark, sf):
     documents = _named_captures(status_documents(spark, sf))
-    texts = documents.select("_file", F.to_json(F.struct("data")).alias("text"))
-    feed = texts.select("_file", F.from_json("text", schemas.STATION_STATUS).alias("_d")).select(
-        "_file", "_d.data"
-    )
-    return files.status_rows(feed, F.col("_file")).select(*STATUS_COLUMNS)
+    texts = documents.select("capture", F.to_json(F.struct("data")).alias("text"))
+    parsed = F.from_json("text", schemas.STATION_STATUS).alias("_d")
+    feed = texts.select("capture", parsed).select("capture", "_d.data")
+    return files.status_rows(feed, F.col("capture")).select(*STATUS_COLUMNS)
 
 
 def trip_archives(spark, sf) -> DataFrame:

@@ -134,7 +134,7 @@ def edges(parts: Column) -> Column:
 
 def segments(paths: Column) -> Column:
     """Every segment of a line column."""
-    return F.flatten(F.transform(paths, path_segments))
+    return F.flatten(F.transform(paths, lambda path: path_segments(path)))
 
 
 def ring_area(ring: Column) -> Column:

@@ -159,7 +159,10 @@ def reject_null_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def filter_files_by_date(files: DataFrame, start=None, end=None, name: str = "name") -> DataFrame:
     """Files whose name holds a `yymmdd` date within [start, end], both inclusive."""
     digits = F.regexp_extract(name, r"\d{6}", 0)
-    dated = files.withColumn("file_date", F.to_date(F.try_to_timestamp(digits, F.lit("yyMMdd"))))
+    # two-digit years from 69 on belong to the last century
+    century = F.when(F.substring(digits, 1, 2) >= "69", "19").otherwise("20")
+    moment = F.try_to_timestamp(F.concat(century, digits), F.lit("yyyyMMdd"))
+    dated = files.withColumn("file_date", F.to_date(moment))
     kept = dated.filter(F.col("file_date").isNotNull())
     if start is not None:
         kept = kept.filter(F.col("file_date") >= F.lit(start).cast("date"))

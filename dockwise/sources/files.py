@@ -81,12 +81,21 @@ def scan_station_info(spark: SparkSession, path: str) -> DataFrame:
     return project_points(flat.drop("rental_methods"))
 
 
-def capture_time(file_name: Column) -> Column:
-    """Capture time from the first 19 characters of a file name, `-` allowed for `:`."""
-    text = F.substring(file_name, 1, 19)
+def capture_time(path: Column) -> Column:
+    """Capture time from the 19 characters a file name begins with, `-` allowed for `:`.
+
+    A directory so named serves too, for captures kept as one directory each.
+    """
+    named = F.regexp_extract(path, r"(\d{4}-\d\d-\d\d_\d\d[:-]\d\d[:-]\d\d)[^/]*(/[^/]*)?$", 1)
+    text = F.nullif(named, F.lit(""))
     return F.to_timestamp_ntz(F.translate(text, ":", "-"), F.lit("yyyy-MM-dd_HH-mm-ss"))
 
 
+def capture_path() -> Column:
+    """Path of the file a row comes from, its escapes resolved."""
+    return F.url_decode("_metadata.file_path")
+
+
 def status_rows(feed: DataFrame, file_name: Column, zone: str = "America/New_York") -> DataFrame:
     """Station rows of status documents, with capture and report time in parts."""
     rows = feed.select(
@@ -104,8 +113,7 @@ def scan_station_status(
 ) -> DataFrame:
     """Status captures under a directory. Colons in local file names need RawLocalFileSystem."""
     feed = spark.read.schema(STATION_STATUS).option("multiLine", True).json(path)
-    named = feed.withColumn("_file", F.col("_metadata.file_name"))
-    return status_rows(named, F.col("_file"), zone)
+    return status_rows(feed.withColumn("_file", capture_path()), F.col("_file"), zone)
 
 
 def unzip_largest(archives: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from dockwise.functions.calendar import micros_between
 from dockwise.operators.counters import DELTA_CAP, MAX_GAP_HOURS, plausible_delta
 from dockwise.operators.joins import anti_join_new
-from dockwise.sources.files import status_rows
+from dockwise.sources.files import capture_path, status_rows
 from dockwise.sources.schemas import STATION_STATUS
 
 _EPOCH = "1970-01-01 00:00:00"
@@ -132,8 +132,7 @@ def stream_status_ingest(
         .option("maxFilesPerTrigger", files_per_trigger)
         .json(source)
     )
-    named = feed.withColumn("_file", F.col("_metadata.file_name"))
-    rows = status_rows(named, F.col("_file"), zone)
+    rows = status_rows(feed.withColumn("_file", capture_path()), F.col("_file"), zone)
     return append_stream(rows, out, checkpoint, trigger)
 
 
