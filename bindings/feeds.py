@@ -105,8 +105,9 @@ COUNTS = (
     + ", ".join(
         f"count(*) FILTER ({_condition(m, op, lim)}) AS {c}" for c, _, m, op, lim in s.AVAILABILITY
     )
-    + ", round(avg(perc_capacity_available), 3) AS avg_perc_capacity_available"
-    ", round(avg(perc_enabled_available), 3) AS avg_perc_enabled_available"
+    + ", round(avg(CAST(perc_capacity_available AS DECIMAL(18, 12))), 3)"
+    " AS avg_perc_capacity_available"
+    ", round(avg(CAST(perc_enabled_available AS DECIMAL(18, 12))), 3) AS avg_perc_enabled_available"
     " FROM period_reports GROUP BY period, station_id"
 )
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from bindings.journeys import _layouts
 from bindings.registry import bind, lookup, sql, table
+from dockwise.functions.calendar import micros_between
 from dockwise.operators import clean
 from dockwise.operators.grid import Region, bin_sum
 from dockwise.session import work_dir
@@ -165,11 +166,11 @@ def scan_transit_stations(spark, sf):
     return _feet(files.scan_transit_stations(spark, path, raw.columns))
 
 
-def _feed_batches(rows: DataFrame, key: str) -> DataFrame:
-    """Station documents: the rows of each key as one feed."""
-    return rows.groupBy(key).agg(F.collect_list("station").alias("stations")).select(
-        key, F.struct("stations").alias("data")
-    )
+def _feed_batches(rows: DataFrame, number: str, *keys: str) -> DataFrame:
+    """Station documents of at most 200 stations, `number` being unique."""
+    batch = F.expr(f"{number} div 200").alias("_batch")
+    feeds = rows.groupBy(*keys, batch).agg(F.collect_list("station").alias("stations"))
+    return feeds.select(*keys, F.struct("stations").alias("data"))
 
 
 @bind(
@@ -212,7 +213,7 @@ def scan_station_info(spark, sf):
         F.when(F.col("s_acctbal") > 0, F.col("s_nationkey").cast("string")).alias("region_id"),
     )
     feed = _feed_batches(
-        rows.join(degrees, "id").select("s_nationkey", record.alias("station")), "s_nationkey"
+        rows.join(degrees, "id").select("s_suppkey", record.alias("station")), "s_suppkey"
     )
     path = work_dir(spark, "station-info")
     feed.select("data").write.option("maxRecordsPerFile", 1).option("compression", "gzip").json(path)
@@ -220,7 +221,7 @@ def scan_station_info(spark, sf):
 
 
 def status_documents(spark, sf) -> DataFrame:
-    """Events as status documents, one per day, with the capture time they stand for."""
+    """Events as status documents, with the day they stand for."""
     events = table(spark, sf, "events")
     bikes = F.floor("value").cast("int")
     valet = F.when(
@@ -233,7 +234,8 @@ def status_documents(spark, sf) -> DataFrame:
             F.lit(0).alias("dock_blocked_count"),
         ),
     )
-    epoch = F.unix_seconds(F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC"))
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    epoch = F.floor(micros_between(start, F.col("ts")) / 1_000_000)
     record = F.struct(
         F.col("event_id").cast("string").alias("station_id"),
         F.col("user_id").cast("string").alias("legacy_id"),
@@ -247,8 +249,8 @@ def status_documents(spark, sf) -> DataFrame:
         epoch.alias("last_reported"),
         valet.alias("valet"),
     )
-    rows = events.select(F.to_date("ts").alias("day"), record.alias("station"))
-    return _feed_batches(rows, "day")
+    rows = events.select("event_id", F.to_date("ts").alias("day"), record.alias("station"))
+    return _feed_batches(rows, "event_id", "day")
 
 
 def _named_captures(documents: DataFrame) -> DataFrame:
@@ -294,9 +296,8 @@ def capture_files(spark, sf) -> str:
     capture time stands in the directory: one per capture."""
     path = work_dir(spark, "captures")
     documents = _named_captures(status_documents(spark, sf))
-    documents.select("capture", "data").write.partitionBy("capture").option(
-        "compression", "gzip"
-    ).json(path)
+    writer = documents.select("capture", "data").write.partitionBy("capture")
+    writer.option("maxRecordsPerFile", 1).option("compression", "gzip").json(path)
     return path
 
 
@@ -316,11 +317,10 @@ def flatten_status(spark, sf):
 
 
 def trip_archives(spark, sf) -> DataFrame:
-    """Line items as zipped trip files, by layout, month and share of the ids."""
-    old, new = _layouts(spark, sf)
+    """Line items as zipped trip files of both layouts, the items of 2000 orders to a file."""
 
-    def zipped(rows: DataFrame, start: str, station: str) -> DataFrame:
-        columns = rows.columns
+    def zipped(rows: DataFrame) -> DataFrame:
+        columns = [c for c in rows.columns if c != "l_orderkey"]
 
         def pack(part: pd.DataFrame) -> pd.DataFrame:
             held = io.BytesIO()
@@ -329,14 +329,10 @@ def trip_archives(spark, sf) -> DataFrame:
                 archive.writestr("trips.csv", part[columns].to_csv(index=False))
             return pd.DataFrame({"content": [held.getvalue()]})
 
-        keyed = rows.withColumns(
-            {"_month": F.substring(start, 1, 7), "_share": F.hash(f"`{station}`") % 8}
-        )
-        return keyed.groupBy("_month", "_share").applyInPandas(pack, "content binary")
+        return rows.groupBy(F.expr("l_orderkey div 2000")).applyInPandas(pack, "content binary")
 
-    return zipped(old, "starttime", "end station id").unionByName(
-        zipped(new, "started_at", "end_station_id")
-    )
+    old, new = _layouts(spark, sf, "l_orderkey")
+    return zipped(old).unionByName(zipped(new))
 
 
 @bind("scan_trips", sql("SELECT * FROM harmonized"))
@@ -354,7 +350,7 @@ CRASHES = """
 
 
 def crash_documents(spark, sf) -> str:
-    """Events as crash features, one collection per day and line."""
+    """Events as crash features, in collections of at most 200, one to a line."""
     place = F.round(F.col("value") / 10, 4)
     feature = F.struct(
         F.struct(
@@ -369,8 +365,9 @@ def crash_documents(spark, sf) -> str:
             "geometry"
         ),
     )
-    rows = table(spark, sf, "events").select(F.to_date("ts").alias("day"), feature.alias("feature"))
-    collections = rows.groupBy("day").agg(F.collect_list("feature").alias("features"))
+    batch = F.expr("event_id div 200").alias("batch")
+    rows = table(spark, sf, "events").select(batch, feature.alias("feature"))
+    collections = rows.groupBy("batch").agg(F.collect_list("feature").alias("features"))
     path = work_dir(spark, "crashes")
     collections.select(F.lit("FeatureCollection").alias("type"), "features").write.json(path)
     return path

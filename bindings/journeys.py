@@ -306,7 +306,7 @@ def trip_duration(spark, sf):
     return clean.trip_duration(timed(spark, sf))
 
 
-def _layouts(spark, sf):
+def _layouts(spark, sf, *keep: str):
     """Line items before 1998 in the older trip layout, the others in the newer one."""
     rows = table(spark, sf, "lineitem").withColumn(
         "end", F.col("l_shipdate") + F.make_dt_interval(secs=F.col("l_quantity").cast("long"))
@@ -314,6 +314,7 @@ def _layouts(spark, sf):
     since = F.lit("1998-01-01").cast("timestamp_ntz")
     stamp = "yyyy-MM-dd HH:mm:ss"
     old = rows.filter(F.col("l_shipdate") < since).select(
+        *keep,
         F.concat(F.date_format("l_shipdate", stamp), F.lit(".1230")).alias("starttime"),
         F.concat(F.date_format("end", stamp), F.lit(".4560")).alias("stoptime"),
         F.col("l_suppkey").cast("string").alias("start station id"),
@@ -326,6 +327,7 @@ def _layouts(spark, sf):
         F.col("l_discount").cast("string").alias("end station longitude"),
     )
     new = rows.filter(F.col("l_shipdate") >= since).select(
+        *keep,
         F.col("l_returnflag").alias("rideable_type"),
         F.date_format("l_shipdate", stamp).alias("started_at"),
         F.date_format("end", stamp).alias("ended_at"),

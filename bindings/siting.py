@@ -112,8 +112,8 @@ def active(spark, sf) -> DataFrame:
 
 
 def walk_sum(spark, sf, first: int, value: str | None = "value") -> DataFrame:
-    binned = g.bin_sum(points(spark, sf, first), value, MEDIUM, fill=True)
-    return g.focal_sum(binned, RADIUS, MEDIUM)
+    binned = g.bin_sum(points(spark, sf, first), value, MEDIUM)
+    return g.focal_sum(binned, RADIUS, MEDIUM, fill=True)
 
 
 def population(spark, sf) -> DataFrame:
@@ -122,12 +122,13 @@ def population(spark, sf) -> DataFrame:
 
 
 def population_sum(spark, sf) -> DataFrame:
-    return g.focal_sum(population(spark, sf), RADIUS, MEDIUM)
+    people = points(spark, sf, 5).withColumn("value", F.col("value") + 1)
+    return g.focal_sum(g.bin_sum(people, "value", MEDIUM), RADIUS, MEDIUM, fill=True)
 
 
 def riders(spark, sf, factor: int) -> DataFrame:
     counted = points(spark, sf, 9).withColumn("value", F.col("value") * factor)
-    return g.focal_sum(g.bin_sum(counted, "value", MEDIUM, fill=True), RADIUS, MEDIUM)
+    return g.focal_sum(g.bin_sum(counted, "value", MEDIUM), RADIUS, MEDIUM, fill=True)
 
 
 def complex_distance(spark, sf) -> DataFrame:

@@ -89,7 +89,7 @@ def calendar_parts(df: DataFrame, ts_col: str, prefix: str) -> DataFrame:
             f"{prefix}_year": F.year(ts),
             f"{prefix}_month": F.month(ts),
             f"{prefix}_day": F.dayofmonth(ts),
-            f"{prefix}_time": F.date_format(ts, "HH:mm:ss"),
+            f"{prefix}_time": F.substring(ts.cast("string"), 12, 8),
             f"{prefix}_hour": F.hour(ts),
             f"{prefix}_minute": F.minute(ts),
             f"{prefix}_second": F.second(ts),

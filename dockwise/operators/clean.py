@@ -54,7 +54,7 @@ def unit_keys(
 ) -> DataFrame:
     """`unit_id` from its parts and `id` from unit and second; null if any part is."""
     named = df.withColumn("unit_id", F.concat(*parts))
-    stamp = F.date_format(ts_col, "yyyyMMddHHmmss")
+    stamp = F.translate(F.substring(F.col(ts_col).cast("string"), 1, 19), "- :", "")
     return named.withColumn("id", F.concat("unit_id", stamp))
 
 

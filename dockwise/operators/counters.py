@@ -91,7 +91,11 @@ def filter_regular_interval(
     df: DataFrame, lo: float = 3, hi: float = 5, gap: str = "hours_difference"
 ) -> DataFrame:
     """Reads that close an interval of the usual four hours."""
-    return df.filter((F.col(gap) > lo) & (F.col(gap) < hi))
+    return df.filter(is_regular_interval(lo, hi, gap))
+
+
+def is_regular_interval(lo: float = 3, hi: float = 5, gap: str = "hours_difference") -> Column:
+    return (F.col(gap) > lo) & (F.col(gap) < hi)
 
 
 def _totals(net: DataFrame, keys: list, remote: str, counters: Sequence[str]) -> DataFrame:
@@ -132,6 +136,23 @@ def daily_period_unit_totals(
     return _totals(tagged, ["period", unit], remote, counters)
 
 
+def daily_totals_all_periods(
+    net: DataFrame,
+    whole_day: str = "all",
+    periods: Sequence[str] = TRANSIT_PERIODS,
+    unit: str = "unit_id",
+    ts: str = "observed_at",
+    remote: str = "remoteunit",
+    counters: Sequence[str] = COUNTERS,
+) -> DataFrame:
+    """Whole-day and period totals together, from one pass over the net counts."""
+    starts = period_start(in_day_slices(net, DAY, service_day(ts)), ts)
+    regular = is_regular_interval()
+    predicates = {whole_day: F.lit(True)}
+    predicates |= {p: regular & transit_period(p) for p in periods}
+    return _totals(tag_periods(starts, predicates), ["period", unit], remote, counters)
+
+
 def daily_group_totals(
     daily: DataFrame,
     lookup: DataFrame,

@@ -107,6 +107,11 @@ def _holds(measure: str, comparison: str, limit: float) -> Column:
     return value <= limit if comparison == "<=" else value >= limit
 
 
+def _mean_share(share: str) -> Column:
+    """Mean to three places. Summed as decimals: the order of the rows cannot tip a rounding."""
+    return F.round(F.avg(F.col(share).cast("decimal(18,12)")), 3).cast("double")
+
+
 def availability_counts(
     status: DataFrame,
     thresholds=AVAILABILITY,
@@ -115,7 +120,7 @@ def availability_counts(
 ) -> DataFrame:
     """Rows per condition, total and mean shares per group, in one aggregation."""
     counts = [F.count_if(_holds(m, op, lim)).alias(c) for c, _, m, op, lim in thresholds]
-    means = [F.round(F.avg(a.removeprefix("avg_")), 3).alias(a) for a in AVERAGES]
+    means = [_mean_share(a.removeprefix("avg_")).alias(a) for a in AVERAGES]
     return status.groupBy(*by).agg(F.count(F.lit(1)).alias("total"), *counts, *means, *more)
 
 

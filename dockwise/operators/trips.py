@@ -77,14 +77,14 @@ def harmonize_trips(*dfs: DataFrame) -> DataFrame:
 
 
 def first_non_null_per_key(
-    df: DataFrame, key: str, cols: Sequence[str], order: Sequence[str]
+    df: DataFrame, key: str, cols: Sequence[str], order: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
     """Per key and column the first non-null value in the given order."""
     line = F.struct(*order) if len(order) > 1 else F.col(order[0])
     firsts = [
         F.min_by(F.col(c), F.when(F.col(c).isNotNull(), line)).alias(c) for c in cols
     ]
-    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*firsts)
+    return df.filter(F.col(key).isNotNull()).groupBy(*by, key).agg(*firsts)
 
 
 def union_distinct_stations(
@@ -92,22 +92,36 @@ def union_distinct_stations(
 ) -> DataFrame:
     """Start stations, then end stations not among them."""
     ranked = starts.withColumn("_rank", F.lit(0)).unionByName(ends.withColumn("_rank", F.lit(1)))
-    rest = [c for c in starts.columns if c != key]
+    return _best_ranked(ranked, key)
+
+
+def _best_ranked(ranked: DataFrame, key: str) -> DataFrame:
+    rest = [c for c in ranked.columns if c not in (key, "_rank")]
     best = ranked.groupBy(key).agg(F.min_by(F.struct(*rest), "_rank").alias("_row"))
     return best.select(key, "_row.*")
 
 
 def stations_of_trips(trips: DataFrame) -> DataFrame:
-    """Station table of a trip table: id, name and position as first seen."""
+    """Station table of a trip table: id, name and position as first seen.
 
-    def side(name: str) -> DataFrame:
-        cols = [f"{name}_station_name", f"{name}_lng", f"{name}_lat"]
-        firsts = first_non_null_per_key(
-            trips, f"{name}_station_id", cols, ["started_at", *cols]
+    What the trips that begin at a station say goes before what those that end
+    there say. Both come from one pass over the trips.
+    """
+    cols = ["station_name", "lng", "lat"]
+
+    def side(rank: int, name: str) -> Column:
+        return F.struct(
+            F.lit(rank).alias("_rank"),
+            F.col(f"{name}_station_id").alias("station_id"),
+            F.col(f"{name}_station_name").alias("station_name"),
+            F.col(f"{name}_lng").alias("lng"),
+            F.col(f"{name}_lat").alias("lat"),
         )
-        return firsts.toDF("station_id", "station_name", "lng", "lat")
 
-    return union_distinct_stations(side("start"), side("end"))
+    both = F.explode(F.array(side(0, "start"), side(1, "end"))).alias("_side")
+    seen = trips.select("started_at", both).select("started_at", "_side.*")
+    firsts = first_non_null_per_key(seen, "station_id", cols, ["started_at", *cols], ["_rank"])
+    return _best_ranked(firsts, "station_id")
 
 
 def complete_trips(trips: DataFrame) -> DataFrame:

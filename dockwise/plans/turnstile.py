@@ -5,15 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from dockwise.functions.calendar import TRANSIT_PERIODS
 from dockwise.operators.clean import reject_null_rows
 from dockwise.operators.counters import (
     annual_summary,
     daily_group_totals,
-    daily_period_unit_totals,
-    daily_unit_totals,
+    daily_totals_all_periods,
     monthly_summary,
     net_counts,
 )
@@ -35,13 +33,13 @@ def turnstile_tables(
 ) -> dict[str, DataFrame]:
     """Every table of the pipeline from cleaned reads.
 
-    The net counts are settled once; the daily unit table, whole days and all
-    periods in one, is settled again, and the rest are small rollups of it.
+    The daily unit table takes whole days and all periods from one pass: the
+    reads are shuffled once, by unit and service day, for the net counts and the
+    totals alike. The rest are small rollups of it.
     """
     required = [c for c in TURNSTILE_REQUIRED if c in observations.columns]
-    net = settle(net_counts(reject_null_rows(observations, required)))
-    whole = daily_unit_totals(net).withColumn("period", F.lit(ALL_DAY))
-    units = settle(whole.unionByName(daily_period_unit_totals(net, periods)))
+    net = net_counts(reject_null_rows(observations, required))
+    units = settle(daily_totals_all_periods(net, ALL_DAY, periods))
     groups = settle(daily_group_totals(units, lookup, by=("period",)))
     return {
         "observations": net,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -31,6 +32,12 @@ def local_session(cores: int | str = "*", partitions: int = 8, **extra) -> Spark
     return spark
 
 
+@functools.cache
+def _own_root() -> str:
+    """Stands in for the shared folder where one machine is all there is."""
+    return tempfile.mkdtemp(prefix="dockwise-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -38,9 +45,7 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="dockwise-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _own_root()
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -51,10 +56,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage of a table that several later steps read.
 
-    The rows go to reliable storage, so a lost executor costs a re-read and
-    not a re-run of everything upstream.
+    The rows are written to the shared folder and read back, so a lost executor
+    costs a re-read and not a re-run of everything upstream, each reader takes
+    only the columns it needs, and joins know the real size.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint()
+    path = work_dir(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -29,10 +29,15 @@ def append_rows(df: DataFrame, root: str, name: str) -> str:
 
 
 def write_by_year(df: DataFrame, root: str, layer: str, ts_col: str) -> str:
-    """Write a table by year; only the years at hand are replaced."""
+    """Write a table by year; only the years at hand are replaced.
+
+    Rows are rebalanced by year first: few files per year, and a year that is
+    too big for one task is split.
+    """
     path = f"{root}/{layer}"
     (
         df.withColumn("year", F.year(ts_col))
+        .hint("rebalance", "year")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")
@@ -51,5 +56,5 @@ def append_named_result(df: DataFrame, root: str, layer: str, name: str) -> str:
 def write_raster(cells: DataFrame, path: str, band: int = 1024) -> str:
     """Save cells by bands of rows, so that a window of rows reads few files."""
     banded = cells.select("row", "col", "value", F.expr(f"row div {band}").alias("band"))
-    banded.repartition("band").write.mode("overwrite").partitionBy("band").parquet(path)
+    banded.hint("rebalance", "band").write.mode("overwrite").partitionBy("band").parquet(path)
     return path

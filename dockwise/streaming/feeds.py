@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,14 +25,26 @@ from dockwise.sources.schemas import STATION_STATUS
 _EPOCH = "1970-01-01 00:00:00"
 
 
+def _micros(ts: Column) -> Column:
+    """Microseconds of a zone-less timestamp since the start of 1970."""
+    return micros_between(F.lit(_EPOCH).cast("timestamp_ntz"), ts)
+
+
+def _moment(micros: str) -> Column:
+    """The zone-less timestamp of microseconds since the start of 1970."""
+    seconds = F.col(micros).cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(18,0)")
+    return F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
+        secs=seconds.cast("decimal(18,6)")
+    )
+
+
 def _with_previous_in_state(
     stream: DataFrame, key: str, ts: str, tie: str, values: Sequence[str]
 ) -> DataFrame:
     """Key, tie and `ts` in microseconds, with every value and its predecessor."""
     values = list(values)
-    moment = micros_between(F.lit(_EPOCH).cast("timestamp_ntz"), F.col(ts))
     narrow = stream.select(
-        key, tie, moment.alias("micros"), *[F.col(v).cast("long").alias(v) for v in values]
+        key, tie, _micros(F.col(ts)).alias("micros"), *[F.col(v).cast("long").alias(v) for v in values]
     )
     held = ["micros", *values]
     previous = [f"previous_{c}" for c in held]
@@ -53,13 +65,6 @@ def _with_previous_in_state(
     )
 
 
-def _moment(micros: str):
-    seconds = F.col(micros).cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(18,0)")
-    return F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
-        secs=seconds.cast("decimal(18,6)")
-    )
-
-
 def stream_net_counts(
     stream: DataFrame,
     cap: int = DELTA_CAP,
@@ -110,10 +115,14 @@ def stream_service_day_totals(
     A day is given out once the watermark has passed its end; later rows of
     that day are dropped.
     """
-    day = F.window(ts, "1 day", startTime="2 hours")
+    # watermarks need an instant: the one whose UTC clock shows the read's time
+    instant = F.timestamp_micros(_micros(F.col(ts)))
+    timed = stream.withColumn("_instant", instant).withWatermark("_instant", delay)
+    day = F.window("_instant", "1 day", startTime="2 hours").alias("_day")
     sums = [F.sum(f"net_{c}").alias(c) for c in counters]
-    totals = stream.withWatermark(ts, delay).groupBy(unit, day.alias("_day")).agg(*sums)
-    return totals.select(unit, F.to_date("_day.start").alias("date"), *counters)
+    totals = timed.groupBy(unit, day).agg(*sums)
+    start = totals.withColumn("_start", F.unix_micros("_day.start"))
+    return start.select(unit, F.to_date(_moment("_start")).alias("date"), *counters)
 
 
 def stream_status_ingest(
