@@ -10,7 +10,7 @@ from bindings.registry import bind, piece, sql
 from dockwise.operators import distance as d
 from dockwise.operators import grid as g
 from dockwise.plans import siting as s
-from dockwise.session import settle
+from dockwise.session import settle, settle_all
 
 # distances of the small test map
 STATION_MIN, STATION_MAX, STREET_MAX = 10, RADIUS, 30
@@ -278,7 +278,9 @@ def in_service(spark, sf, cells: DataFrame) -> DataFrame:
 
 def transit_layers(spark, sf) -> list[DataFrame]:
     layers = (riders(spark, sf, 9000), riders(spark, sf, 5000), complex_distance(spark, sf))
-    return [in_service(spark, sf, cells) for cells in layers]
+    here = settle(active(spark, sf))
+    named = {str(i): g.mask(cells, here) for i, cells in enumerate(layers)}
+    return list(settle_all(named).values())
 
 
 @bind("transit_index", sql(six("SELECT * FROM transit")))
@@ -325,10 +327,11 @@ def safety_index(spark, sf):
 
 @bind("service_improvement_index", sql(six("SELECT * FROM service")))
 def service_improvement_index(spark, sf):
-    shares = [in_service(spark, sf, share(spark, sf, first)) for first in (1, 3, 5, 7)]
-    ratio = in_service(spark, sf, docks(spark, sf))
-    people = in_service(spark, sf, population_sum(spark, sf))
-    return rounded(s.service_improvement_index(ratio, people, shares))
+    here = settle(active(spark, sf))
+    layers = {"docks": docks(spark, sf), "people": population_sum(spark, sf)}
+    layers |= {f"share{first}": share(spark, sf, first) for first in (1, 3, 5, 7)}
+    docked, people, *shares = settle_all({n: g.mask(c, here) for n, c in layers.items()}).values()
+    return rounded(s.service_improvement_index(docked, people, shares))
 
 
 # --- scores, on five layers spread over the whole map ---
@@ -347,7 +350,7 @@ def score_layers(spark, sf) -> dict[str, DataFrame]:
         "profit": walk_sum(spark, sf, 7, None),
         "safety": walk_sum(spark, sf, 1),
     }
-    return {name: g.normalize(settle(cells)) for name, cells in raw.items()}
+    return {name: g.normalize(cells) for name, cells in settle_all(raw).items()}
 
 
 def _weighted(shares: dict[str, float]) -> str:

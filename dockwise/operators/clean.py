@@ -156,19 +156,29 @@ def reject_null_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(cols))
 
 
-def filter_files_by_date(files: DataFrame, start=None, end=None, name: str = "name") -> DataFrame:
-    """Files whose name holds a `yymmdd` date within [start, end], both inclusive."""
+def file_date(name: Column) -> Column:
+    """Date of the first six digits of a name, as `yymmdd`."""
     digits = F.regexp_extract(name, r"\d{6}", 0)
     # two-digit years from 69 on belong to the last century
     century = F.when(F.substring(digits, 1, 2) >= "69", "19").otherwise("20")
-    moment = F.try_to_timestamp(F.concat(century, digits), F.lit("yyyyMMdd"))
-    dated = files.withColumn("file_date", F.to_date(moment))
-    kept = dated.filter(F.col("file_date").isNotNull())
+    return F.to_date(F.try_to_timestamp(F.concat(century, digits), F.lit("yyyyMMdd")))
+
+
+def dated_between(name: Column, start=None, end=None) -> Column:
+    """Whether a file name's date lies within [start, end], both inclusive."""
+    date = file_date(name)
+    inside = date.isNotNull()
     if start is not None:
-        kept = kept.filter(F.col("file_date") >= F.lit(start).cast("date"))
+        inside = inside & (date >= F.lit(start).cast("date"))
     if end is not None:
-        kept = kept.filter(F.col("file_date") <= F.lit(end).cast("date"))
-    return kept
+        inside = inside & (date <= F.lit(end).cast("date"))
+    return inside
+
+
+def filter_files_by_date(files: DataFrame, start=None, end=None, name: str = "name") -> DataFrame:
+    """Files whose name holds a `yymmdd` date within [start, end], both inclusive."""
+    dated = files.withColumn("file_date", file_date(F.col(name)))
+    return dated.filter(dated_between(F.col(name), start, end))
 
 
 def period_file_range(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dockwise.functions.calendar import (
     TRANSIT_PERIODS,
     hours_between,
+    micros_between,
     period_start,
     service_day,
     tag_periods,
@@ -26,10 +27,15 @@ TIES = ("id", "filename")
 DAY = "service_day"
 
 
-def _previous(df, unit, ts, values, tie) -> DataFrame:
+def _previous(df, unit, ts, values, tie, slice_seconds=None) -> DataFrame:
     sliced = in_day_slices(df, DAY, service_day(ts))
     order = [ts, *[c for c in tie if c in df.columns]]
-    return with_previous(sliced, unit, order, values, DAY)
+    if slice_seconds is None:
+        return with_previous(sliced, unit, order, values, DAY)
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    number = F.floor(micros_between(start, F.col(ts)) / F.lit(slice_seconds * 1_000_000))
+    finer = sliced.withColumn("_slice", number)
+    return with_previous(finer, unit, order, values, "_slice").drop("_slice")
 
 
 def counter_delta(
@@ -69,13 +75,15 @@ def net_counts(
     cap: int = DELTA_CAP,
     max_gap: float = MAX_GAP_HOURS,
     tie: Sequence[str] = TIES,
+    slice_seconds: int | None = None,
 ) -> DataFrame:
     """Add `net_<counter>` and `hours_difference`, keeping every row.
 
     The rows leave grouped by (unit, service_day), which the daily totals
-    below reuse without another shuffle.
+    below reuse without another shuffle. Where one unit's single day is too much
+    for a task, `slice_seconds` cuts finer, and the totals shuffle once more.
     """
-    rows = _previous(df, unit, ts, [ts, *counters], tie)
+    rows = _previous(df, unit, ts, [ts, *counters], tie, slice_seconds)
     gap = hours_between(F.col(f"previous_{ts}"), F.col(ts))
     rows = rows.withColumn("hours_difference", gap)
     nets = {

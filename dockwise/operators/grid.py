@@ -181,10 +181,20 @@ def null_if(cells: DataFrame, value: float) -> DataFrame:
 
 def mask(cells: DataFrame, mask_cells: DataFrame) -> DataFrame:
     """Cells where the mask is not empty."""
-    active = mask_cells.filter(F.col("value").isNotNull()) if "value" in mask_cells.columns else (
-        mask_cells
-    )
-    return cells.join(active.select(*CELL), list(CELL), "left_semi")
+    active = mask_cells
+    if "value" in active.columns:
+        active = active.filter(F.col("value").isNotNull())
+    return cells_within(cells, active)
+
+
+def cells_within(cells: DataFrame, area: DataFrame) -> DataFrame:
+    """Rows whose cell is in the other table.
+
+    Both sides are shuffled by cell. What a rasterised layer weighs is not known
+    before it is made, so the planner must not broadcast it on a guess; cells
+    are unique, so no key is hot.
+    """
+    return cells.join(area.select(*CELL).hint("merge"), list(CELL), "left_semi")
 
 
 def unmask(cells: DataFrame) -> DataFrame:

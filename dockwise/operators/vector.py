@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dockwise.functions.geometry import edges, odd_crossings, segments
-from dockwise.operators.grid import CELL, Region
+from dockwise.operators.grid import CELL, Region, cells_within
+from dockwise.session import settle
 
 EDGE = ("x1", "y1", "x2", "y2")
 
@@ -159,9 +160,11 @@ def clip_points(
     """Points inside any polygon; points without a place go.
 
     Points meet only the polygons of their own tile, by an equality join.
-    `side` should be near the width of a usual polygon.
+    `side` should be near the width of a usual polygon. The tiled polygons are
+    written first: the planner then broadcasts them by their real size, or
+    shuffles and splits hot tiles when they are too big for that.
     """
-    tiles = polygon_tiles(polygons, side, parts)
+    tiles = settle(polygon_tiles(polygons, side, parts))
     placed = points.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumns(
         {
             "_ty": F.floor(F.col(y) / F.lit(float(side))).cast("int"),
@@ -178,7 +181,7 @@ def clip_cells(
     cells: DataFrame, boundary: DataFrame, region: Region, key: str
 ) -> DataFrame:
     """Polygon cells inside a boundary: per key the number of cells left and their area."""
-    inside = cells.join(boundary.select(*CELL), list(CELL), "left_semi")
+    inside = cells_within(cells, boundary)
     area = float(region.res) ** 2
     return inside.groupBy(key).agg(
         F.count(F.lit(1)).alias("cells"),

@@ -24,7 +24,7 @@ from dockwise.operators.grid import (
     reclass_invert,
     resample_nearest,
 )
-from dockwise.session import settle
+from dockwise.session import settle_all
 
 # Distances in feet, ceilings of layers and weights of indices.
 WALK_RADIUS = 2640
@@ -250,18 +250,17 @@ def index_layers(layers: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     and offpeak_docks.
     """
     shares = ("peak_bikes", "offpeak_bikes", "peak_docks", "offpeak_docks")
-    held = {name: settle(layer) for name, layer in layers.items()}
-    transit = transit_index(held["entries"], held["exits"], held["transit_distance"])
-    profit = profitability_index(held["trips"], held["population_sum"])
-    expansion = expansion_index(held["potential_population"], held["potential_area"])
-    danger = danger_index(held["route_distance"], held["crashes"])
-    service = service_improvement_index(
-        held["docks_per_person"], held["population_sum"], [held[s] for s in shares]
+    held = settle_all(layers)
+    raw = settle_all(
+        {
+            "transit": transit_index(held["entries"], held["exits"], held["transit_distance"]),
+            "profit": profitability_index(held["trips"], held["population_sum"]),
+            "expansion": expansion_index(held["potential_population"], held["potential_area"]),
+            "danger": danger_index(held["route_distance"], held["crashes"]),
+            "service": service_improvement_index(
+                held["docks_per_person"], held["population_sum"], [held[s] for s in shares]
+            ),
+        }
     )
-    return {
-        "transit": settle(normalize(settle(transit))),
-        "profit": settle(normalize(settle(profit))),
-        "expansion": settle(normalize(settle(expansion))),
-        "safety": settle(safety_index(settle(danger))),
-        "service": settle(normalize(settle(service))),
-    }
+    safety = safety_index(raw.pop("danger"))
+    return settle_all({**{name: normalize(cells) for name, cells in raw.items()}, "safety": safety})

@@ -5,6 +5,8 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/dockwise/{name}-{uuid.uuid4().hex}"
 
 
+def settle_all(tables: Mapping[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:
+    """Settle several tables, a few jobs at a time so that small ones share the cluster."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(tables, pool.map(settle, tables.values())))
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage of a table that several later steps read.
 

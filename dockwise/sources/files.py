@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from dockwise.functions.calendar import calendar_parts
 from dockwise.functions.geometry import PATHS, project_points, to_points
 from dockwise.operators.clean import (
+    dated_between,
     membership_flags,
     normalize_headers,
     parse_observed_at,
@@ -49,9 +50,16 @@ def turnstile_raw(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def scan_turnstiles(spark: SparkSession, path: str, glob: str = TURNSTILE_GLOB) -> DataFrame:
-    """Turnstile reads under a directory, renamed, keyed and with their file name."""
+def scan_turnstiles(
+    spark: SparkSession, path: str, start=None, end=None, glob: str = TURNSTILE_GLOB
+) -> DataFrame:
+    """Turnstile reads under a directory, renamed, keyed and with their file name.
+
+    With `start` or `end` only files dated within are opened, both inclusive.
+    """
     raw = turnstile_raw(spark, f"{path}/{glob}")
+    if start is not None or end is not None:
+        raw = raw.filter(dated_between(F.col("_metadata.file_name"), start, end))
     named = raw.withColumn("filename", F.col("_metadata.file_path"))
     return unit_keys(parse_observed_at(rename_columns(named, TURNSTILE_RAW)))
 

@@ -28,6 +28,12 @@ def test_turnstiles(spark, tmp_path):
     assert (got[0].entries, got[0].exits) == (7, 3)
     assert got[0].observed_at == dt.datetime(2023, 3, 4)
     assert got[0].filename.endswith("turnstile_230304.txt")
+    (tmp_path / "turnstile_230311.txt").write_text(
+        f"{HEADER}\nA002,R051,02-00-00,59 ST,NQR456W,BMT,03/11/2023,00:00:00,REGULAR,9,5\n"
+    )
+    later = files.scan_turnstiles(spark, str(tmp_path), start=dt.date(2023, 3, 5))
+    assert [r.entries for r in later.collect()] == [9]
+    assert files.scan_turnstiles(spark, str(tmp_path), end=dt.date(2023, 3, 11)).count() == 3
     # no station name: the row is rejected
     kept = clean.reject_null_rows(reads, schemas.TURNSTILE_REQUIRED)
     assert [r.entries for r in kept.collect()] == [7]

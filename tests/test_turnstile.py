@@ -170,6 +170,8 @@ def test_hot_unit_is_spread_and_right(spark):
     ours = net.select("id", "net_entries")
     assert ours.count() == 90_000
     assert ours.exceptAll(plain).count() == 0
+    finer = c.net_counts(reads, slice_seconds=3600).select("id", "net_entries")
+    assert finer.exceptAll(plain).count() == 0 and finer.count() == 90_000
     slices = net.groupBy("unit_id", "service_day").count().agg(F.max("count")).first()[0]
     assert slices <= 1440
     # the daily totals need no shuffle beyond the one of the net counts
