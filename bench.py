@@ -39,6 +39,7 @@ HEADLINE = [
     "distance_to_nearest",
     "nearest_value",
     "normalize",
+    "siting_pipeline",
     "suitability",
     "stream_net_counts",
 ]

@@ -407,32 +407,51 @@ def apply_preference(spark, sf):
     return rounded(s.apply_preference(score, settle(preference), 60))
 
 
-# the whole model: five indices from the layers of the service area, then the score
+# the whole model: five indices from the layers of the service area, then the score;
+# an even layer of shares weighs as 1, and halving a layer does not change its scale
+piece("even_share", "SELECT row, col, 1.0::DOUBLE AS value FROM active")
+piece("model_service", combine(
+    ("docks_norm", "(101 - @) * 0.4::DOUBLE"),
+    ("population_norm", "@ * 0.1::DOUBLE"),
+    ("share1_norm", "@ * 0.125::DOUBLE"),
+    ("share3_norm", "@ * 0.125::DOUBLE"),
+    ("even_share", "@ * 0.125::DOUBLE"),
+    ("share3_norm", "@ * 0.125::DOUBLE"),
+))
 piece("model", combine(*[
     (f"({norm(f'SELECT * FROM {layer}')})" if name != "safety" else layer, f"@ * {WEIGHTS[name] / 10!r}::DOUBLE")
-    for name, layer in (("service", "service"), ("transit", "transit"), ("expansion", "expansion"),
+    for name, layer in (("service", "model_service"), ("transit", "transit"), ("expansion", "expansion"),
                         ("profit", "profit"), ("safety", "safety"))
 ]))
 
 
 @bind("siting_pipeline", sql(six(norm("SELECT * FROM model"))))
 def siting_pipeline(spark, sf):
-    here = settle(active(spark, sf))
-    layers = {
-        "entries": riders(spark, sf, 9000),
-        "exits": riders(spark, sf, 5000),
-        "transit_distance": complex_distance(spark, sf),
-        "trips": d.nearest_value(points(spark, sf), "value", MEDIUM, "id"),
-        "population_sum": population_sum(spark, sf),
-        "potential_population": potential_people(spark, sf),
-        "potential_area": potential_land(spark, sf),
-        "route_distance": route_distance(spark, sf),
-        "crashes": walk_sum(spark, sf, 7, None),
-        "docks_per_person": docks(spark, sf),
-        "peak_bikes": share(spark, sf, 1),
-        "offpeak_bikes": share(spark, sf, 3),
-        "peak_docks": share(spark, sf, 5),
-        "offpeak_docks": share(spark, sf, 7),
-    }
-    indices = s.index_layers({name: g.mask(cells, here) for name, cells in layers.items()})
-    return rounded(s.suitability(indices, WEIGHTS))
+    area = settle(served(spark, sf))
+    here = settle(s.service_area_mask(area, MEDIUM.cells(spark)))
+    value = F.col("value")
+
+    def rated(first: int, **columns) -> DataFrame:
+        return points(spark, sf, first).withColumns(columns)
+
+    layers = s.service_layers(
+        docks=rated(1, capacity=value),
+        population=population(spark, sf),
+        crashes=rated(7, number_of_cyclist_injured=F.lit(1.0)),
+        complexes=rated(
+            9,
+            mean_daily_entries_2023=value * 9000,
+            mean_daily_exits_2023=value * 5000,
+            total_exits_all=F.lit(1.0),
+        ),
+        routes=g.bin_sum(points(spark, sf, 11), None, MEDIUM),
+        peak=rated(1, bikes_available_eq0=value / 20, docks_available_eq0=F.lit(0.5)),
+        offpeak=rated(3, bikes_available_eq0=value / 20, docks_available_eq0=value / 40),
+        trips=rated(1, trips_per_day_per_dock=value),
+        area=area,
+        active=here,
+        region=MEDIUM,
+        radius=RADIUS,
+        cell_area=400,
+    )
+    return rounded(s.suitability(s.index_layers(layers), WEIGHTS))

@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from dockwise.functions.calendar import (
     TRANSIT_PERIODS,
     hours_between,
-    micros_between,
     period_start,
     service_day,
     tag_periods,
     transit_period,
 )
 from dockwise.operators.joins import left_join_lookup
-from dockwise.operators.ordered import in_day_slices, with_previous
+from dockwise.operators.ordered import ROWS_PER_TASK, SLICE, with_day, with_previous
 
 # A delta counts only below this size and within this gap.
 DELTA_CAP = 10000
@@ -27,15 +26,10 @@ TIES = ("id", "filename")
 DAY = "service_day"
 
 
-def _previous(df, unit, ts, values, tie, slice_seconds=None) -> DataFrame:
-    sliced = in_day_slices(df, DAY, service_day(ts))
+def _previous(df, unit, ts, values, tie, rows_per_task=ROWS_PER_TASK) -> DataFrame:
+    dated = with_day(df, DAY, service_day(ts))
     order = [ts, *[c for c in tie if c in df.columns]]
-    if slice_seconds is None:
-        return with_previous(sliced, unit, order, values, DAY)
-    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    number = F.floor(micros_between(start, F.col(ts)) / F.lit(slice_seconds * 1_000_000))
-    finer = sliced.withColumn("_slice", number)
-    return with_previous(finer, unit, order, values, "_slice").drop("_slice")
+    return with_previous(dated, unit, order, values, DAY, rows_per_task=rows_per_task)
 
 
 def counter_delta(
@@ -75,15 +69,14 @@ def net_counts(
     cap: int = DELTA_CAP,
     max_gap: float = MAX_GAP_HOURS,
     tie: Sequence[str] = TIES,
-    slice_seconds: int | None = None,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add `net_<counter>` and `hours_difference`, keeping every row.
 
-    The rows leave grouped by (unit, service_day), which the daily totals
-    below reuse without another shuffle. Where one unit's single day is too much
-    for a task, `slice_seconds` cuts finer, and the totals shuffle once more.
+    The rows leave grouped by unit, hot units by runs of service days, which the
+    daily totals below reuse without another shuffle.
     """
-    rows = _previous(df, unit, ts, [ts, *counters], tie, slice_seconds)
+    rows = _previous(df, unit, ts, [ts, *counters], tie, rows_per_task)
     gap = hours_between(F.col(f"previous_{ts}"), F.col(ts))
     rows = rows.withColumn("hours_difference", gap)
     nets = {
@@ -107,12 +100,11 @@ def is_regular_interval(lo: float = 3, hi: float = 5, gap: str = "hours_differen
 
 
 def _totals(net: DataFrame, keys: list, remote: str, counters: Sequence[str]) -> DataFrame:
+    # the slice follows from unit and day; naming it keeps the grouping the rows already have
+    keys = [*keys, *[c for c in (SLICE,) if c in net.columns], DAY]
     sums = [F.sum(f"net_{c}").alias(c) for c in counters]
-    return (
-        net.groupBy(*keys, DAY)
-        .agg(*sums, F.min(remote).alias("remoteunit"))
-        .withColumnRenamed(DAY, "date")
-    )
+    totals = net.groupBy(*keys).agg(*sums, F.min(remote).alias("remoteunit"))
+    return totals.drop(SLICE).withColumnRenamed(DAY, "date")
 
 
 def daily_unit_totals(
@@ -125,7 +117,7 @@ def daily_unit_totals(
 ) -> DataFrame:
     """Entries and exits per unit and service day."""
     if shift_hours != 2 or DAY not in net.columns:
-        net = net.withColumn(DAY, service_day(ts, shift_hours))
+        net = net.withColumn(DAY, service_day(ts, shift_hours)).drop(SLICE)
     return _totals(net, [unit], remote, counters)
 
 
@@ -138,7 +130,7 @@ def daily_period_unit_totals(
     counters: Sequence[str] = COUNTERS,
 ) -> DataFrame:
     """The same per period, all periods in one pass over the regular intervals."""
-    net = in_day_slices(filter_regular_interval(net), DAY, service_day(ts))
+    net = with_day(filter_regular_interval(net), DAY, service_day(ts))
     starts = period_start(net, ts)
     tagged = tag_periods(starts, {p: transit_period(p) for p in periods})
     return _totals(tagged, ["period", unit], remote, counters)
@@ -154,7 +146,7 @@ def daily_totals_all_periods(
     counters: Sequence[str] = COUNTERS,
 ) -> DataFrame:
     """Whole-day and period totals together, from one pass over the net counts."""
-    starts = period_start(in_day_slices(net, DAY, service_day(ts)), ts)
+    starts = period_start(with_day(net, DAY, service_day(ts)), ts)
     regular = is_regular_interval()
     predicates = {whole_day: F.lit(True)}
     predicates |= {p: regular & transit_period(p) for p in periods}

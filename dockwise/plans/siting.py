@@ -6,11 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from dockwise.operators.distance import distance_to_nearest
+from dockwise.operators.clean import fix_capacity_typo
+from dockwise.operators.distance import distance_to_nearest, nearest_value
 from dockwise.operators.grid import (
     MEDIUM_CELL_AREA,
     MEDIUM_RES,
     Region,
+    bin_sum,
     cap,
     cell_algebra,
     fill_empty,
@@ -19,12 +21,13 @@ from dockwise.operators.grid import (
     mask,
     normalize,
     null_if,
+    rasterize_points,
     reclass_codes,
     reclass_distance,
     reclass_invert,
     resample_nearest,
 )
-from dockwise.session import settle_all
+from dockwise.session import settle, settle_all
 
 # Distances in feet, ceilings of layers and weights of indices.
 WALK_RADIUS = 2640
@@ -39,6 +42,17 @@ PROFITABILITY_WEIGHTS = (0.75, 0.25)
 EXPANSION_WEIGHTS = (0.5, 0.5)
 DANGER_WEIGHTS = (0.5, 0.5)
 SERVICE_WEIGHTS = (0.4, 0.10, 0.125)
+# The columns the point layers carry.
+LAYER_COLUMNS = {
+    "entries": "mean_daily_entries_2023",
+    "exits": "mean_daily_exits_2023",
+    "total_exits": "total_exits_all",
+    "trips": "trips_per_day_per_dock",
+    "injured": "number_of_cyclist_injured",
+    "capacity": "capacity",
+    "bikes": "bikes_available_eq0",
+    "docks": "docks_available_eq0",
+}
 BIKEABLE_STREETS = (1, 3, 5, 6, 7, 10, 11, 13)
 OTHER_STREETS = (2, 4, 8, 9, 12, 14)
 INDICES = ("service", "transit", "expansion", "profit", "safety")
@@ -102,7 +116,7 @@ def potential_population(
     unserved = cell_algebra(
         "people * inverse", people=population, inverse=reclass_invert(area)
     )
-    return mask(focal_sum(unserved, radius, region), active)
+    return mask(focal_sum(unserved, radius, region, fill=True), active)
 
 
 def potential_area(
@@ -241,6 +255,59 @@ def apply_preference(score: DataFrame, preference: DataFrame, weight: float = 10
     return normalize(cell_algebra(floored, score=score, preference=preference))
 
 
+def service_layers(
+    docks: DataFrame,
+    population: DataFrame,
+    crashes: DataFrame,
+    complexes: DataFrame,
+    routes: DataFrame,
+    peak: DataFrame,
+    offpeak: DataFrame,
+    trips: DataFrame,
+    area: DataFrame,
+    active: DataFrame,
+    region: Region,
+    radius: float = WALK_RADIUS,
+    cell_area: float = MEDIUM_CELL_AREA,
+    key: str = "id",
+    names: Mapping[str, str] = LAYER_COLUMNS,
+) -> dict[str, DataFrame]:
+    """The layers of the served cells that the indices are made of.
+
+    `population` and `routes` are cells; the others are points with x, y, a
+    key and the columns of `names`. `area` and `active` should be settled.
+    """
+
+    def walk_sum(points: DataFrame, value: str) -> DataFrame:
+        return focal_sum(bin_sum(points, names[value], region), radius, region, fill=True)
+
+    def by_nearest(points: DataFrame, value: str) -> DataFrame:
+        return nearest_value(points, names[value], region, key)
+
+    people = settle(population)
+    people_sum = focal_sum(people, radius, region, fill=True)
+    stops = null_if(rasterize_points(complexes, names["total_exits"], region, key), 0)
+    layers = {
+        "entries": walk_sum(complexes, "entries"),
+        "exits": walk_sum(complexes, "exits"),
+        "transit_distance": distance_to_nearest(stops, region),
+        "trips": by_nearest(fix_capacity_typo(trips, names["trips"]), "trips"),
+        "population_sum": people_sum,
+        "route_distance": distance_to_nearest(routes, region),
+        "crashes": walk_sum(crashes, "injured"),
+        "docks_per_person": docks_per_person(walk_sum(docks, "capacity"), people_sum),
+        "peak_bikes": by_nearest(peak, "bikes"),
+        "peak_docks": by_nearest(peak, "docks"),
+        "offpeak_bikes": by_nearest(offpeak, "bikes"),
+        "offpeak_docks": by_nearest(offpeak, "docks"),
+    }
+    return {
+        **{name: mask(cells, active) for name, cells in layers.items()},
+        "potential_population": potential_population(people, area, radius, region, active),
+        "potential_area": potential_area(area, radius, region, active, cell_area),
+    }
+
+
 def index_layers(layers: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The five normalised indices from the settled layers of the service area.
 

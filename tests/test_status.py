@@ -72,6 +72,12 @@ def test_stale(captured):
     assert got == [("s", 0, 0), ("s", 15, 1), ("s", 30, 0), ("t", 0, 0), ("t", 15, 0), ("t", 30, 0)]
 
 
+def test_hot_station(captured):
+    cols = ["station_id", "capture_minute", "stale"]
+    sliced = s.stale_flag(numbered(captured), rows_per_task=1)
+    assert rows(sliced, *cols) == rows(s.stale_flag(numbered(captured)), *cols)
+
+
 def test_summaries(spark, captured):
     stations = spark.createDataFrame([("s", 10), ("t", 0)], "station_id string, capacity int")
     got = {(r.period, r.station_id): r for r in status_summaries(numbered(captured), stations).collect()}

@@ -159,7 +159,7 @@ def test_hot_unit_is_spread_and_right(spark):
     reads = hot.unionByName(cold).withColumns(
         {"entries": F.abs(F.hash("id", F.lit(1))) % 20_000, "exits": F.abs(F.hash("id", F.lit(2))) % 20_000}
     )
-    net = c.net_counts(reads)
+    net = c.net_counts(reads, rows_per_task=2_000)
     w = W.partitionBy("unit_id").orderBy("observed_at", "id")
     delta = F.abs(F.col("entries") - F.lag("entries").over(w))
     gap = (F.unix_seconds(F.col("observed_at").cast("timestamp"))
@@ -170,13 +170,34 @@ def test_hot_unit_is_spread_and_right(spark):
     ours = net.select("id", "net_entries")
     assert ours.count() == 90_000
     assert ours.exceptAll(plain).count() == 0
-    finer = c.net_counts(reads, slice_seconds=3600).select("id", "net_entries")
-    assert finer.exceptAll(plain).count() == 0 and finer.count() == 90_000
-    slices = net.groupBy("unit_id", "service_day").count().agg(F.max("count")).first()[0]
-    assert slices <= 1440
-    # the daily totals need no shuffle beyond the one of the net counts
-    plan = c.daily_unit_totals(net, remote="unit_id")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(unit_id") == 3
+    groups = net.groupBy("unit_id", "day_slice").count()
+    assert groups.agg(F.max("count")).first()[0] <= 2_000
+    assert groups.filter("unit_id = 'hot'").count() >= 15
+    assert groups.filter("unit_id <> 'hot'").count() == 997  # the others stay whole
+    # without hot units the rows are shuffled once; daily totals add nothing to either plan
+    for counts, shuffles in ((net, 3), (c.net_counts(reads), 1)):
+        daily = c.daily_unit_totals(counts, remote="unit_id")
+        plan = daily._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(unit_id") == shuffles
+    want = c.daily_unit_totals(c.net_counts(reads, rows_per_task=None), remote="unit_id")
+    # slices of less than a day
+    finer = c.net_counts(reads, rows_per_task=100)
+    assert finer.select("id", "net_entries").exceptAll(plain).count() == 0
+    again = c.daily_unit_totals(finer, remote="unit_id")
+    assert again.count() == want.count() and again.exceptAll(want).count() == 0
+    got = c.daily_unit_totals(net, remote="unit_id")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_hot_unit_without_dates(spark):
+    """Reads without a time come first; the carried row finds the next slice that has rows."""
+    days = ["2023-01-01", "2023-01-02", "2023-03-01", "2023-03-05"]
+    moments = [None, None] + [dt.datetime.fromisoformat(f"{d} 0{h}:00:00") for d in days for h in (3, 5, 7)]
+    reads = spark.createDataFrame(
+        [(f"{i:03d}", unit, unit, m, i, i, "f") for unit in ("hot", None) for i, m in enumerate(moments)], SCHEMA
+    )
+    cols = ["unit_id", "id", "net_entries", "hours_difference"]
+    assert rows(c.net_counts(reads, rows_per_task=3), *cols) == rows(c.net_counts(reads), *cols)
 
 
 def test_against_sqlite(spark, reads):
