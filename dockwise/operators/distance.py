@@ -110,7 +110,9 @@ def _distance_in_band(sources: DataFrame, region: Region, max_dist: float) -> Da
     side = tile_side(region, reach, 256)
     width = side + 2 * reach
     rows, cols = region.rows, region.cols
-    far = np.int64(width + reach + 1)
+    far = width + reach + 1
+    # squares of what is within reach fit the narrow type in all but vast bands
+    kind = "int32" if reach < 30_000 else "int64"
 
     def in_tile(key: tuple, tile: pd.DataFrame) -> pd.DataFrame:
         top, left = key[0] * side, key[1] * side
@@ -119,15 +121,17 @@ def _distance_in_band(sources: DataFrame, region: Region, max_dist: float) -> Da
             tile["row"].to_numpy() - top + reach, tile["col"].to_numpy() - left + reach
         ] = True
         # rows to the nearest filled cell of the same column, above and below
-        index = np.arange(width, dtype="int64")[:, None]
-        below = np.maximum.accumulate(np.where(filled, index, -far), axis=0)
-        above = np.minimum.accumulate(np.where(filled, index, width + far)[::-1], axis=0)[::-1]
+        index = np.arange(width, dtype=kind)[:, None]
+        edge = np.array([-far, width + far], dtype=kind)
+        below = np.maximum.accumulate(np.where(filled, index, edge[0]), axis=0)
+        above = np.minimum.accumulate(np.where(filled, index, edge[1])[::-1], axis=0)[::-1]
         gap = np.minimum(index - below, above - index)[reach : reach + side]
-        squared = np.full((side, side), np.iinfo("int64").max)
+        gap = np.minimum(gap, reach + 1).astype(kind)
         vertical = gap * gap
+        squared = np.full((side, side), np.iinfo(kind).max, dtype=kind)
         for dx in range(-reach, reach + 1):
-            shifted = vertical[:, reach + dx : reach + dx + side]
-            np.minimum(squared, shifted + dx * dx, out=squared)
+            shifted = vertical[:, reach + dx : reach + dx + side] + np.array(dx * dx, dtype=kind)
+            np.minimum(squared, shifted, out=squared)
         distance = np.sqrt(squared.astype("float64")) * res
         row, col = np.nonzero(distance <= max_dist)
         inside = (row + top < rows) & (col + left < cols)

@@ -71,7 +71,7 @@ def with_previous(
         counts = hot.agg(F.count(F.lit(1)), F.count_if(F.col("_days").isNull())).first()
     if counts[0] == 0:
         whole = W.partitionBy(key).orderBy(*line)
-        looked_up = df.withColumn("_before", before.over(whole)).withColumn(SLICE, F.lit(0))
+        looked_up = df.withColumn("_before", before.over(whole)).withColumn(SLICE, F.lit(0).cast("long"))
     else:
         sliced = _sliced(df, key, order[0], day, hot)
         rows = sliced.withColumn(_CARRIED, F.lit(False)).unionByName(
@@ -81,7 +81,7 @@ def with_previous(
         looked_up = rows.withColumn("_before", before.over(part)).filter(~F.col(_CARRIED))
         looked_up = looked_up.drop(_CARRIED, "_hot", "_days", "_seconds")
         if counts[1] > 0:
-            looked_up = looked_up.withColumn(SLICE, F.lit(0))
+            looked_up = looked_up.withColumn(SLICE, F.lit(0).cast("long"))
     found = {prefix + v: F.col(f"_before.{v}") for v in values}
     return looked_up.withColumns(found).drop("_before")
 
@@ -94,7 +94,7 @@ def _sliced(df: DataFrame, key: str, ts: str, day: str, hot: DataFrame) -> DataF
     by_second = F.floor(second / F.col("_seconds"))
     number = F.when(F.col("_seconds").isNull(), 0).when(F.col("_days").isNull(), by_second)
     joined = df.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left")
-    return joined.withColumn(SLICE, number.otherwise(by_day).cast("int"))
+    return joined.withColumn(SLICE, number.otherwise(by_day).cast("long"))
 
 
 def _carried_rows(sliced: DataFrame, key: str, line: Sequence[str]) -> DataFrame:

@@ -5,16 +5,24 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from dockwise.operators.clean import fix_capacity_typo
+from dockwise.operators.clean import (
+    MIN_TRACT_AREA,
+    filter_slivers,
+    fix_capacity_typo,
+    population_per_cell,
+)
 from dockwise.operators.distance import distance_to_nearest, nearest_value
 from dockwise.operators.grid import (
+    CELL,
     MEDIUM_CELL_AREA,
     MEDIUM_RES,
     Region,
     bin_sum,
     cap,
     cell_algebra,
+    cells_within,
     fill_empty,
     focal_sum,
     inverse_distance,
@@ -27,6 +35,7 @@ from dockwise.operators.grid import (
     reclass_invert,
     resample_nearest,
 )
+from dockwise.operators.vector import polygon_cells
 from dockwise.session import settle, settle_all
 
 # Distances in feet, ceilings of layers and weights of indices.
@@ -58,6 +67,26 @@ OTHER_STREETS = (2, 4, 8, 9, 12, 14)
 INDICES = ("service", "transit", "expansion", "profit", "safety")
 
 
+def population_cells(
+    tracts: DataFrame,
+    boundary: DataFrame,
+    region: Region,
+    key: str = "tract",
+    population: str = "population",
+    min_area: float = MIN_TRACT_AREA,
+) -> DataFrame:
+    """People per cell: each tract's population spread over its cells inside the boundary.
+
+    Tracts of which only a sliver lies inside are left out.
+    """
+    inside = cells_within(polygon_cells(tracts, region, [key, population]), boundary)
+    cell_area = float(region.res) ** 2
+    areas = inside.groupBy(key).agg((F.count(F.lit(1)) * F.lit(cell_area)).alias("area"))
+    spread = inside.join(filter_slivers(areas, min_area=min_area), key)
+    held = population_per_cell(spread, cell_area, population)
+    return held.groupBy(*CELL).agg(F.max_by("pop_per_area", key).alias("value"))
+
+
 def bikeable_streets(streets: DataFrame) -> DataFrame:
     """Street cells by type code, highways, bridges and tunnels left out."""
     return reclass_codes(streets, {1: BIKEABLE_STREETS, None: OTHER_STREETS})

@@ -51,8 +51,9 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_root(spark)}/dockwise/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; an application's paths lie together."""
+    run = spark.sparkContext.applicationId
+    return f"{shared_root(spark)}/dockwise/{run}/{name}-{uuid.uuid4().hex}"
 
 
 def settle_all(tables: Mapping[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:
