@@ -241,11 +241,12 @@ def normalize(cells: DataFrame, lo: float = 1, hi: float = 100) -> DataFrame:
     The bounds come from a scalar subquery over the same cells, so an upstream
     that is costly should be settled first.
     """
-    bounds = min_max(cells)
-    low, high = bounds.select("min_value").scalar(), bounds.select("max_value").scalar()
+    bounds = min_max(cells).select(F.struct("min_value", "max_value"))
+    bounded = cells.select(*CELL, "value", bounds.scalar().alias("_bounds"))
+    low, high = F.col("_bounds.min_value"), F.col("_bounds.max_value")
     share = F.coalesce(F.try_divide(F.col("value") - low, high - low), F.lit(0.0))
     scaled = F.when(F.col("value").isNotNull(), F.lit(float(lo)) + F.lit(float(hi - lo)) * share)
-    return cells.select(*CELL, scaled.alias("value"))
+    return bounded.select(*CELL, scaled.alias("value"))
 
 
 def stack_layers(**layers: DataFrame) -> DataFrame:
