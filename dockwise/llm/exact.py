@@ -29,8 +29,8 @@ def directory(entries: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX
     largest depth is not split further: its collisions are chained. The table is bounded
     by 2**max_depth rows whatever the input.
     """
-    slots = settle(entries.select("h").distinct().groupBy(_slot(max_depth).alias("slot")).agg(F.count("*").alias("keys")))
-    slots = slots.withColumn("local_depth", F.lit(0)).withColumn("bucket", F.lit(0).cast("long"))
+    slots = entries.select("h").distinct().groupBy(_slot(max_depth).alias("slot")).agg(F.count("*").alias("keys"))
+    slots = settle(slots.withColumn("local_depth", F.lit(0)).withColumn("bucket", F.lit(0).cast("long")))
     for depth in range(max_depth):
         full = slots.groupBy("local_depth", "bucket").agg(F.sum("keys").alias("load")).filter(F.col("load") > capacity)
         if full.isEmpty():

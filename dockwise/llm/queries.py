@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dockwise.llm import exact
+from dockwise.llm import bpe, exact, html_text, packing, secret_scan, simhash, warc
 
-MODULES = [exact]
+MODULES = [bpe, simhash, warc, exact, html_text, secret_scan, packing]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in getattr(module, "SQL", {}).items()}
