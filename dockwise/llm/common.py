@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +68,35 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
         raise RuntimeError("components did not settle")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component_id")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component_id")).unionByName(roots)
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Regroups the batches of a task sorted by `keys` so that no group is cut in two.
+
+    Only the rows of the last, still open group are held back. Use it where a group is bounded.
+    """
+    rest = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        if rest is not None:
+            batch = pd.concat([rest, batch], ignore_index=True)
+        last = batch.iloc[-1]
+        open_ = np.logical_and.reduce([(batch[k] == last[k]).to_numpy() for k in keys])
+        cut = len(batch) - int(open_.sum())
+        rest = batch.iloc[cut:]
+        if cut:
+            yield batch.iloc[:cut]
+    if rest is not None:
+        yield rest
+
+
+def group_edges(rows: pd.DataFrame, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the groups in rows sorted by `keys`."""
+    change = np.zeros(len(rows), dtype=bool)
+    change[:1] = True
+    for k in keys:
+        column = rows[k].to_numpy()
+        change[1:] |= column[1:] != column[:-1]
+    starts = np.flatnonzero(change)
+    return starts, np.append(starts[1:], len(rows))
