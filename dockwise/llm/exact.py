@@ -47,6 +47,10 @@ def directory(entries: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX
     return slots.select("slot", "bucket", "local_depth")
 
 
+def _norm(text_col: str):
+    return F.regexp_replace(whole_text(text_col), WHITE + "+", "")
+
+
 def exact_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, max_depth: int = MAX_DEPTH
 ) -> DataFrame:
@@ -66,9 +70,8 @@ def exact_dedup(
     before the shuffle, so a text that makes up a third of the table travels once per task.
     The resulting pages are written in key ranges; all entries then look up their page.
     """
-    norm = F.regexp_replace(whole_text(text_col), WHITE + "+", "")
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.length(whole_text(text_col)).alias("size"), norm.alias("norm")
+        F.col(id_col).cast("long").alias("doc_id"), F.length(whole_text(text_col)).alias("size"), _norm(text_col).alias("norm")
     ).withColumn("h", F.xxhash64("norm"))
     entries = settle(rows.select("doc_id", "h", F.unhex(F.sha2(F.col("norm").cast("binary"), 256)).alias("sha")))
     buckets = directory(entries, capacity, max_depth)
@@ -101,6 +104,27 @@ def exact_dedup(
     )
 
 
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that `exact_dedup` keeps, one for each text; columns stay as they are.
+
+    Of rows that repeat both id and text one is left; null ids are handled like any other.
+    Rows that go are few beside those that stay, so the texts meet their ids only.
+    """
+    found = settle(exact_dedup(docs, id_col, text_col).select(id_col, "text_sha256", "kept"))
+    gone = settle(found.filter("NOT kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct())
+    twice = found.filter("kept").groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
+    twice = settle(twice.agg(F.count("*").alias("n")).filter("n > 1").drop("n"))
+    marked = docs.withColumn("_copy_sha", F.sha2(_norm(text_col).cast("binary"), 256))
+
+    def same(other: DataFrame):
+        return marked[id_col].eqNullSafe(other["_id"]) & (marked["_copy_sha"] == other["_sha"])
+
+    left = marked.join(gone, same(gone), "left_anti")
+    once = left.join(twice, same(twice), "left_anti")
+    again = left.join(twice, same(twice), "left_semi").dropDuplicates([id_col, "_copy_sha"])
+    return once.unionByName(again).select(docs.columns)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("bucket")
 

@@ -215,27 +215,37 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(remainder(id_col, 4) == 2, F.lit(True))
 
 
-def scored(rows: DataFrame, model: Quality, stats: Column, accept: float = ACCEPT) -> DataFrame:
-    """rows with two more columns: score (0 to 1) and predicted (1 from `accept` on, else 0).
-
-    Only the statistics of the text are looked at. Columns of these names are replaced.
-    """
+def score(model: Quality, stats: Column) -> Column:
+    """The calibrated score, 0 to 1, of a column of statistics; nothing else is looked at."""
 
     @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series(model.score(_stack(batch)))
 
-    found = rows.withColumn("score", score(stats))
-    return found.withColumn("predicted", (F.col("score") >= accept).cast("int"))
+    return found(stats)
+
+
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Quality]:
+    """Statistics of all rows (doc_id, stats), and the model that the labels give."""
+    stats = settle(docs.select(F.col(id_col).cast("long").alias("doc_id"), document_statistics(text_col).alias("stats")))
+    return stats, fit(labelled_rows(stats, labels))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT, text_col: str = "text") -> DataFrame:
+    """The rows of docs with a score of at least `accept`; columns stay as they are.
+
+    Every row is judged by its own whole text, so repeated ids and null ids are handled
+    like any; a null text counts as empty.
+    """
+    _, model = learn(docs, labels, text_col=text_col)
+    return docs.filter(score(model, document_statistics(text_col)) >= accept)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    stats = settle(docs.select(F.col("doc_id").cast("long").alias("doc_id"), document_statistics().alias("stats")))
-    model = fit(labelled_rows(stats, table(spark, sf_dir, "labels")))
-    found = scored(stats, model, F.col("stats"))
-    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    stats, model = learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    found = stats.withColumn("score", score(model, F.col("stats")))
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
 
 
 QUERIES = {"op6_quality": op6_quality}

@@ -28,7 +28,7 @@ ONLY_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 
 #: Runs that the token test looks at, and the ratio of characters to tokens below which a
 #: run counts as random. Words and identifiers of letters lie well above.
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 RATIO = 2.0
 
 KINDS = ("assign", "access", "hex", "random")
@@ -95,7 +95,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", vocabulary=None, ratio
 
     Spans are in code points, the end exclusive, by start and then by kind as listed in
     KINDS. The kinds assign, access and hex follow fixed patterns. The kind random is the
-    token-efficiency test: a run of 20 or more characters that mixes letters and digits and
+    token-efficiency test: a run of 16 or more characters that mixes letters and digits and
     needs more than one token per `ratio` characters is a random string; digests, UUIDs and
     plain numbers are left out. All of a text is searched, whatever its length; null is
     empty and has no spans. Ids are not looked at, so null and repeated ids pass; a column
@@ -120,6 +120,40 @@ def find_secrets(docs: DataFrame, text_col: str = "text", vocabulary=None, ratio
     return docs.withColumn("secret_spans", spans(whole_text(text_col)))
 
 
+def redacted(text: str, spans: list[tuple[int, int]], mark: str) -> str:
+    """The text with each run of overlapping spans replaced by a mark."""
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", vocabulary=None, ratio: float = RATIO) -> DataFrame:
+    """The rows of docs with the spans of `find_secrets` in the text replaced by a mark.
+
+    Texts without a span, null ones too, stay as they are; so do all other columns but
+    n_chars, which is set to the new length of a changed text where docs has it.
+    """
+    path, pattern = vocabulary or default_vocabulary()
+
+    @F.pandas_udf("string")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encoding = encoding_of(path, pattern)
+        for texts in batches:
+            found = ([(a, b) for a, _, b in base_spans(t) + random_spans(t, encoding, ratio)] for t in texts)
+            yield pd.Series([redacted(t, s, mark) if s else None for t, s in zip(texts, found)], dtype=object)
+
+    rows = docs.withColumn("_clean", clean(whole_text(text_col)))
+    changed = {text_col: F.coalesce("_clean", F.col(text_col))}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("_clean").isNull(), F.col("n_chars")).otherwise(
+            F.length("_clean").cast(docs.schema["n_chars"].dataType)
+        )
+    return rows.withColumns(changed).select(docs.columns)
+
+
 def _joined(spans) :
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","

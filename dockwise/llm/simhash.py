@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockwise.llm.common import components, table, whole_text
+from dockwise.llm.common import components, group_edges, table, whole_groups, whole_text
 from dockwise.session import settle
 
 #: Fingerprints of one key that a task compares; larger groups are cut into blocks.
@@ -104,8 +105,8 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class _Group:
     """Fingerprints that share a key, index rows first."""
 
-    def __init__(self, radius: int, radius2: int):
-        self.radius, self.radius2 = radius, radius2
+    def __init__(self, radius: int, total: int):
+        self.radius, self.total = radius, total
         self.chains = _chain_masks(radius)
 
     def linked(self, start: np.ndarray, x: np.ndarray, x2: np.ndarray) -> np.ndarray:
@@ -114,11 +115,13 @@ class _Group:
         for size in range(3, self.radius + 1):  # two segments are settled by the key
             mask = np.array([c[size - 1] for c in self.chains], dtype=np.uint64)[start[keep]]
             keep = keep[np.bitwise_count(x[keep] & mask) <= size - 1]
-        keep = keep[np.bitwise_count(x[keep]) <= self.radius]
-        return keep[np.bitwise_count(x2[keep]) <= self.radius2]
+        bits = np.bitwise_count(x[keep])
+        hit = (bits <= self.radius) & (bits + np.bitwise_count(x2[keep]) <= self.total)
+        return keep[hit]
 
     def near(self, fp, fp2, one, one2) -> np.ndarray:
-        return (np.bitwise_count(fp ^ one) <= self.radius) & (np.bitwise_count(fp2 ^ one2) <= self.radius2)
+        bits = np.bitwise_count(fp ^ one)
+        return (bits <= self.radius) & (bits + np.bitwise_count(fp2 ^ one2) <= self.total)
 
     def large(self, fp, fp2, ids, n_index) -> tuple[np.ndarray, np.ndarray]:
         """Links that connect a large group, without laying out its pairs.
@@ -163,9 +166,11 @@ class _Group:
         return ids[moved], root[moved]
 
 
-def pigeonring_links(prints: DataFrame, radius: int, radius2: int = 64, block: int = BLOCK) -> DataFrame:
+def pigeonring_links(prints: DataFrame, radius: int, total: int = 128, block: int = BLOCK) -> DataFrame:
     """Links (a, b) whose components are those of all pairs within `radius` bits.
 
+    Only pairs count that differ in at most `total` bits of both fingerprints together.
+
     prints: rows (id, fp, fp2) with distinct (fp, fp2). Fingerprints are cut into
     radius + 1 segments on a ring. Of two within the radius some chain of consecutive
     segments differs by at most l - 1 bits in its first l segments, for every l; so the
@@ -215,32 +220,15 @@ def pigeonring_links(prints: DataFrame, radius: int, radius2: int = 64, block: i
     )
 
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group = _Group(radius, radius2)
-        rest = None
-        for batch in itertools.chain(batches, [None]):
-            if batch is None:
-                if rest is not None:
-                    yield from compared(group, rest)
-                return
-            if not len(batch):
-                continue
-            if rest is not None:
-                batch = pd.concat([rest, batch], ignore_index=True)
-            last = batch.iloc[-1]
-            open_ = (batch["key"] == last["key"]) & (batch["c1"] == last["c1"]) & (batch["c2"] == last["c2"])
-            cut = len(batch) - int(open_.sum())
-            rest = batch.iloc[cut:]
-            if cut:
-                yield from compared(group, batch.iloc[:cut])
+        group = _Group(radius, total)
+        for rows in whole_groups(batches, ["key", "c1", "c2"]):
+            yield from compared(group, rows)
 
     def compared(group: _Group, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        key, c1, c2 = (rows[c].to_numpy() for c in ("key", "c1", "c2"))
+        key = rows["key"].to_numpy()
         fp, fp2 = (rows[c].to_numpy(dtype=np.int64).view(np.uint64) for c in ("fp", "fp2"))
         ids, probe = rows["id"].to_numpy(dtype=np.int64), rows["probe"].to_numpy(dtype=bool)
-        starts = np.flatnonzero(
-            np.r_[True, (key[1:] != key[:-1]) | (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1])]
-        )
-        ends = np.r_[starts[1:], len(key)]
+        starts, ends = group_edges(rows, ["key", "c1", "c2"])
         filed_ = np.add.reduceat(~probe, starts, dtype=np.int64)
         size = ends - starts
         use = (filed_ > 0) & (size > 1)
@@ -276,6 +264,11 @@ def pigeonring_links(prints: DataFrame, radius: int, radius2: int = 64, block: i
     return dealt.mapInPandas(links, "a long, b long")
 
 
+def bits_for(similarity: float, bits: int = 128) -> int:
+    """Differing bits expected of two shingle sets of equal size with this Jaccard similarity."""
+    return int(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -283,7 +276,6 @@ def near_duplicates(
     words: int = 4,
     radius: int = 4,
     seeds: tuple[int, ...] = (42,),
-    radius2: int = 64,
 ) -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits), component_id.
 
@@ -291,14 +283,22 @@ def near_duplicates(
     `words` words joined by a space (a shorter text is one shingle; no words give
     fingerprint zero, which links like any other). Fingerprints link at `radius` or fewer
     differing bits; component_id is the smallest id reachable through links, the own one
-    included. With two seeds a second fingerprint must lie within radius2 as well.
+    included. With two seeds there are 128 bits, and `radius` counts all of them: one of
+    the two halves then differs in at most half the radius, and both halves are searched.
     A null text is empty. Rows that repeat an id or a text share a component; a row with a
     null id has the component of its fingerprint, null if no row with an id shares it, and
     forms no links of its own. An empty table gives an empty result.
     """
     prints = settle(fingerprints(docs, id_col, text_col, words, seeds))
     distinct = settle(prints.groupBy("fp", "fp2").agg(F.min("doc_id").alias("id")))
-    found = components(pigeonring_links(distinct.filter("id IS NOT NULL"), radius, radius2))
+    known = distinct.filter("id IS NOT NULL")
+    if len(seeds) == 1:
+        links = pigeonring_links(known, radius)
+    else:
+        turned = known.select("id", F.col("fp2").alias("fp"), F.col("fp").alias("fp2"))
+        known = known.select("id", "fp", "fp2")
+        links = pigeonring_links(known, radius // 2, radius).unionByName(pigeonring_links(turned, radius // 2, radius))
+    found = components(links)
     classes = distinct.join(found, distinct["id"] == found["node"], "left").select(
         "fp", "fp2", F.coalesce("component_id", "id").alias("component_id")
     )
@@ -307,6 +307,20 @@ def near_duplicates(
     )
 
 
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """The rows of docs without those that are near copies of a row with a smaller id.
+
+    Near copies are texts linked, directly or through others, by 128-bit SimHash
+    fingerprints of word shingles at the distance that `similarity` gives (`bits_for`).
+    Rows with a null id pass. Columns are those of docs, whatever their names.
+    """
+    found = near_duplicates(docs, id_col, text_col, words, bits_for(similarity), (42, 43))
+    gone = settle(found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct())
+    return docs.join(gone, id_col, "left_anti").select(docs.columns)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 

@@ -80,7 +80,7 @@ def test_hot_keys_in_blocks_and_large_groups(spark, monkeypatch):
 def test_large_group_of_many_leaders():
     rng = random.Random(13)
     prints = cluster(rng, 30, 4)
-    group = simhash._Group(4, 64)
+    group = simhash._Group(4, 128)
     fp = np.array(prints, dtype=np.uint64)
     a, b = group.large(fp, fp * np.uint64(0), np.arange(len(fp)), len(fp))
     got = dict(zip(a.tolist(), b.tolist()))
@@ -121,3 +121,26 @@ def test_query(spark, sf_dir):
     want = brute_components(sorted(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 4)
     got = {tuple(r) for r in op2_simhash(spark, sf_dir).collect()}
     assert got == {(i, f"{prints[i]:016x}", want[i]) for i in prints}
+
+
+def test_two_halves_find_all_pairs(spark):
+    rng = random.Random(15)
+    whole = []
+    for _ in range(40):
+        base = rng.getrandbits(128)
+        whole.append(base)
+        for _ in range(rng.randint(0, 3)):
+            x = base
+            for bit in rng.sample(range(128), rng.randint(8, 24)):
+                x ^= 1 << bit
+            whole.append(x)
+    low = (1 << 64) - 1
+    rows = [(i, as_signed(p & low), as_signed(p >> 64)) for i, p in enumerate(whole)]
+    halves = spark.createDataFrame(rows, "id long, fp long, fp2 long")
+    links = pigeonring_links(halves, 9, 19).unionByName(
+        pigeonring_links(halves.selectExpr("id", "fp2 AS fp", "fp AS fp2"), 9, 19)
+    )
+    got = {r["node"]: r["component_id"] for r in components(links).collect()}
+    want = brute_components(range(len(whole)), lambda a, b: (whole[a] ^ whole[b]).bit_count() <= 19)
+    assert {i: got.get(i, i) for i in want} == want
+    assert len(set(want.values())) < len(whole)
