@@ -53,7 +53,7 @@ def gap_hours(spark, sf):
     ),
 )
 def net_counts(spark, sf):
-    return net(spark, sf).drop("remoteunit", "service_day", "day_slice")
+    return net(spark, sf).drop("remoteunit")
 
 
 @bind(

@@ -16,20 +16,20 @@ from dockwise.functions.calendar import (
     transit_period,
 )
 from dockwise.operators.joins import left_join_lookup
-from dockwise.operators.ordered import ROWS_PER_TASK, SLICE, with_day, with_previous
+from dockwise.operators.ordered import RUN, RUN_DAYS, with_day, with_previous
 
 # A delta counts only below this size and within this gap.
 DELTA_CAP = 10000
 MAX_GAP_HOURS = 24
 COUNTERS = ("entries", "exits")
 TIES = ("id", "filename")
-DAY = "service_day"
+DAY = "_service_day"
 
 
-def _previous(df, unit, ts, values, tie, rows_per_task=ROWS_PER_TASK) -> DataFrame:
-    dated = with_day(df, DAY, service_day(ts))
+def _previous(df, unit, ts, values, tie, run_days=RUN_DAYS) -> DataFrame:
+    dated = df.withColumn(DAY, service_day(ts))
     order = [ts, *[c for c in tie if c in df.columns]]
-    return with_previous(dated, unit, order, values, DAY, rows_per_task=rows_per_task)
+    return with_previous(dated, unit, order, values, DAY, run_days=run_days)
 
 
 def counter_delta(
@@ -42,7 +42,7 @@ def counter_delta(
     """Add `calculated_net_<counter>`: the counter less its value one read earlier."""
     rows = _previous(df, unit, ts, counters, tie)
     deltas = {f"calculated_net_{c}": F.col(c) - F.col(f"previous_{c}") for c in counters}
-    return rows.withColumns(deltas).drop(*[f"previous_{c}" for c in counters])
+    return rows.withColumns(deltas).drop(RUN, DAY, *[f"previous_{c}" for c in counters])
 
 
 def gap_hours(
@@ -51,7 +51,7 @@ def gap_hours(
     """Add `hours_difference`: hours since the unit's read before, exact to the microsecond."""
     rows = _previous(df, unit, ts, [ts], tie)
     gap = hours_between(F.col(f"previous_{ts}"), F.col(ts))
-    return rows.withColumn("hours_difference", gap).drop(f"previous_{ts}")
+    return rows.withColumn("hours_difference", gap).drop(RUN, DAY, f"previous_{ts}")
 
 
 def plausible_delta(
@@ -69,14 +69,24 @@ def net_counts(
     cap: int = DELTA_CAP,
     max_gap: float = MAX_GAP_HOURS,
     tie: Sequence[str] = TIES,
-    rows_per_task: int | None = ROWS_PER_TASK,
+    run_days: int = RUN_DAYS,
 ) -> DataFrame:
-    """Add `net_<counter>` and `hours_difference`, keeping every row.
+    """Add `net_<counter>` and `hours_difference`, keeping every row."""
+    return grouped_net_counts(df, unit, ts, counters, cap, max_gap, tie, run_days).drop(RUN, DAY)
 
-    The rows leave grouped by unit, hot units by runs of service days, which the
-    daily totals below reuse without another shuffle.
-    """
-    rows = _previous(df, unit, ts, [ts, *counters], tie, rows_per_task)
+
+def grouped_net_counts(
+    df: DataFrame,
+    unit: str = "unit_id",
+    ts: str = "observed_at",
+    counters: Sequence[str] = COUNTERS,
+    cap: int = DELTA_CAP,
+    max_gap: float = MAX_GAP_HOURS,
+    tie: Sequence[str] = TIES,
+    run_days: int = RUN_DAYS,
+) -> DataFrame:
+    """`net_counts` with the columns its rows are grouped by, which daily totals reuse."""
+    rows = _previous(df, unit, ts, [ts, *counters], tie, run_days)
     gap = hours_between(F.col(f"previous_{ts}"), F.col(ts))
     rows = rows.withColumn("hours_difference", gap)
     nets = {
@@ -100,11 +110,16 @@ def is_regular_interval(lo: float = 3, hi: float = 5, gap: str = "hours_differen
 
 
 def _totals(net: DataFrame, keys: list, remote: str, counters: Sequence[str]) -> DataFrame:
-    # the slice follows from unit and day; naming it keeps the grouping the rows already have
-    keys = [*keys, *[c for c in (SLICE,) if c in net.columns], DAY]
+    """Sums per key and day. A unit has one remote as a rule, so it is grouped by it first:
+    plain sums aggregate by hash, and the smallest remote is taken of the few rows left."""
+    # the run follows from unit and day; naming it keeps the grouping the rows already have
+    keys = [*keys, *[c for c in (RUN,) if c in net.columns], DAY]
     sums = [F.sum(f"net_{c}").alias(c) for c in counters]
-    totals = net.groupBy(*keys).agg(*sums, F.min(remote).alias("remoteunit"))
-    return totals.drop(SLICE).withColumnRenamed(DAY, "date")
+    by_remote = net.groupBy(*keys, F.col(remote).alias("_remote")).agg(*sums)
+    totals = by_remote.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in counters], F.min("_remote").alias("remoteunit")
+    )
+    return totals.drop(RUN).withColumnRenamed(DAY, "date")
 
 
 def daily_unit_totals(
@@ -117,7 +132,7 @@ def daily_unit_totals(
 ) -> DataFrame:
     """Entries and exits per unit and service day."""
     if shift_hours != 2 or DAY not in net.columns:
-        net = net.withColumn(DAY, service_day(ts, shift_hours)).drop(SLICE)
+        net = net.withColumn(DAY, service_day(ts, shift_hours)).drop(RUN)
     return _totals(net, [unit], remote, counters)
 
 

@@ -1,12 +1,11 @@
 """Looking back one row per key without gathering a hot key in one task.
 
-A `lag` window sorts everything a key owns in a single task. That is the best
-plan for keys of an ordinary size and fails for one that owns a third of the
-table. So the keys are counted first (a pre-aggregated pass over two columns),
-and those with more rows than a task should sort are cut into slices of time,
-whole days where that is enough, as many as their size asks for. The last row of every slice, found by a
-pre-aggregated max, is carried into the next slice that holds rows; the `lag`
-then runs per (key, slice). Nothing but the hot keys pays for the cutting.
+A `lag` window sorts everything a key owns in a single task, which fails for a
+key that owns a third of the table. So every key is cut into runs of a fixed
+number of days. The last row of each run, found by a pre-aggregated max, is
+carried into the key's next run that holds rows; the `lag` then runs per (key,
+run). One plan serves all sizes: nothing is counted, collected or written while
+it is built.
 """
 
 from __future__ import annotations
@@ -17,33 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from dockwise.functions.calendar import micros_between
-from dockwise.session import settle
-
-ROWS_PER_TASK = 1_000_000
-SLICE = "day_slice"
+#: Days of a run. A task holds one key's rows of that many days at most.
+RUN_DAYS = 28
+RUN = "_run"
 _CARRIED = "_carried"
 
 
-def hot_keys(df: DataFrame, key: str, ts: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more rows than a task should hold, and how much time one slice of theirs spans.
-
-    `_days` is a number of whole days, null where a slice must be shorter than a
-    day; `_seconds` is the same span in seconds.
-    """
-    sized = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last")
-    )
-    span = F.coalesce(micros_between(F.col("first"), F.col("last")), F.lit(0)) / 1_000_000 + 1
-    seconds = F.greatest(F.floor(span * F.lit(rows_per_task) / F.col("n")), F.lit(1))
-    days = F.floor(seconds / F.lit(86_400)).cast("int")
-    return sized.filter(F.col("n") > rows_per_task).select(
-        F.col(key).alias("_hot"),
-        F.when(days >= 1, days).alias("_days"),
-        seconds.cast("long").alias("_seconds"),
-    )
-
-
 def with_previous(
     df: DataFrame,
     key: str,
@@ -51,64 +29,34 @@ def with_previous(
     values: Sequence[str],
     day: str,
     prefix: str = "previous_",
-    rows_per_task: int | None = ROWS_PER_TASK,
+    run_days: int = RUN_DAYS,
 ) -> DataFrame:
     """Add `prefix + v` for every v in values: its value on the row before.
 
     Rows follow `order` with nulls first, then `values`, so that the result
     depends on the data alone. `day` is a date that grows with the first order
-    column. Rows leave grouped by (key, day_slice), a slice being 0 for keys of
-    an ordinary size and a run of whole days for hot ones. When some key's day is
-    too much for a task, slices are shorter than a day, day_slice is 0
-    throughout, and a later grouping by day shuffles again.
-    `rows_per_task=None` leaves out the count and takes no key for hot.
+    column. Rows leave grouped by (key, _run), `_run` being the number of the
+    run of days; callers drop it once they have no use for the grouping.
     """
     line = list(dict.fromkeys([*order, *values]))
-    before = F.lag(F.struct(*values))
-    counts = (0, 0)
-    if rows_per_task is not None:
-        hot = settle(hot_keys(df, key, order[0], rows_per_task))
-        counts = hot.agg(F.count(F.lit(1)), F.count_if(F.col("_days").isNull())).first()
-    if counts[0] == 0:
-        whole = W.partitionBy(key).orderBy(*line)
-        looked_up = df.withColumn("_before", before.over(whole)).withColumn(SLICE, F.lit(0).cast("long"))
-    else:
-        sliced = _sliced(df, key, order[0], day, hot)
-        rows = sliced.withColumn(_CARRIED, F.lit(False)).unionByName(
-            _carried_rows(sliced, key, line), allowMissingColumns=True
-        )
-        part = W.partitionBy(key, SLICE).orderBy(*line)
-        looked_up = rows.withColumn("_before", before.over(part)).filter(~F.col(_CARRIED))
-        looked_up = looked_up.drop(_CARRIED, "_hot", "_days", "_seconds")
-        if counts[1] > 0:
-            looked_up = looked_up.withColumn(SLICE, F.lit(0).cast("long"))
+    rows = df.withColumn(RUN, F.floor(F.unix_date(day) / run_days).cast("long"))
+    both = rows.withColumn(_CARRIED, F.lit(False)).unionByName(
+        _carried_rows(rows, key, line), allowMissingColumns=True
+    )
+    before = F.lag(F.struct(*values)).over(W.partitionBy(key, RUN).orderBy(F.desc(_CARRIED), *line))
+    looked_up = both.withColumn("_before", before).filter(~F.col(_CARRIED)).drop(_CARRIED)
     found = {prefix + v: F.col(f"_before.{v}") for v in values}
     return looked_up.withColumns(found).drop("_before")
 
 
-def _sliced(df: DataFrame, key: str, ts: str, day: str, hot: DataFrame) -> DataFrame:
-    """Rows with their slice. The hot keys are a written table, broadcast if it is small."""
-    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    second = micros_between(start, F.col(ts).cast("timestamp_ntz")) / 1_000_000
-    by_day = F.floor(F.unix_date(day) / F.col("_days"))
-    by_second = F.floor(second / F.col("_seconds"))
-    number = F.when(F.col("_seconds").isNull(), 0).when(F.col("_days").isNull(), by_second)
-    joined = df.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left")
-    return joined.withColumn(SLICE, number.otherwise(by_day).cast("long"))
-
-
-def _carried_rows(sliced: DataFrame, key: str, line: Sequence[str]) -> DataFrame:
-    """The last row of each slice of a hot key, placed in the next slice that holds rows."""
-    last = (
-        sliced.filter(F.col("_seconds").isNotNull())
-        .groupBy(key, SLICE)
-        .agg(F.max(F.struct(*line)).alias("_last"))
-    )
-    following = F.lead(SLICE).over(W.partitionBy(key).orderBy(SLICE))
+def _carried_rows(rows: DataFrame, key: str, line: Sequence[str]) -> DataFrame:
+    """The last row of each run of a key, placed in the key's next run that holds rows."""
+    last = rows.groupBy(key, RUN).agg(F.max(F.struct(*line)).alias("_last"))
+    following = F.lead(RUN).over(W.partitionBy(key).orderBy(RUN))
     return (
-        last.withColumn(SLICE, following)
-        .filter(F.col(SLICE).isNotNull())
-        .select(key, SLICE, "_last.*", F.lit(True).alias(_CARRIED))
+        last.withColumn(RUN, following)
+        .filter(F.col(RUN).isNotNull())
+        .select(key, RUN, "_last.*", F.lit(True).alias(_CARRIED))
     )
 
 

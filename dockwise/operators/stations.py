@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockwise.functions.calendar import STATION_PERIODS, station_period, tag_periods
-from dockwise.operators.ordered import ROWS_PER_TASK, SLICE, with_day, with_previous
+from dockwise.operators.ordered import RUN, RUN_DAYS, with_previous
 
 STALE_LIMIT = 0.70
 
@@ -63,18 +63,15 @@ def stale_flag(
     station: str = "station_id",
     ts: str = "reported_datetime",
     tie: Sequence[str] = ("objectid",),
-    rows_per_task: int | None = ROWS_PER_TASK,
+    run_days: int = RUN_DAYS,
 ) -> DataFrame:
     """Add `stale`: 1 when the station's report before carries the same time, else 0."""
-    dated = with_day(df, "report_day", F.to_date(ts))
+    dated = df.withColumn("_report_day", F.to_date(ts))
     order = [ts, *[c for c in tie if c in df.columns]]
-    rows = with_previous(
-        dated, station, order, [ts], "report_day", rows_per_task=rows_per_task
-    )
+    rows = with_previous(dated, station, order, [ts], "_report_day", run_days=run_days)
     same = F.col(f"previous_{ts}") == F.col(ts)
     flagged = rows.withColumn("stale", F.when(same, 1).otherwise(0))
-    dropped = [f"previous_{ts}", SLICE] + ([] if "report_day" in df.columns else ["report_day"])
-    return flagged.drop(*dropped)
+    return flagged.drop(f"previous_{ts}", RUN, "_report_day")
 
 
 def stale_share(status: DataFrame, station: str = "station_id") -> DataFrame:

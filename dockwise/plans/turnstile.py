@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame
 from dockwise.functions.calendar import TRANSIT_PERIODS
 from dockwise.operators.clean import reject_null_rows
 from dockwise.operators.counters import (
+    DAY,
     annual_summary,
     daily_group_totals,
     daily_totals_all_periods,
     monthly_summary,
-    net_counts,
+    grouped_net_counts,
 )
 from dockwise.operators.joins import (
     centroid_of_group,
@@ -22,6 +23,7 @@ from dockwise.operators.joins import (
     multi_year_total,
     multiway_left_join,
 )
+from dockwise.operators.ordered import RUN
 from dockwise.session import settle
 from dockwise.sources.schemas import TURNSTILE_REQUIRED
 
@@ -34,15 +36,21 @@ def turnstile_tables(
     """Every table of the pipeline from cleaned reads.
 
     The daily unit table takes whole days and all periods from one pass: the
-    reads are shuffled once, by unit and service day, for the net counts and the
+    reads are shuffled once, by unit and run of days, for the net counts and the
     totals alike. The rest are small rollups of it.
     """
     required = [c for c in TURNSTILE_REQUIRED if c in observations.columns]
-    net = net_counts(reject_null_rows(observations, required))
+    net = grouped_net_counts(reject_null_rows(observations, required))
+    return {"observations": net.drop(RUN, DAY), **turnstile_rollups(net, lookup, periods)}
+
+
+def turnstile_rollups(
+    net: DataFrame, lookup: DataFrame, periods: Sequence[str] = TRANSIT_PERIODS
+) -> dict[str, DataFrame]:
+    """Daily, monthly and annual tables from net counts, stored or just made."""
     units = settle(daily_totals_all_periods(net, ALL_DAY, periods))
     groups = settle(daily_group_totals(units, lookup, by=("period",)))
     return {
-        "observations": net,
         "daily_subunit": units,
         "daily_complex": groups,
         "monthly_complex": monthly_summary(groups, by=("period",)),

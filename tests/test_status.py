@@ -74,7 +74,7 @@ def test_stale(captured):
 
 def test_hot_station(captured):
     cols = ["station_id", "capture_minute", "stale"]
-    sliced = s.stale_flag(numbered(captured), rows_per_task=1)
+    sliced = s.stale_flag(numbered(captured), run_days=1)
     assert rows(sliced, *cols) == rows(s.stale_flag(numbered(captured)), *cols)
 
 

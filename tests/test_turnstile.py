@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from dockwise.functions.calendar import service_day, transit_period
 from dockwise.operators import counters as c
+from dockwise.operators.ordered import RUN
 from dockwise.operators.joins import fanout_join_aggregate, multiway_left_join
 from dockwise.plans.turnstile import annual_by_year, turnstile_tables
 
@@ -159,7 +160,7 @@ def test_hot_unit_is_spread_and_right(spark):
     reads = hot.unionByName(cold).withColumns(
         {"entries": F.abs(F.hash("id", F.lit(1))) % 20_000, "exits": F.abs(F.hash("id", F.lit(2))) % 20_000}
     )
-    net = c.net_counts(reads, rows_per_task=2_000)
+    net = c.grouped_net_counts(reads, run_days=1)
     w = W.partitionBy("unit_id").orderBy("observed_at", "id")
     delta = F.abs(F.col("entries") - F.lag("entries").over(w))
     gap = (F.unix_seconds(F.col("observed_at").cast("timestamp"))
@@ -170,23 +171,35 @@ def test_hot_unit_is_spread_and_right(spark):
     ours = net.select("id", "net_entries")
     assert ours.count() == 90_000
     assert ours.exceptAll(plain).count() == 0
-    groups = net.groupBy("unit_id", "day_slice").count()
-    assert groups.agg(F.max("count")).first()[0] <= 2_000
-    assert groups.filter("unit_id = 'hot'").count() >= 15
-    assert groups.filter("unit_id <> 'hot'").count() == 997  # the others stay whole
-    # without hot units the rows are shuffled once; daily totals add nothing to either plan
-    for counts, shuffles in ((net, 3), (c.net_counts(reads), 1)):
-        daily = c.daily_unit_totals(counts, remote="unit_id")
-        plan = daily._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange hashpartitioning(unit_id") == shuffles
-    want = c.daily_unit_totals(c.net_counts(reads, rows_per_task=None), remote="unit_id")
-    # slices of less than a day
-    finer = c.net_counts(reads, rows_per_task=100)
-    assert finer.select("id", "net_entries").exceptAll(plain).count() == 0
-    again = c.daily_unit_totals(finer, remote="unit_id")
-    assert again.count() == want.count() and again.exceptAll(want).count() == 0
-    got = c.daily_unit_totals(net, remote="unit_id")
-    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    # the hot unit of 21 days lies in as many runs, none of them above a day's reads
+    groups = net.groupBy("unit_id", RUN).count()
+    assert groups.agg(F.max("count")).first()[0] <= 24 * 60
+    assert groups.filter("unit_id = 'hot'").count() >= 20
+    # the rows are shuffled once, their pre-aggregate twice; daily totals add nothing
+    daily = c.daily_unit_totals(net, remote="unit_id")
+    plan = daily._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(unit_id") == 3
+    want = c.daily_unit_totals(c.net_counts(reads), remote="unit_id")
+    assert daily.count() == want.count() and daily.exceptAll(want).count() == 0
+    assert c.net_counts(reads).columns == [*reads.columns, "hours_difference", "net_entries", "net_exits"]
+    for made in (c.counter_delta(reads), c.gap_hours(reads)):
+        assert not [x for x in made.columns if x.startswith("_") or x in ("service_day", "day_slice")]
+
+
+def test_no_sort_aggregate_for_totals(spark, reads):
+    """Daily sums aggregate by hash before the few rows of a day are ordered by remote."""
+    plan = c.daily_unit_totals(c.net_counts(reads))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in "".join(line for line in plan.splitlines() if "sum(net_entries" in line)
+
+
+def test_building_runs_no_job(spark, reads):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job while a plan is built")
+    c.net_counts(reads)
+    c.counter_delta(reads)
+    c.gap_hours(reads)
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_hot_unit_without_dates(spark):
@@ -197,7 +210,7 @@ def test_hot_unit_without_dates(spark):
         [(f"{i:03d}", unit, unit, m, i, i, "f") for unit in ("hot", None) for i, m in enumerate(moments)], SCHEMA
     )
     cols = ["unit_id", "id", "net_entries", "hours_difference"]
-    assert rows(c.net_counts(reads, rows_per_task=3), *cols) == rows(c.net_counts(reads), *cols)
+    assert rows(c.net_counts(reads, run_days=1), *cols) == rows(c.net_counts(reads, run_days=9999), *cols)
 
 
 def test_against_sqlite(spark, reads):
