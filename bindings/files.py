@@ -332,12 +332,12 @@ def trip_archives(spark, sf) -> DataFrame:
         return rows.groupBy(F.expr("l_orderkey div 2000")).applyInPandas(pack, "content binary")
 
     old, new = _layouts(spark, sf, "l_orderkey")
-    return zipped(old).unionByName(zipped(new))
+    return zipped(old).unionByName(zipped(new)).withColumn("path", F.lit("trips.zip"))
 
 
 @bind("scan_trips", sql("SELECT * FROM harmonized"))
 def scan_trips(spark, sf):
-    return files.trips_from_archives(trip_archives(spark, sf))
+    return files.trips_from_archives(trip_archives(spark, sf)).drop("source_file")
 
 
 CRASHES = """
@@ -508,6 +508,25 @@ def write_by_year(spark, sf):
     return spark.read.parquet(tables.write_by_year(again, root, "orders", "o_orderdate"))
 
 
+@bind(
+    "load_by_source",
+    """
+    SELECT l_orderkey, l_linenumber, l_shipdate, 'part' || CAST(l_orderkey % 4 AS VARCHAR) AS source_file,
+           CAST(year(l_shipdate) AS INTEGER) AS year
+    FROM lineitem
+    """,
+)
+def load_by_source(spark, sf):
+    """Line items in four parts that all reach over all years, loaded in overlapping pairs."""
+    part = F.concat(F.lit("part"), (F.col("l_orderkey") % 4).cast("string"))
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", part.alias("source_file"))
+    root = work_dir(spark, "sources")
+    for parts in (["part0", "part1"], ["part1", "part2"], ["part0", "part1", "part2", "part3"], ["part3"]):
+        some = rows.filter(F.col("source_file").isin(parts))
+        path = tables.load_by_source(some, root, "lineitem", "l_shipdate")
+    return spark.read.parquet(path)
+
+
 @bind(
     "append_named_result",
     "SELECT 'rich' AS result, * FROM (" + CUSTOMERS + " WHERE c_acctbal > 0) UNION ALL "

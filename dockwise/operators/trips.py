@@ -50,22 +50,39 @@ def _stamp(text: Column) -> Column:
     return F.to_timestamp_ntz(text, F.lit(STAMP))
 
 
-def _one_layout(df: DataFrame) -> DataFrame:
-    if "starttime" in df.columns:
-        # the older layout writes a five-character fraction behind the seconds
-        cut = {
-            new: _stamp(F.expr(f"left({old}, length({old}) - 5)"))
-            for old, new in (("starttime", "started_at"), ("stoptime", "ended_at"))
-        }
-        df = df.withColumns(cut).withColumnsRenamed(OLD_NAMES)
-    else:
-        df = df.withColumns({c: _stamp(F.col(c)) for c in ("started_at", "ended_at")})
+def _cut(text: str) -> Column:
+    """The older layout writes a five-character fraction behind the seconds."""
+    return F.expr(f"left(`{text}`, length(`{text}`) - 5)")
+
+
+def _typed(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The shared layout from texts under the shared names."""
+    df = df.withColumns({c: _stamp(F.col(c)) for c in ("started_at", "ended_at")})
     numbers = {c: F.col(c).try_cast("double") for c in df.columns if c.endswith(("_lat", "_lng"))}
     df = trip_duration(df.withColumns(numbers))
     for missing in ("rideable_type", "member_casual"):
         if missing not in df.columns:
             df = df.withColumn(missing, F.lit(None).cast("string"))
-    return prune_columns(df, TRIP_COLUMNS)
+    return prune_columns(df, [*TRIP_COLUMNS, *keep])
+
+
+def _one_layout(df: DataFrame) -> DataFrame:
+    if "starttime" in df.columns:
+        old = {"starttime": "started_at", "stoptime": "ended_at"}
+        df = df.withColumns({new: _cut(name) for name, new in old.items()}).withColumnsRenamed(OLD_NAMES)
+    return _typed(df)
+
+
+def harmonize_mixed(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Trips whose rows hold either layout, as texts under both sets of names; one pass.
+
+    Rows with a `starttime` are of the older layout. Columns in `keep` pass.
+    """
+    shared = {"started_at": _cut("starttime"), "ended_at": _cut("stoptime")}
+    shared |= {new: F.col(f"`{old}`") for old, new in OLD_NAMES.items()}
+    older = F.col("starttime").isNotNull()
+    both = df.withColumns({new: F.when(older, old).otherwise(F.col(new)) for new, old in shared.items()})
+    return _typed(both, keep)
 
 
 def harmonize_trips(*dfs: DataFrame) -> DataFrame:
@@ -124,7 +141,7 @@ def stations_of_trips(trips: DataFrame) -> DataFrame:
     return _best_ranked(firsts, "station_id")
 
 
-def complete_trips(trips: DataFrame) -> DataFrame:
+def complete_trips(trips: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Trips with both stations, without the station attributes."""
     kept = filter_complete_trips(trips)
     return kept.select(
@@ -135,6 +152,7 @@ def complete_trips(trips: DataFrame) -> DataFrame:
         "member_casual",
         "start_station_id",
         "end_station_id",
+        *keep,
     )
 
 

@@ -24,23 +24,17 @@ from dockwise.operators.trips import complete_trips, trips_summary_all, trips_su
 from dockwise.operators.trips import stations_of_trips
 from dockwise.operators.vector import clip_points
 from dockwise.plans.status import status_summaries
-from dockwise.plans.turnstile import annual_by_year, turnstile_tables
+from dockwise.plans.turnstile import annual_by_year, net_observations, turnstile_rollups
 from dockwise.session import settle
 from dockwise.sources import files
 from dockwise.sources.schemas import CRASH_NUMBERS, CRASH_PROPERTIES, STATUS_REQUIRED
-from dockwise.sources.tables import append_rows, write_by_year, write_layer
+from dockwise.sources.tables import append_rows, layer_exists, load_by_source, write_by_year, write_layer
 
 CLIP_TILE = 5000.0
 
 
 def _exists(spark: SparkSession, root: str, layer: str) -> bool:
-    try:
-        files.scan_layer(spark, root, layer)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
-    return True
+    return layer_exists(spark, f"{root}/{layer}")
 
 
 def build_turnstiles(
@@ -54,12 +48,22 @@ def build_turnstiles(
     start=None,
     end=None,
 ) -> list[str]:
-    """Turnstile files to observations by year, daily, monthly, annual and multi-year tables."""
+    """Turnstile files to reads by year, observations, daily, monthly, annual and multi-year tables.
+
+    Reads are loaded by source file: files that were loaded before add nothing, the others
+    are added to what the years hold. Everything else is made from all stored reads, so the
+    tables agree with them and with each other after any order of loads.
+    """
     places = files.scan_transit_stations(spark, stations, station_columns)
     write_layer(places, root, "stations")
     reads = files.scan_turnstiles(spark, raw, start, end)
-    tables = turnstile_tables(reads, files.scan_lookup(spark, lookup))
-    write_by_year(tables["observations"], root, "turnstile_observations", "observed_at")
+    reads = reads.withColumn("source_file", F.element_at(F.split("filename", "/"), -1))
+    load_by_source(reads, root, "turnstile_reads", "observed_at")
+    stored = files.scan_layer(spark, root, "turnstile_reads").drop("year", "source_file")
+    observations = net_observations(stored)
+    write_by_year(observations, root, "turnstile_observations", "observed_at")
+    kept = files.scan_layer(spark, root, "turnstile_observations").drop("year")
+    tables = turnstile_rollups(kept, files.scan_lookup(spark, lookup))
     for layer in ("daily_subunit", "daily_complex", "monthly_complex", "annual_complex"):
         write_layer(tables[layer], root, layer)
     annual = files.scan_layer(spark, root, "annual_complex")
@@ -68,6 +72,7 @@ def build_turnstiles(
         write_layer(annual_by_year(one, places, years), root, f"annual_by_year/period={period}")
     return [
         "stations",
+        "turnstile_reads",
         "turnstile_observations",
         "daily_subunit",
         "daily_complex",
@@ -109,14 +114,16 @@ def build_trips(
 ) -> list[str]:
     """Trip archives to trips by year, their stations, and yearly and all-year summaries.
 
-    The archives are unpacked once, into a table that everything else reads.
+    The archives are unpacked once, into a table that everything else reads. Trips are
+    loaded by source file: an archive that was loaded before adds nothing, any other adds
+    to what the years hold. Summaries are made from all stored trips.
     """
     trips = settle(files.scan_trips(spark, archives))
     seen = project_points(stations_of_trips(trips), "lng", "lat")
     if _exists(spark, root, "trip_stations"):
         seen = anti_join_new(seen, files.scan_layer(spark, root, "trip_stations"), "station_id")
     append_rows(seen, root, "trip_stations")
-    write_by_year(complete_trips(trips), root, "trips", "started_at")
+    load_by_source(complete_trips(trips, ["source_file"]), root, "trips", "started_at")
     kept = files.scan_layer(spark, root, "trips")
     station = files.scan_layer(spark, root, "station")
     yearly = trips_summary_year(kept, station, years)

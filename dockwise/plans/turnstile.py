@@ -39,11 +39,20 @@ def turnstile_tables(
     reads are shuffled once, by unit and run of days, for the net counts and the
     totals alike. The rest are small rollups of it.
     """
-    required = [c for c in TURNSTILE_REQUIRED if c in observations.columns]
-    net = grouped_net_counts(reject_null_rows(observations, required))
+    net = _net(observations)
     return {"observations": net.drop(RUN, DAY), **turnstile_rollups(net, lookup, periods)}
 
 
+def _net(reads: DataFrame) -> DataFrame:
+    required = [c for c in TURNSTILE_REQUIRED if c in reads.columns]
+    return grouped_net_counts(reject_null_rows(reads, required))
+
+
+def net_observations(reads: DataFrame) -> DataFrame:
+    """Complete reads with their net counts."""
+    return _net(reads).drop(RUN, DAY)
+
+
 def turnstile_rollups(
     net: DataFrame, lookup: DataFrame, periods: Sequence[str] = TRANSIT_PERIODS
 ) -> dict[str, DataFrame]:

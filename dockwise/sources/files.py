@@ -21,7 +21,7 @@ from dockwise.operators.clean import (
     unit_keys,
 )
 from dockwise.operators.stations import flatten_status, report_time
-from dockwise.operators.trips import harmonize_trips
+from dockwise.operators.trips import harmonize_mixed
 from dockwise.sources.schemas import (
     LOOKUP,
     NEW_TRIP_FILE,
@@ -53,7 +53,7 @@ def turnstile_raw(spark: SparkSession, path: str) -> DataFrame:
 def scan_turnstiles(
     spark: SparkSession, path: str, start=None, end=None, glob: str = TURNSTILE_GLOB
 ) -> DataFrame:
-    """Turnstile reads under a directory, renamed, keyed and with their file name.
+    """Turnstile reads under a directory, renamed, keyed and with the path of their file.
 
     With `start` or `end` only files dated within are opened, both inclusive.
     """
@@ -125,7 +125,7 @@ def scan_station_status(
 
 
 def unzip_largest(archives: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows of the largest member of each zip (column `content`), as text columns.
+    """Rows of the largest member of each zip (`path`, `content`), as text columns after `path`.
 
     An archive is the unit of work. Its member is read in pieces, so a task
     holds one archive and one piece at a time. Absent columns are null.
@@ -134,25 +134,23 @@ def unzip_largest(archives: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content in batch["content"]:
+            for path, content in zip(batch["path"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     largest = max(archive.infolist(), key=lambda member: member.file_size)
                     with archive.open(largest) as member:
                         for piece in pd.read_csv(member, dtype=str, chunksize=50_000):
                             piece = piece.rename(columns=str.strip)
                             tidy = piece.reindex(columns=columns).astype(object)
-                            yield tidy.where(tidy.notna(), None)
+                            yield tidy.where(tidy.notna(), None).assign(path=path)
 
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    return archives.select("content").mapInPandas(unpack, schema)
+    schema = ", ".join(f"`{c}` string" for c in [*columns, "path"])
+    return archives.select("path", "content").mapInPandas(unpack, schema)
 
 
 def trips_from_archives(archives: DataFrame) -> DataFrame:
-    """Harmonised trips of zipped trip files of both layouts."""
+    """Harmonised trips of zipped trip files of both layouts, in one pass, with `source_file`."""
     both = unzip_largest(archives, [*OLD_TRIP_FILE, *NEW_TRIP_FILE])
-    old = both.filter(F.col("starttime").isNotNull()).select(*OLD_TRIP_FILE)
-    new = both.filter(F.col("starttime").isNull()).select(*NEW_TRIP_FILE)
-    return harmonize_trips(old, new)
+    return harmonize_mixed(both.withColumn("source_file", F.element_at(F.split("path", "/"), -1)), ["source_file"])
 
 
 def scan_trips(spark: SparkSession, glob: str) -> DataFrame:
@@ -228,22 +226,84 @@ def scan_raster(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("row", "col", "value")
 
 
-# The escapes a page may hold, the ampersand last.
+# The named character escapes that pages use.
 ESCAPES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&nbsp;": "\u00a0",
-    "&amp;": "&",
+    "lt": "<",
+    "gt": ">",
+    "amp": "&",
+    "quot": '"',
+    "apos": "'",
+    "nbsp": "\u00a0",
+    "copy": "\u00a9",
+    "reg": "\u00ae",
+    "deg": "\u00b0",
+    "middot": "\u00b7",
+    "laquo": "\u00ab",
+    "raquo": "\u00bb",
+    "agrave": "\u00e0",
+    "aacute": "\u00e1",
+    "auml": "\u00e4",
+    "ccedil": "\u00e7",
+    "egrave": "\u00e8",
+    "eacute": "\u00e9",
+    "iacute": "\u00ed",
+    "ntilde": "\u00f1",
+    "oacute": "\u00f3",
+    "ouml": "\u00f6",
+    "uacute": "\u00fa",
+    "uuml": "\u00fc",
+    "szlig": "\u00df",
+    "ndash": "\u2013",
+    "mdash": "\u2014",
+    "lsquo": "\u2018",
+    "rsquo": "\u2019",
+    "ldquo": "\u201c",
+    "rdquo": "\u201d",
+    "bull": "\u2022",
+    "hellip": "\u2026",
+    "euro": "\u20ac",
+    "trade": "\u2122",
 }
+ESCAPE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _character(escape: Column) -> Column:
+    """The character of an escape such as `#8217`, `#x2019` or `rsquo`; null if it is unknown."""
+    number = F.when(
+        escape.rlike("^#[xX]"), F.conv(F.substring(escape, 3, 6), 16, 10)
+    ).otherwise(F.substring(escape, 2, 7)).try_cast("int")
+    point = F.when((number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF), number)
+    byte = [
+        F.when(point < 0x80, F.hex(point)),
+        F.when(point < 0x800, F.hex(0xC080 + F.shiftleft(F.shiftright(point, 6), 8) + (point % 64))),
+        F.when(
+            point < 0x10000,
+            F.hex(0xE08080 + F.shiftleft(F.shiftright(point, 12), 16)
+                  + F.shiftleft(F.shiftright(point, 6) % 64, 8) + (point % 64)),
+        ),
+        F.hex(F.lit(0xF0808080) + F.shiftleft(F.shiftright(point, 18).cast("long"), 24)
+              + F.shiftleft(F.shiftright(point, 12) % 64, 16)
+              + F.shiftleft(F.shiftright(point, 6) % 64, 8) + (point % 64)),
+    ]
+    named = F.create_map(*[F.lit(x) for pair in ESCAPES.items() for x in pair])
+    numeric = F.decode(F.unhex(F.coalesce(*byte)), "UTF-8")
+    return F.when(escape.startswith("#"), numeric).otherwise(named[escape])
 
 
 def unescape(text: Column) -> Column:
-    """Text with its character escapes resolved."""
-    for escape, character in ESCAPES.items():
-        text = F.replace(text, F.lit(escape), F.lit(character))
-    return text
+    """Text with its character escapes resolved, each once: decimal, hexadecimal and named.
+
+    An escape that names no character stays as it is.
+    """
+    escapes = F.regexp_extract_all(text, F.lit(ESCAPE), F.lit(1))
+    between = F.split(text, ESCAPE, -1)
+    characters = F.transform(
+        escapes, lambda e: F.coalesce(_character(e), F.concat(F.lit("&"), e, F.lit(";")))
+    )
+    pairs = F.transform(
+        between, lambda part, i: F.concat(part, F.coalesce(F.get(characters, i), F.lit("")))
+    )
+    return F.array_join(pairs, "")
 
 
 def _attribute(name: str, tag: str = "_tag") -> Column:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,6 +47,37 @@ def write_by_year(df: DataFrame, root: str, layer: str, ts_col: str) -> str:
     return path
 
 
+def load_by_source(
+    df: DataFrame, root: str, layer: str, ts_col: str, source: str = "source_file"
+) -> str:
+    """Add the rows of sources that the layer does not hold yet, by year.
+
+    A source is a raw file, named by a column. One that was loaded before adds
+    nothing, whatever years it reaches into, so loads may overlap and repeat and
+    every row is held once. A null source counts as one source.
+    """
+    path = f"{root}/{layer}"
+    spark = df.sparkSession
+    if layer_exists(spark, path):
+        held = spark.read.parquet(path).select(F.col(source).alias("_held")).distinct()
+        df = df.join(held, F.col(source).eqNullSafe(F.col("_held")), "left_anti")
+    df.withColumn("year", F.year(ts_col)).hint("rebalance", "year").write.mode("append").partitionBy(
+        "year"
+    ).parquet(path)
+    return path
+
+
+def layer_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path holds a table."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
+
+
 def append_named_result(df: DataFrame, root: str, layer: str, name: str) -> str:
     """Add a result under a name to a layer; the name is a partition of it."""
     path = f"{root}/{layer}"

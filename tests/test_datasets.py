@@ -91,6 +91,40 @@ def test_turnstile_dataset(spark, tmp_path):
     assert scan_layer(spark, root, "turnstile_observations").filter("year = 2022").count() == 6
 
 
+def test_loads_add_up(spark, tmp_path):
+    """A year, then a file that reaches back into it, then one of them again: every read once."""
+    (tmp_path / "lookup.csv").write_text("remote,booth,complex_id,station,line_name,division\nR1,A,7,59 ST,N,BMT\n")
+    (tmp_path / "stations.csv").write_text("Complex ID,GTFS Latitude,GTFS Longitude\n7,40.75,-73.99\n")
+    root = str(tmp_path / "out")
+
+    def file(name, *reads):
+        lines = [HEADER] + [f"A,R1,00,59 ST,N,BMT,{day},{hour}:00:00,REGULAR,{n},{n}" for day, hour, n in reads]
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+
+    def load(start, end):
+        b.build_turnstiles(
+            spark, str(tmp_path), str(tmp_path / "lookup.csv"), str(tmp_path / "stations.csv"),
+            ["Complex ID", "GTFS Latitude", "GTFS Longitude"], root, [2020, 2021], start, end,
+        )
+        total = scan_layer(spark, root, "annual_complex").filter("period = 'all'")
+        return (
+            rows(scan_layer(spark, root, "turnstile_observations"), "observed_at", "entries"),
+            {r.year: r.total_entries for r in total.collect()},
+        )
+
+    file("turnstile_201226.txt", ("12/20/2020", "04", 10), ("12/20/2020", "08", 14), ("12/20/2020", "12", 20))
+    file("turnstile_210102.txt", ("12/31/2020", "20", 500), ("01/01/2021", "00", 504), ("01/01/2021", "04", 510))
+    seen, totals = load("2020-12-01", "2020-12-31")
+    assert len(seen) == 3 and totals == {2020: 10}
+    seen, totals = load("2021-01-01", "2021-12-31")
+    # the read at midnight still belongs to the last service day of 2020
+    assert len(seen) == 6 and totals == {2020: 14, 2021: 6}
+    for again in (("2020-12-01", "2020-12-31"), (None, None)):
+        assert load(*again) == (seen, totals)
+    daily = scan_layer(spark, root, "daily_complex").filter("period = 'all'").agg({"entries": "sum"}).first()[0]
+    assert daily == sum(totals.values())
+
+
 def test_crashes_and_comments(spark, tmp_path):
     root = str(tmp_path / "out")
     write_boundary(tmp_path / "b.json")
