@@ -375,19 +375,18 @@ def reclass_distance_from_zero(spark, sf):
     return g.reclass_distance(distances(spark, sf), 0, 89)
 
 
-piece(
-    "cell_points",
-    "SELECT row, col, min(id) AS id, arg_min(value, id) AS value FROM medium1 GROUP BY ALL",
-)
-piece(
-    "nearest",
-    """
-    SELECT g.row, g.col,
-           arg_min(s.value, ((g.row - s.row) * (g.row - s.row) + (g.col - s.col) * (g.col - s.col), s.id))
-               AS value
-    FROM medium_grid g, cell_points s GROUP BY ALL
-    """,
-)
+def nearest_sql(source: str, value: str = "s.value") -> str:
+    """Value of the point nearest to each medium cell's centre, by exact coordinates."""
+    return f"""
+    SELECT g.row, g.col, arg_min({value}, (g.dx * g.dx + g.dy * g.dy, g.id)) AS value
+    FROM (SELECT m.row, m.col, s.*, {MEDIUM.west}::DOUBLE + (m.col + 0.5::DOUBLE) * {MEDIUM.res}::DOUBLE - s.x AS dx,
+                 {MEDIUM.south}::DOUBLE + (m.row + 0.5::DOUBLE) * {MEDIUM.res}::DOUBLE - s.y AS dy
+          FROM medium_grid m, (SELECT id, x, y, value FROM {source}) s) g
+    GROUP BY ALL
+    """.replace("s.value", "g.value")
+
+
+piece("nearest", nearest_sql("medium1"))
 
 
 @bind("nearest_value", sql("SELECT * FROM nearest"))

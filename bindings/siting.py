@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bindings.cells import FINE, FULL, MEDIUM, RADIUS, bins, disc, full_bins, norm, points
+from bindings.cells import FINE, FULL, MEDIUM, RADIUS, bins, disc, full_bins, nearest_sql, norm, points
 from bindings.registry import bind, piece, sql
 from dockwise.operators import distance as d
 from dockwise.operators import grid as g
@@ -18,8 +18,12 @@ WEIGHTS = {"service": 3, "transit": 2, "expansion": 1, "profit": 2, "safety": 2}
 
 # --- layers ---
 
-piece("stations_fine", "SELECT DISTINCT row, col FROM fine1")
-piece("streets_fine", "SELECT row, col, arg_max(value, id) AS value FROM fine3 GROUP BY ALL")
+# the boroughs: a part of the map with a bay in the west and land of others in the east
+OUTSIDE = "(col >= 80 OR (col < 40 AND row BETWEEN 40 AND 55))"
+piece("borough_fine", f"SELECT row, col FROM fine_grid WHERE NOT {OUTSIDE}")
+piece("borough_medium", "SELECT m.row, m.col FROM medium_grid m JOIN borough_fine f ON f.row = 2 * m.row + 1 AND f.col = 2 * m.col + 1")
+piece("stations_fine", "SELECT DISTINCT row, col FROM fine1 JOIN borough_fine USING (row, col)")
+piece("streets_fine", "SELECT row, col, arg_max(value, id) AS value FROM fine3 JOIN borough_fine USING (row, col) GROUP BY ALL")
 piece("bikeable_fine", "SELECT row, col FROM streets_fine WHERE value IN (1, 3, 5, 6, 7, 10, 11, 13)")
 
 
@@ -43,14 +47,14 @@ piece(
     SELECT a.row, a.col,
            CASE WHEN floor(a.value) BETWEEN {STATION_MIN} AND {STATION_MAX}
                  AND floor(b.value) < {STREET_MAX} THEN 1.0 ELSE 0.0 END::DOUBLE AS value
-    FROM station_distance a JOIN street_distance b USING (row, col)
+    FROM station_distance a JOIN street_distance b USING (row, col) JOIN borough_fine USING (row, col)
     """,
 )
 piece(
     "served",
     f"""
     SELECT m.row, m.col, CASE WHEN floor(f.value) < {RADIUS} THEN 1.0 ELSE 0.0 END::DOUBLE AS value
-    FROM medium_grid m JOIN station_distance f ON f.row = 2 * m.row + 1 AND f.col = 2 * m.col + 1
+    FROM borough_medium m JOIN station_distance f ON f.row = 2 * m.row + 1 AND f.col = 2 * m.col + 1
     """,
 )
 piece("active", "SELECT row, col FROM served WHERE value = 1")
@@ -79,7 +83,7 @@ def _medium_distance(name: str, source: str) -> None:
         SELECT g.row, g.col,
                sqrt(CAST(min((g.row - s.row) * (g.row - s.row)
                              + (g.col - s.col) * (g.col - s.col)) AS DOUBLE)) * 20 AS value
-        FROM medium_grid g, (SELECT DISTINCT row, col FROM {source}) s GROUP BY ALL
+        FROM medium_grid g, (SELECT DISTINCT row, col FROM {source} JOIN borough_medium USING (row, col)) s GROUP BY ALL
         """,
     )
 
@@ -88,6 +92,14 @@ _medium_distance("complex_distance", "medium9")
 _medium_distance("route_distance", "medium11")
 
 
+def boroughs(spark, region=FINE) -> DataFrame:
+    """Cells of the boroughs; a medium cell counts if its fine cell in the middle does."""
+    inside = FINE.cells(spark).filter(f"NOT {OUTSIDE}")
+    if region is FINE:
+        return inside
+    return g.resample_nearest(inside.withColumn("value", F.lit(1.0)), FINE, MEDIUM)
+
+
 def fine_stations(spark, sf) -> DataFrame:
     return g.rasterize_points(points(spark, sf), None, FINE, "id")
 
@@ -99,12 +111,13 @@ def fine_streets(spark, sf) -> DataFrame:
 
 def allowed(spark, sf) -> DataFrame:
     return s.constraint(
-        fine_stations(spark, sf), fine_streets(spark, sf), FINE, STATION_MIN, STATION_MAX, STREET_MAX
+        fine_stations(spark, sf), fine_streets(spark, sf), FINE, STATION_MIN, STATION_MAX, STREET_MAX,
+        boroughs(spark),
     )
 
 
 def served(spark, sf) -> DataFrame:
-    return s.service_area(fine_stations(spark, sf), FINE, MEDIUM, RADIUS)
+    return s.service_area(fine_stations(spark, sf), FINE, MEDIUM, RADIUS, boroughs(spark))
 
 
 def active(spark, sf) -> DataFrame:
@@ -132,11 +145,13 @@ def riders(spark, sf, factor: int) -> DataFrame:
 
 
 def complex_distance(spark, sf) -> DataFrame:
-    return d.distance_to_nearest(g.bin_sum(points(spark, sf, 9), None, MEDIUM), MEDIUM)
+    stops = g.mask(g.bin_sum(points(spark, sf, 9), None, MEDIUM), boroughs(spark, MEDIUM))
+    return d.distance_to_nearest(stops, MEDIUM)
 
 
 def route_distance(spark, sf) -> DataFrame:
-    return d.distance_to_nearest(g.bin_sum(points(spark, sf, 11), None, MEDIUM), MEDIUM)
+    routes = g.mask(g.bin_sum(points(spark, sf, 11), None, MEDIUM), boroughs(spark, MEDIUM))
+    return d.distance_to_nearest(routes, MEDIUM)
 
 
 def share(spark, sf, first: int) -> DataFrame:
@@ -146,17 +161,7 @@ def share(spark, sf, first: int) -> DataFrame:
 
 
 for _first in (1, 3, 5, 7):
-    piece(
-        f"share{_first}",
-        f"""
-        SELECT g.row, g.col, arg_min(s.value / 20, ((g.row - s.row) * (g.row - s.row)
-                                              + (g.col - s.col) * (g.col - s.col), s.id)) AS value
-        FROM medium_grid g,
-             (SELECT row, col, min(id) AS id, arg_min(value, id) AS value
-              FROM medium{_first} GROUP BY ALL) s
-        GROUP BY ALL
-        """,
-    )
+    piece(f"share{_first}", nearest_sql(f"medium{_first}", "s.value / 20"))
 piece("docks_ratio", """
     SELECT row, col, least(c.value / p.value * 1000, 100) AS value
     FROM capacity_sum c JOIN population_sum p USING (row, col) WHERE p.value <> 0
@@ -453,5 +458,6 @@ def siting_pipeline(spark, sf):
         region=MEDIUM,
         radius=RADIUS,
         cell_area=400,
+        boroughs=boroughs(spark, MEDIUM),
     )
     return rounded(s.suitability(s.index_layers(layers), WEIGHTS))

@@ -9,6 +9,8 @@ look at the tiles around the sources and never build the rest of the grid.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from dockwise.operators.grid import CELL, Region, halo_tiles, located, tile_side
 
 
-def nearest_on_line(at: np.ndarray, cost: np.ndarray, scale: int, width: int) -> np.ndarray:
+def nearest_on_line(at: np.ndarray, cost: np.ndarray, width: int, scale: int = 1) -> np.ndarray:
     """For each x in 0..width-1 the index minimising scale * (x - at)^2 + cost.
 
     `at` ascends. All arithmetic is whole-numbered, hence exact.
@@ -89,7 +91,7 @@ def distance_to_nearest(
         line = line.sort_values("col")
         at = line["col"].to_numpy(dtype="int64")
         cost = line["d2"].to_numpy(dtype="int64")
-        best = nearest_on_line(at, cost, 1, width)
+        best = nearest_on_line(at, cost, width)
         x = np.arange(width)
         squared = (x - at[best]) ** 2 + cost[best]
         return pd.DataFrame(
@@ -148,41 +150,92 @@ def _distance_in_band(sources: DataFrame, region: Region, max_dist: float) -> Da
     return tiles.applyInPandas(in_tile, "row int, col int, value double")
 
 
-def nearest_value(
+def nearest_values(
     points: DataFrame,
-    value: str,
+    values: Sequence[str],
     region: Region,
     key: str,
     x: str = "x",
     y: str = "y",
+    side: int = 64,
 ) -> DataFrame:
-    """Value of the nearest point for every cell; of equally near ones, the smallest key.
+    """Values of the point nearest to each cell's centre; of equally near ones, the smallest key.
 
-    Points take their cell's place; of several in one cell the smallest key counts.
+    Distances are those of the points' own coordinates. The transform of the occupied
+    cells bounds how far a tile of cells has to look: the nearest point lies no farther
+    than the nearest occupied cell and a cell's diagonal. So every tile meets the points
+    of the tiles within its bound, and no others. Points of one place count once, the
+    smallest key standing for them.
     """
+    if not values:
+        raise ValueError("at least one value is needed")
+    names = [f"_value{i}" for i in range(len(values))]
     placed = located(points, region, x, y).select(
-        *CELL, F.col(key).alias("_key"), F.col(value).cast("double").alias("_value")
+        *CELL,
+        F.col(x).cast("double").alias("_x"),
+        F.col(y).cast("double").alias("_y"),
+        F.col(key).alias("_key"),
+        *[F.col(v).cast("double").alias(n) for v, n in zip(values, names)],
     )
-    sources = placed.groupBy(*CELL).agg(
-        F.min("_key").alias("_key"), F.min_by("_value", "_key").alias("_value")
-    )
-    width = region.cols
+    best = F.min(F.struct("_key", *names)).alias("_best")
+    placed = placed.groupBy(*CELL, "_x", "_y").agg(best).select(*CELL, "_x", "_y", "_best.*")
+    side = tile_side(region, 1, side)
+    res, diagonal = float(region.res), 2**0.5 * float(region.res)
+
+    bound = distance_to_nearest(placed.select(*CELL, F.lit(1.0).alias("value")), region)
+    tiles = bound.groupBy(
+        F.expr(f"row div {side}").cast("int").alias("tile_row"), F.expr(f"col div {side}").cast("int").alias("tile_col")
+    ).agg((F.max("value") + diagonal).alias("_bound"))
+    reach = F.ceil(F.col("_bound") / (res * side)).cast("int")
+
+    def around(tile: str, count: int) -> Column:
+        last = (count - 1) // side
+        return F.sequence(F.greatest(F.col(tile) - reach, F.lit(0)), F.least(F.col(tile) + reach, F.lit(last)))
+
+    wide = tiles.withColumn("_from_row", F.explode(around("tile_row", region.rows)))
+    wide = wide.withColumn("_from_col", F.explode(around("tile_col", region.cols)))
+    # cells between two tiles, 0 for neighbours
+    gaps = [F.greatest(F.abs(F.col(f"_from_{c}") - F.col(f"tile_{c}")) - 1, F.lit(0)) for c in ("row", "col")]
+    apart = F.sqrt(gaps[0] * gaps[0] + gaps[1] * gaps[1]) * F.lit(res * side)
+    wide = wide.filter(apart <= F.col("_bound")).drop("_bound")
+    sources = placed.withColumns(
+        {"_from_row": F.expr(f"row div {side}").cast("int"), "_from_col": F.expr(f"col div {side}").cast("int")}
+    ).drop(*CELL)
+    met = sources.join(wide, ["_from_row", "_from_col"])
+    rows, cols, west, south = region.rows, region.cols, float(region.west), float(region.south)
+
+    def in_tile(tile: tuple, found: pd.DataFrame) -> pd.DataFrame:
+        found = found.sort_values("_key", kind="stable")
+        px, py = found["_x"].to_numpy(), found["_y"].to_numpy()
+        row = np.arange(tile[0] * side, min(rows, (tile[0] + 1) * side))
+        col = np.arange(tile[1] * side, min(cols, (tile[1] + 1) * side))
+        cx, cy = west + (col + 0.5) * res, south + (row + 0.5) * res
+        least = np.full((len(row), len(col)), np.inf)
+        which = np.zeros((len(row), len(col)), dtype=np.int64)
+        for at in range(0, len(px), 256):  # a bounded table of squares at a time
+            dx, dy = cx[:, None] - px[None, at : at + 256], cy[:, None] - py[None, at : at + 256]
+            squares = (dx * dx)[None, :, :] + (dy * dy)[:, None, :]
+            nearest = squares.argmin(axis=2)
+            low = np.take_along_axis(squares, nearest[:, :, None], axis=2)[:, :, 0]
+            closer = low < least  # keys ascend, so an equal distance leaves the smaller key
+            least[closer], which[closer] = low[closer], nearest[closer] + at
+        grid_row, grid_col = np.meshgrid(row, col, indexing="ij")
+        chosen = which.ravel()
+        out = {"row": grid_row.ravel().astype("int32"), "col": grid_col.ravel().astype("int32")}
+        return pd.DataFrame(out | {n: found[n].to_numpy()[chosen] for n in names})
+
+    schema = ", ".join(["row int", "col int", *[f"{n} double" for n in names]])
+    result = met.groupBy("tile_row", "tile_col").applyInPandas(in_tile, schema)
+    return result.select(*CELL, *[F.col(n).alias(v) for n, v in zip(names, values)])
 
-    def along_row(key: tuple, line: pd.DataFrame) -> pd.DataFrame:
-        line = line.sort_values("col")
-        at = line["col"].to_numpy(dtype="int64")
-        # distance first, then the rank of the key, in one whole number
-        _, rank = np.unique(line["_key"].to_numpy(), return_inverse=True)
-        scale = int(rank.max()) + 1
-        cost = line["d2"].to_numpy(dtype="int64") * scale + rank
-        best = nearest_on_line(at, cost, scale, width)
-        return pd.DataFrame(
-            {
-                "row": np.full(width, key[0], dtype="int32"),
-                "col": np.arange(width, dtype="int32"),
-                "value": line["_value"].to_numpy()[best],
-            }
-        )
 
-    columns = _column_nearest(sources, region, ["_key", "_value"])
-    return columns.groupBy("row").applyInPandas(along_row, "row int, col int, value double")
+def nearest_value(
+    points: DataFrame,
+    value: str,
+    region: Region,
+    key: str,
+    x: str = "x",
+    y: str = "y",
+) -> DataFrame:
+    """Value of the nearest point for every cell; see `nearest_values`."""
+    return nearest_values(points, [value], region, key, x, y).withColumnRenamed(value, "value")

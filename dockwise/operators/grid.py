@@ -110,6 +110,14 @@ def fill_empty(cells: DataFrame, region: Region, value: float = 0.0) -> DataFram
     return both.groupBy(*CELL).agg(F.coalesce(F.max("value"), F.lit(float(value))).alias("value"))
 
 
+def fill_within(cells: DataFrame, area: DataFrame, value: float = 0.0) -> DataFrame:
+    """Every cell of an area, empty ones holding `value`; cells outside are left out."""
+    inside = area.select(*CELL, F.lit(None).cast("double").alias("value"), F.lit(True).alias("_inside"))
+    both = inside.unionByName(cells.select(*CELL, F.col("value").cast("double"), F.lit(False).alias("_inside")))
+    held = both.groupBy(*CELL).agg(F.max("value").alias("value"), F.max("_inside").alias("_inside"))
+    return held.filter("_inside").select(*CELL, F.coalesce("value", F.lit(float(value))).alias("value"))
+
+
 def bin_sum(
     points: DataFrame,
     value: str | None,
@@ -267,9 +275,17 @@ def stack_layers(**layers: DataFrame) -> DataFrame:
 
 
 def cell_algebra(expr: Column | str, **layers: DataFrame) -> DataFrame:
-    """An expression over aligned layers, empty where the result is null."""
+    """An expression over aligned layers, empty where the result is null.
+
+    A single layer is not aligned with anything: its cells are not shuffled.
+    """
     column = F.expr(expr) if isinstance(expr, str) else expr
-    result = stack_layers(**layers).select(*CELL, column.cast("double").alias("value"))
+    if len(layers) == 1:
+        [(name, cells)] = layers.items()
+        stacked = cells.select(*CELL, F.col("value").cast("double").alias(name))
+    else:
+        stacked = stack_layers(**layers)
+    result = stacked.select(*CELL, column.cast("double").alias("value"))
     return result.filter(F.col("value").isNotNull())
 
 

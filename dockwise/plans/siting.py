@@ -13,7 +13,7 @@ from dockwise.operators.clean import (
     fix_capacity_typo,
     population_per_cell,
 )
-from dockwise.operators.distance import distance_to_nearest, nearest_value
+from dockwise.operators.distance import distance_to_nearest, nearest_values
 from dockwise.operators.grid import (
     CELL,
     MEDIUM_CELL_AREA,
@@ -24,6 +24,7 @@ from dockwise.operators.grid import (
     cell_algebra,
     cells_within,
     fill_empty,
+    fill_within,
     focal_sum,
     inverse_distance,
     mask,
@@ -104,20 +105,39 @@ def constraint(
     lo: int = STATION_MIN,
     hi: int = WALK_RADIUS,
     street_max: int = STREET_MAX,
+    boroughs: DataFrame | None = None,
 ) -> DataFrame:
-    """1 where a dock may stand: by a bikeable street, off other docks but within a walk."""
-    by_station = near(stations, region, lo, hi)
-    by_street = near(streets, region, 0, street_max)
+    """1 where a dock may stand: by a bikeable street, off other docks but within a walk.
+
+    With `boroughs` (cells of the region) only sources inside count, and cells
+    outside stay empty.
+    """
+    by_station = near(_inside(stations, boroughs), region, lo, hi)
+    by_street = near(_inside(streets, boroughs), region, 0, street_max)
     both = cell_algebra("stations * streets", stations=by_station, streets=by_street)
-    return fill_empty(both, region)
+    return fill_empty(both, region) if boroughs is None else fill_within(both, boroughs)
+
+
+def _inside(cells: DataFrame, boroughs: DataFrame | None) -> DataFrame:
+    return cells if boroughs is None else mask(cells, boroughs)
 
 
 def service_area(
-    stations: DataFrame, fine: Region, medium: Region, radius: int = WALK_RADIUS
+    stations: DataFrame,
+    fine: Region,
+    medium: Region,
+    radius: int = WALK_RADIUS,
+    boroughs: DataFrame | None = None,
 ) -> DataFrame:
-    """1 within a walk of a station and 0 elsewhere, found fine and kept medium."""
-    walk = resample_nearest(near(stations, fine, 0, radius), fine, medium)
-    return fill_empty(walk, medium)
+    """1 within a walk of a station and 0 elsewhere, found fine and kept medium.
+
+    With `boroughs` (fine cells) only stations inside count, and cells outside
+    stay empty: they are no land that waits to be served.
+    """
+    walk = near(_inside(stations, boroughs), fine, 0, radius)
+    if boroughs is None:
+        return fill_empty(resample_nearest(walk, fine, medium), medium)
+    return resample_nearest(fill_within(walk, boroughs), fine, medium)
 
 
 def service_area_mask(area: DataFrame, boroughs: DataFrame) -> DataFrame:
@@ -300,38 +320,46 @@ def service_layers(
     cell_area: float = MEDIUM_CELL_AREA,
     key: str = "id",
     names: Mapping[str, str] = LAYER_COLUMNS,
+    boroughs: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The layers of the served cells that the indices are made of.
 
     `population` and `routes` are cells; the others are points with x, y, a
     key and the columns of `names`. `area` and `active` should be settled.
+    With `boroughs` (cells of the region) routes and stops outside are no
+    sources of distance.
     """
 
     def walk_sum(points: DataFrame, value: str) -> DataFrame:
         return focal_sum(bin_sum(points, names[value], region), radius, region, fill=True)
 
-    def by_nearest(points: DataFrame, value: str) -> DataFrame:
-        return nearest_value(points, names[value], region, key)
+    def by_nearest(points: DataFrame, *values: str) -> list[DataFrame]:
+        """Layers of several values of one point layer, found in one pass."""
+        found = settle(mask(nearest_values(points, [names[v] for v in values], region, key), active))
+        return [found.select(*CELL, F.col(names[v]).alias("value")) for v in values]
 
     people = settle(population)
     people_sum = focal_sum(people, radius, region, fill=True)
     stops = null_if(rasterize_points(complexes, names["total_exits"], region, key), 0)
+    peak_bikes, peak_docks = by_nearest(peak, "bikes", "docks")
+    offpeak_bikes, offpeak_docks = by_nearest(offpeak, "bikes", "docks")
+    (trips_layer,) = by_nearest(fix_capacity_typo(trips, names["trips"]), "trips")
     layers = {
         "entries": walk_sum(complexes, "entries"),
         "exits": walk_sum(complexes, "exits"),
-        "transit_distance": distance_to_nearest(stops, region),
-        "trips": by_nearest(fix_capacity_typo(trips, names["trips"]), "trips"),
+        "transit_distance": distance_to_nearest(_inside(stops, boroughs), region),
         "population_sum": people_sum,
-        "route_distance": distance_to_nearest(routes, region),
+        "route_distance": distance_to_nearest(_inside(routes, boroughs), region),
         "crashes": walk_sum(crashes, "injured"),
         "docks_per_person": docks_per_person(walk_sum(docks, "capacity"), people_sum),
-        "peak_bikes": by_nearest(peak, "bikes"),
-        "peak_docks": by_nearest(peak, "docks"),
-        "offpeak_bikes": by_nearest(offpeak, "bikes"),
-        "offpeak_docks": by_nearest(offpeak, "docks"),
     }
     return {
         **{name: mask(cells, active) for name, cells in layers.items()},
+        "trips": trips_layer,
+        "peak_bikes": peak_bikes,
+        "peak_docks": peak_docks,
+        "offpeak_bikes": offpeak_bikes,
+        "offpeak_docks": offpeak_docks,
         "potential_population": potential_population(people, area, radius, region, active),
         "potential_area": potential_area(area, radius, region, active, cell_area),
     }

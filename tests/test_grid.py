@@ -79,10 +79,8 @@ def test_nearest_value(spark, seed):
     frame = pd.DataFrame({"id": np.arange(n), "x": rng.uniform(0, 310, n), "y": rng.uniform(0, 230, n), "v": rng.normal(size=n)})
     points = spark.createDataFrame(frame)
     got = array_of(d.nearest_value(points, "v", REGION, "id"))
-    frame["row"], frame["col"] = frame.y // 10, frame.x // 10
-    frame = frame.sort_values("id").drop_duplicates(["row", "col"])
     row, col = offsets()
-    squared = np.stack([(row - r) ** 2 + (col - c) ** 2 for r, c in zip(frame.row, frame.col)])
+    squared = np.stack([((row + 0.5) * 10 - y) ** 2 + ((col + 0.5) * 10 - x) ** 2 for x, y in zip(frame.x, frame.y)])
     # of equally near points the first, which has the smallest id
     np.testing.assert_allclose(got, frame.v.to_numpy()[np.argmin(squared, axis=0)])
 
@@ -241,3 +239,31 @@ def test_hot_cell_is_combined_before_the_shuffle(spark):
     binned = g.bin_sum(points, None, REGION)
     assert rows(binned) == [(0, 0, 100000.0), (0, 10, 100000.0), (0, 20, 100000.0)]
     assert "partial_sum" in binned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nearest_values_by_exact_place(spark):
+    """Points that share a cell, a place or a distance; several values in one pass."""
+    from dockwise.operators.distance import nearest_values
+
+    region = g.Region(-50.0, 20.0, 10.0, 37, 45)
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 60):
+        x, y = rng.uniform(-50, 400, n), rng.uniform(20, 390, n)
+        x[: n // 3], y[: n // 3] = rng.uniform(0, 10, n // 3), rng.uniform(100, 110, n // 3)  # one cell
+        places = list(zip(x.tolist(), y.tolist())) + [(float(x[0]), float(y[0]))]
+        points = [(i, px, py, float(i), float(-i)) for i, (px, py) in enumerate(places)]
+        df = spark.createDataFrame(points, "id int, x double, y double, a double, b double")
+        got = {(r.row, r.col): (r.a, r.b) for r in nearest_values(df, ["a", "b"], region, "id", side=8).collect()}
+        assert len(got) == 37 * 45
+        for (row, col), (a, b) in got.items():
+            cx, cy = -50 + (col + 0.5) * 10, 20 + (row + 0.5) * 10
+            want = min(range(len(places)), key=lambda i: ((cx - places[i][0]) ** 2 + (cy - places[i][1]) ** 2, i))
+            assert (a, b) == (want, -want)
+
+
+def test_fill_within(spark):
+    schema = "row int, col int, value double"
+    cells = spark.createDataFrame([(0, 0, 5.0), (0, 1, 6.0), (3, 3, 7.0)], schema)
+    area = spark.createDataFrame([(0, 1), (0, 2)], "row int, col int")
+    got = sorted(tuple(r) for r in g.fill_within(cells, area).collect())
+    assert got == [(0, 1, 6.0), (0, 2, 0.0)]

@@ -83,3 +83,27 @@ def test_whole_model(spark):
     score = s.suitability(indices, {n: 2 for n in s.INDICES})
     got = array_of(score, MEDIUM)
     np.testing.assert_allclose([got.min(), got.max()], [1, 100])
+
+
+def test_boroughs_bound_the_service_area(spark):
+    """Outside the boroughs nothing is a source, nothing is served and nothing waits to be served."""
+    docks = sparse(3, 0.003, FINE)
+    docks[10, 10] = docks[5, 38] = 1.0
+    inside = np.zeros((40, 40), dtype=bool)
+    inside[:, :30] = True
+    boroughs = cells_of(spark, np.where(inside, 1.0, np.nan))
+    area = s.service_area(cells_of(spark, docks), FINE, MEDIUM, 60, boroughs)
+    kept = np.where(inside, docks, np.nan)
+    want = (np.floor(brute_distance(kept, FINE)) <= 59).astype(float)
+    want[~inside] = np.nan
+    np.testing.assert_array_equal(array_of(area, MEDIUM), want[1::2, 1::2])
+    unserved = array_of(g.reclass_invert(area), MEDIUM)
+    assert np.isnan(unserved[:, 15:]).all()
+    streets = sparse(2, 0.02, FINE)
+    streets[20, 20] = 1.0
+    allowed = array_of(s.constraint(cells_of(spark, docks), cells_of(spark, streets), FINE, 30, 120, 25, boroughs), FINE)
+    assert np.isnan(allowed[~inside]).all() and not np.isnan(allowed[inside]).any()
+    by_dock, by_street = np.floor(brute_distance(kept, FINE)), np.floor(brute_distance(np.where(inside, streets, np.nan), FINE))
+    np.testing.assert_array_equal(
+        allowed[inside], ((by_dock >= 30) & (by_dock <= 120) & (by_street <= 24))[inside].astype(float)
+    )
