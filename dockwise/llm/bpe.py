@@ -16,7 +16,7 @@ from dockwise.llm.common import table, whole_text
 
 #: Fixed value: how byte-level vocabularies split a text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Chunks whose ids a worker remembers before it starts anew.
+#: Chunks and pieces whose ids a worker remembers before it starts anew.
 REMEMBER = 600_000
 _NONE = 1 << 62
 
@@ -46,21 +46,6 @@ def chunks(text: str) -> list[str]:
     return found
 
 
-class Remembered(dict):
-    """Ids by chunk; a chunk that is not known yet is split into pieces and merged."""
-
-    def __init__(self, split, merge):
-        super().__init__()
-        self.split, self.merge = split, merge
-
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        pieces = [self.merge(p.encode("utf-8", "replace")) for p in self.split.findall(chunk)]
-        ids = pieces[0] if len(pieces) == 1 else tuple(itertools.chain.from_iterable(pieces))
-        if len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
-
-
 class Vocabulary:
     """Ids, merge ranks and special strings of a byte-level BPE file in JSON."""
 
@@ -80,7 +65,15 @@ class Vocabulary:
         self.bytes |= {i: content.encode() for content, i in self.special.items()}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, longest_first))) if longest_first else None
-        self.known = Remembered(regex.compile(PATTERN), self.merge)
+        self.split = regex.compile(PATTERN)
+        self.known: dict[str, tuple[int, ...]] = {}
+        pairs = np.array([a << 32 | b for a, b in self.merges], dtype=np.int64)
+        order = np.argsort(pairs)
+        self.pairs = pairs[order]
+        self.ranks = np.array([rank for rank, _ in self.merges.values()], dtype=np.int64)[order]
+        self.made = np.zeros(int(self.ranks.max()) + 1, dtype=np.int64)  # id by rank
+        for rank, made in self.merges.values():
+            self.made[rank] = made
 
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Ids of one piece.
@@ -145,22 +138,114 @@ class Vocabulary:
                     at >>= 1
         return tuple(x for x, keep in zip(ids, alive) if keep)
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a whole text; the special strings in it become their own ids."""
-        out: list[int] = []
-        at = 0
-        if self.cut is not None:
-            for hit in self.cut.finditer(text):
-                self._plain(text[at : hit.start()], out)
-                out.append(self.special[hit.group()])
-                at = hit.end()
-        self._plain(text[at:] if at else text, out)
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of many pairs at once; _NONE where a pair does not merge."""
+        wanted = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == wanted, self.ranks[at], _NONE)
+
+    def merge_many(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """`merge` of many short pieces: a segment tree per row, all rows a step at a time."""
+        out: list[tuple[int, ...]] = [()] * len(words)
+        by_size: dict[int, list[int]] = {}
+        for k, word in enumerate(words):
+            by_size.setdefault(max(2, 1 << (len(word) - 1).bit_length()), []).append(k)
+        for size, rows in by_size.items():
+            for at in range(0, len(rows), 8192):
+                part = rows[at : at + 8192]
+                for k, ids in zip(part, self._merge_rows([words[k] for k in part], size)):
+                    out[k] = ids
         return out
 
-    def _plain(self, text: str, out: list[int]) -> None:
-        out.extend(itertools.chain.from_iterable(map(self.known.__getitem__, chunks(text))))
-        if len(self.known) > REMEMBER:
+    def _merge_rows(self, words: list[bytes], size: int) -> list[tuple[int, ...]]:
+        n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        raw = np.frombuffer(b"".join(w.ljust(size, b"\0") for w in words), dtype=np.uint8).reshape(-1, size)
+        ids = np.array(self.start, dtype=np.int64)[raw]
+        places = np.arange(size)
+        alive = places < n[:, None]
+        after, before = np.tile(places + 1, (len(words), 1)), np.tile(places - 1, (len(words), 1))
+        tree = np.full((len(words), 2 * size), _NONE, dtype=np.int64)
+        pair = places[:-1] < n[:, None] - 1
+        rank = self._rank(ids[:, :-1], ids[:, 1:])
+        tree[:, size:-1] = np.where(pair & (rank < _NONE), rank << 8 | places[:-1], _NONE)
+        level = size
+        while level > 1:
+            half = level >> 1
+            tree[:, half:level] = np.minimum(tree[:, level : 2 * level : 2], tree[:, level + 1 : 2 * level : 2])
+            level = half
+        row = np.flatnonzero(tree[:, 1] < _NONE)
+        while len(row):
+            root = tree[row, 1]
+            i = root & 0xFF
+            j = after[row, i]
+            new = self.made[root >> 8]
+            ids[row, i] = new
+            alive[row, j] = False
+            k = after[row, j]
+            after[row, i] = k
+            has_next = k < n[row]
+            k = np.minimum(k, size - 1)
+            before[row[has_next], k[has_next]] = i[has_next]
+            rank = np.where(has_next, self._rank(new, ids[row, k]), _NONE)
+            tree[row, size + i] = np.where(rank < _NONE, rank << 8 | i, _NONE)
+            tree[row, size + j] = _NONE
+            h = before[row, i]
+            has_last = h >= 0
+            h = np.maximum(h, 0)
+            rank = np.where(has_last, self._rank(ids[row, h], new), _NONE)
+            value = np.where(rank < _NONE, rank << 8 | h, _NONE)
+            tree[row[has_last], size + h[has_last]] = value[has_last]
+            for leaf in (i, j, h):
+                node = size + leaf
+                while node[0] > 1:
+                    node = node >> 1
+                    tree[row, node] = np.minimum(tree[row, 2 * node], tree[row, 2 * node + 1])
+            row = row[tree[row, 1] < _NONE]
+        flat, ends = ids[alive].tolist(), np.cumsum(alive.sum(axis=1)).tolist()
+        return [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def learn(self, wanted: set[str]) -> None:
+        """Makes chunks known: their pieces that are new are merged together."""
+        new = wanted.difference(self.known)
+        if len(self.known) + 2 * len(new) > REMEMBER:
             self.known.clear()
+            new = wanted
+        cut = {chunk: self.split.findall(chunk) for chunk in new}
+        pieces = list({p for found in cut.values() for p in found}.difference(self.known))
+        raw = [p.encode("utf-8", "replace") for p in pieces]
+        short = [k for k, word in enumerate(raw) if len(word) <= 64]
+        self.known.update(zip([pieces[k] for k in short], self.merge_many([raw[k] for k in short])))
+        self.known.update((pieces[k], self.merge(word)) for k, word in enumerate(raw) if len(word) > 64)
+        for chunk, found in cut.items():
+            if len(found) != 1:
+                self.known[chunk] = tuple(itertools.chain.from_iterable(map(self.known.__getitem__, found)))
+        for piece in pieces:
+            if len(piece) > 64 and piece not in wanted:
+                del self.known[piece]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of whole texts; the special strings in them become their own ids."""
+        plain, marks = [], []
+        for text in texts:
+            marks.append([self.special[m] for m in self.cut.findall(text)] if self.cut is not None else [])
+            plain.append([chunks(t) for t in (self.cut.split(text) if marks[-1] else [text])])
+        wanted = set().union(*(part for parts in plain for part in parts))
+        self.learn(wanted)
+        get, out = self.known.__getitem__, []
+        for parts, own in zip(plain, marks):
+            ids = list(itertools.chain.from_iterable(map(get, parts[0])))
+            for mark, part in zip(own, parts[1:]):
+                ids.append(mark)
+                ids.extend(itertools.chain.from_iterable(map(get, part)))
+            out.append(ids)
+        for chunk in wanted:
+            if len(chunk) > 64:  # long ones do not recur and would fill the memory
+                del self.known[chunk]
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of one whole text."""
+        return self.encode_all([text])[0]
 
     def decode(self, ids) -> str:
         """The text of some ids; bytes that are no UTF-8 become U+FFFD."""
@@ -195,7 +280,7 @@ def _mapped(docs: DataFrame, columns: list[Column], schema: str, path: str, of)
 
 def _ids(lists: list[list[int]]) -> pa.Array:
     ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-    flat = np.fromiter((x for ids in lists for x in ids), dtype=np.int32, count=int(ends[-1]))
+    flat = np.fromiter(itertools.chain.from_iterable(lists), dtype=np.int32, count=int(ends[-1]))
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
@@ -209,7 +294,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     kind = docs.schema[id_col].dataType.simpleString()
 
     def of(known: Vocabulary, batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = [known.encode(t) for t in batch.column(1).to_pylist()]
+        lists = known.encode_all(batch.column(1).to_pylist())
         return pa.RecordBatch.from_arrays([batch.column(0), _ids(lists)], [id_col, "ids"])
 
     return _mapped(docs, [F.col(id_col), whole_text(text_col).alias("text")], f"{id_col} {kind}, ids array<int>", path, of)
@@ -231,7 +316,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     kind = docs.schema[id_col].dataType.simpleString()
 
     def of(known: Vocabulary, batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = [known.encode(t) for t in batch.column(1).to_pylist()]
+        lists = known.encode_all(batch.column(1).to_pylist())
         texts = pa.array([known.decode(ids) for ids in lists], pa.string())
         return pa.RecordBatch.from_arrays([batch.column(0), _ids(lists), texts], [id_col, "ids", "text"])
 

@@ -49,7 +49,8 @@ def test_long_pieces_and_special_strings(library, known):
 def test_memory_is_bounded(known):
     known.known.clear()
     for k in range(3):
-        known.encode(" ".join(f"q{k}x{i}" for i in range(REMEMBER // 2)))
+        known.encode(" ".join(f"q{k}x{i}" for i in range(REMEMBER // 3)) + " " + "z" * 5000 + "1" * 5000)
+        assert max(map(len, known.known)) <= 64
         assert len(known.known) <= REMEMBER
 
 
