@@ -124,7 +124,7 @@ class _Files:
         if self.out is None or self.at >= limit:
             self.close()
             self.name = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}{self.suffix}"
-            self.out, self.at = self.place.open_output_stream(f"{self.path}/{self.name}"), 0
+            self.out, self.at = self.place.open_output_stream(f"{self.path}/{self.name}", compression=None), 0
         self.out.write(raw)
         begin, self.at = self.at, self.at + len(raw)
         return self.name, begin, len(raw)
@@ -295,7 +295,7 @@ def scan_archives(captures: DataFrame, root: str) -> DataFrame:
         for batch in batches:
             for name in batch["file"]:
                 found, size = [], 0
-                with place.open_input_stream(f"{path}/{name}") as file:
+                with place.open_input_stream(f"{path}/{name}", compression=None) as file:
                     unpack, raw, rest = zlib.decompressobj(31), [], b""
                     while True:
                         rest = rest or file.read(1 << 20)
