@@ -19,6 +19,21 @@ def _stream(spark, sf, view) -> DataFrame:
     return view(events)
 
 
+def _shuffled(spark, sf, view, ts: str) -> DataFrame:
+    """A bound view over the events as a feed out of order: four files of events dealt by
+    a hash of their id, one to a trigger, and the row that flushes the feed."""
+    rows, source = view(table(spark, sf, "events")), work_dir(spark, "feed")
+    key = rows.columns[0]
+    for part in range(4):
+        rows.filter(F.pmod(F.xxhash64(key), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(source)
+    feeds.flush_rows(rows, ts).coalesce(1).write.mode("append").parquet(source)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+
+
+#: The events reach over less than this, so no shuffled file comes too late.
+WHOLE_FEED = "4000 days"
+
+
 def _run(spark, rows: DataFrame, name: str) -> DataFrame:
     out = work_dir(spark, name)
     feeds.append_stream(rows, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
@@ -53,7 +68,8 @@ def _reports(events: DataFrame) -> DataFrame:
     ),
 )
 def stream_net_counts(spark, sf):
-    return _run(spark, feeds.stream_net_counts(_stream(spark, sf, _reads)), "net")
+    feed = _shuffled(spark, sf, _reads, "observed_at")
+    return _run(spark, feeds.stream_net_counts(feed, delay=WHOLE_FEED), "net")
 
 
 @bind(
@@ -61,26 +77,25 @@ def stream_net_counts(spark, sf):
     sql("SELECT objectid, station_id, reported_datetime, stale FROM flagged"),
 )
 def stream_stale_flag(spark, sf):
-    return _run(spark, feeds.stream_stale_flag(_stream(spark, sf, _reports)), "stale")
+    feed = _shuffled(spark, sf, _reports, "reported_datetime")
+    return _run(spark, feeds.stream_stale_flag(feed, delay=WHOLE_FEED), "stale")
 
 
 @bind(
     "stream_service_day_totals",
     """
-    SELECT unit_id, date, entries, exits FROM (
-        SELECT user_id AS unit_id, CAST(ts - INTERVAL 2 HOURS AS DATE) AS date,
-               CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS entries,
-               CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS exits
-        FROM events GROUP BY ALL)
-    WHERE date + INTERVAL 26 HOURS <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)
+    SELECT user_id AS unit_id, CAST(ts - INTERVAL 2 HOURS AS DATE) AS date,
+           CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS entries,
+           CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS exits
+    FROM events GROUP BY ALL
     """,
 )
 def stream_service_day_totals(spark, sf):
-    """Days that the watermark, a day behind the newest read, has closed."""
-    counted = _stream(spark, sf, _reads).withColumns(
+    """All days, the last ones closed by the row that flushes the feed."""
+    counted = _shuffled(spark, sf, _reads, "observed_at").withColumns(
         {"net_entries": F.col("entries"), "net_exits": F.col("exits")}
     )
-    return _run(spark, feeds.stream_service_day_totals(counted), "days")
+    return _run(spark, feeds.stream_service_day_totals(counted, delay=WHOLE_FEED), "days")
 
 
 @bind("stream_status_ingest", STATUS_ROWS)
@@ -95,7 +110,7 @@ def stream_status_ingest(spark, sf):
 @bind(
     "append_new_stations",
     """
-    SELECT user_id AS station_id, arg_min(event_type, ts) AS name, min(ts) AS seen_at
+    SELECT user_id AS station_id, arg_min(event_type, (ts, event_type)) AS name, min(ts) AS seen_at
     FROM events GROUP BY ALL
     """,
 )

@@ -1,17 +1,23 @@
 """The two feeds that arrive over time, under Structured Streaming.
 
-Stateful steps remember the last row per key. They give the batch result for
-input that arrives in time order per key; late rows need the batch job. Only
-the key, the order and the looked-up columns enter the state step, and the
-source's `maxFilesPerTrigger` or `maxBytesPerTrigger` bounds what one trigger
-brings for any key.
+Stateful steps remember the last row per key and hold newer rows until the
+watermark has passed them, so they give the batch result for input that arrives
+out of order by no more than `delay`; rows that come later still are dropped, as
+by any watermark. Only the key, the order and the looked-up columns enter the
+state step. A key's state is what it sent within the delay, and the source's
+`maxFilesPerTrigger` or `maxBytesPerTrigger` bounds what a trigger adds to it.
+
+A feed that ends leaves its last rows behind the watermark. `flush_rows` makes
+the row that moves the watermark past them all.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -38,30 +44,81 @@ def _moment(micros: str) -> Column:
     )
 
 
+def _instant(ts: str) -> Column:
+    """Watermarks need an instant: the one whose UTC clock shows the row's time."""
+    return F.timestamp_micros(_micros(F.col(ts)))
+
+
+# Fixed value: the time of a row that only moves the watermark.
+FLUSH_TIME = "2250-01-01 00:00:00"
+
+
+def flush_rows(like: DataFrame, ts: str) -> DataFrame:
+    """One row of a feed's columns, all null but a time far ahead of any read.
+
+    Written into a feed's source after its last rows, it lets the watermark pass
+    them: held rows and open days come out. The row itself never does.
+    """
+    at = F.lit(FLUSH_TIME).cast(like.schema[ts].dataType)
+    return like.sparkSession.range(1).select(
+        *[at.alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema]
+    )
+
+
 def _with_previous_in_state(
-    stream: DataFrame, key: str, ts: str, tie: str, values: Sequence[str]
+    stream: DataFrame, key: str, ts: str, tie: str, values: Sequence[str], delay: str
 ) -> DataFrame:
     """Key, tie and `ts` in microseconds, with every value and its predecessor."""
     values = list(values)
     narrow = stream.select(
-        key, tie, _micros(F.col(ts)).alias("micros"), *[F.col(v).cast("long").alias(v) for v in values]
-    )
+        key,
+        tie,
+        _micros(F.col(ts)).alias("micros"),
+        *[F.col(v).cast("long").alias(v) for v in values],
+        _instant(ts).alias("_instant"),
+    ).withWatermark("_instant", delay)
     held = ["micros", *values]
     previous = [f"previous_{c}" for c in held]
+    flush = int((pd.Timestamp(FLUSH_TIME) - pd.Timestamp("1970-01-01")).total_seconds()) * 1_000_000
+    fields = [f for f in narrow.schema.fields if f.name != "_instant"]
+    output = ", ".join(
+        [f"{f.name} {f.dataType.simpleString()}" for f in fields] + [f"{p} long" for p in previous]
+    )
 
     def carry(group: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(batches).sort_values(["micros", tie], kind="stable")
-        before = rows[held].astype("Int64").shift(1)
+        last, waiting = [None] * len(held), []
         if state.exists:
-            before.iloc[0] = [pd.NA if v is None else v for v in state.get]
-        last = rows[held].iloc[-1]
-        state.update(tuple(None if pd.isna(v) else int(v) for v in last))
-        yield pd.concat([rows, before.set_axis(previous, axis=1)], axis=1)
-
-    types = {f.name: f.dataType.simpleString() for f in narrow.schema.fields}
-    output = ", ".join([f"{n} {t}" for n, t in types.items()] + [f"{p} long" for p in previous])
+            *last, text = state.get
+            waiting = json.loads(text)
+        for batch in batches:
+            rows = batch[[tie, *held]].astype(object)
+            waiting += rows.where(rows.notna(), None).values.tolist()
+        passed = state.getCurrentWatermarkMs() * 1000
+        # a row without a time has no predecessor and is none
+        timeless = [w for w in waiting if w[1] is None]
+        timed = [w for w in waiting if w[1] is not None and w[1] < flush]
+        ready = sorted((w for w in timed if w[1] < passed), key=lambda w: (w[1], w[0] is not None, w[0]))
+        waiting = [w for w in timed if w[1] >= passed]
+        out = [(*w, *[None] * len(held)) for w in timeless]
+        for row in ready:
+            out.append((*row, *last))
+            last = row[1:]
+        if waiting or last[0] is not None:
+            state.update((*last, json.dumps(waiting)))
+        elif state.exists:
+            state.remove()
+        if waiting:
+            state.setTimeoutTimestamp(min(w[1] for w in waiting) // 1000 + 1)
+        if out:
+            frame = pd.DataFrame(out, columns=[tie, *held, *previous]).astype(
+                {c: "Int64" for c in [*held, *previous]}
+            )
+            frame.insert(0, key, [group[0]] * len(frame))
+            yield frame
+
+    kept = [f"{c} long" for c in held] + ["waiting string"]
     return narrow.groupBy(key).applyInPandasWithState(
-        carry, output, ", ".join(f"{c} long" for c in held), "append", "NoTimeout"
+        carry, output, ", ".join(kept), "append", "EventTimeTimeout"
     )
 
 
@@ -73,9 +130,13 @@ def stream_net_counts(
     ts: str = "observed_at",
     tie: str = "id",
     counters: Sequence[str] = ("entries", "exits"),
+    delay: str = "1 day",
 ) -> DataFrame:
-    """Net counts of each new read against the unit's read before."""
-    rows = _with_previous_in_state(stream, unit, ts, tie, counters)
+    """Net counts of each read against the unit's read before, in order of time.
+
+    A read comes out once the watermark, `delay` behind the newest read, has passed it.
+    """
+    rows = _with_previous_in_state(stream, unit, ts, tie, counters, delay)
     gap = (F.col("micros") - F.col("previous_micros")) / F.lit(3.6e9)
     rows = rows.withColumn("hours_difference", gap)
     nets = [
@@ -94,9 +155,10 @@ def stream_stale_flag(
     station: str = "station_id",
     ts: str = "reported_datetime",
     tie: str = "objectid",
+    delay: str = "1 day",
 ) -> DataFrame:
     """1 when a report carries the time of the station's report before, else 0."""
-    rows = _with_previous_in_state(stream, station, ts, tie, [])
+    rows = _with_previous_in_state(stream, station, ts, tie, [], delay)
     same = F.col("previous_micros") == F.col("micros")
     return rows.select(
         station, tie, _moment("micros").alias(ts), F.when(same, 1).otherwise(0).alias("stale")
@@ -113,11 +175,9 @@ def stream_service_day_totals(
     """Totals per unit and service day, a day of 24 hours from two in the morning.
 
     A day is given out once the watermark has passed its end; later rows of
-    that day are dropped.
+    that day are dropped. `flush_rows` closes the days that are still open.
     """
-    # watermarks need an instant: the one whose UTC clock shows the read's time
-    instant = F.timestamp_micros(_micros(F.col(ts)))
-    timed = stream.withColumn("_instant", instant).withWatermark("_instant", delay)
+    timed = stream.withColumn("_instant", _instant(ts)).withWatermark("_instant", delay)
     day = F.window("_instant", "1 day", startTime="2 hours").alias("_day")
     sums = [F.sum(f"net_{c}").alias(c) for c in counters]
     totals = timed.groupBy(unit, day).agg(*sums)
@@ -160,10 +220,16 @@ def append_stream(
 
 
 def new_stations(batch: DataFrame, existing: DataFrame, key: str, order: str) -> DataFrame:
-    """Stations of a batch that the table lacks, the first seen of each."""
-    rest = [c for c in batch.columns if c != key]
-    firsts = batch.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_row"))
-    return anti_join_new(firsts.select(key, "_row.*"), existing, key)
+    """Stations of a batch that the table lacks, the first seen of each.
+
+    Of rows of one time the smallest by the remaining columns counts; rows without a
+    time come after all others.
+    """
+    rest = [c for c in batch.columns if c not in (key, order)]
+    line = F.struct(F.col(order).isNull().alias("_late"), F.col(order), *rest)
+    firsts = batch.groupBy(key).agg(F.min(line).alias("_row"))
+    columns = [F.col(key) if c == key else F.col(f"_row.{c}") for c in batch.columns]
+    return anti_join_new(firsts.select(*columns), existing, key)
 
 
 def append_new_stations(
@@ -184,8 +250,8 @@ def append_new_stations(
         spark = batch.sparkSession
         try:
             existing = spark.read.schema(schema).parquet(table)
-        except Exception as error:  # the table does not exist before the first trigger
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:  # the table does not exist before the first trigger
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             existing = spark.createDataFrame([], schema)
         new_stations(batch, existing, key, order).write.mode("append").parquet(table)

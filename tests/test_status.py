@@ -151,10 +151,11 @@ def test_state_carries_over_triggers(spark, tmp_path):
     import time
 
     folder = tmp_path / "reports"
-    reports = [
-        [("s", "1", "2023-03-06 07:00:00"), ("t", "2", "2023-03-06 07:00:00")],
-        [("s", "3", "2023-03-06 07:00:00"), ("t", "4", "2023-03-06 07:15:00")],
+    reports = [  # the third file is late by half an hour
+        [("s", "1", "2023-03-06 07:00:00"), ("t", "4", "2023-03-06 07:15:00")],
         [("t", "6", "2023-03-06 07:15:00"), ("s", "5", "2023-03-06 07:30:00")],
+        [("t", "2", "2023-03-06 07:00:00"), ("s", "3", "2023-03-06 07:00:00")],
+        [(None, None, feeds.FLUSH_TIME)],
     ]
     schema = "station_id string, objectid string, reported_datetime timestamp_ntz"
     for i, part in enumerate(reports):
@@ -169,8 +170,11 @@ def test_state_carries_over_triggers(spark, tmp_path):
         .option("recursiveFileLookup", True).parquet(str(folder))
     )
     out = str(tmp_path / "out")
-    feeds.append_stream(feeds.stream_stale_flag(stream), out, str(tmp_path / "cp")).awaitTermination()
-    batch = s.stale_flag(spark.read.schema(schema).option("recursiveFileLookup", True).parquet(str(folder)))
+    feeds.append_stream(
+        feeds.stream_stale_flag(stream, delay="1 hour"), out, str(tmp_path / "cp")
+    ).awaitTermination()
+    whole = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(str(folder))
+    batch = s.stale_flag(whole.filter("objectid IS NOT NULL"))
     cols = ["station_id", "objectid", "reported_datetime", "stale"]
     assert rows(spark.read.parquet(out), *cols) == rows(batch, *cols)
     assert sum(r.stale for r in batch.collect()) == 2
@@ -189,3 +193,34 @@ def test_new_stations_once(spark, tmp_path):
 
     assert add(("a", "later", "2023-01-02"), ("a", "first", "2023-01-01")) == [("a", "first")]
     assert add(("a", "again", "2023-01-03"), ("b", "new", "2023-01-03")) == [("a", "first"), ("b", "new")]
+    # one time: the smaller name; no time: after any row with one, and whole
+    assert add(("c", "z", "2023-01-03"), ("c", "y", "2023-01-03"), ("d", "no time", None))[2:] == [("c", "y"), ("d", "no time")]
+
+
+def test_late_rows_never_move_the_state_back(spark, tmp_path):
+    """Reads at 0 and 8 hours, then at 4 and 12: the net counts are those of the batch."""
+    import os
+    import time
+
+    from dockwise.operators.counters import net_counts
+
+    schema = "unit_id string, id string, observed_at timestamp_ntz, entries long, exits long"
+    folder = tmp_path / "in"
+    for i, hours in enumerate(((0, 8), (4, 12))):
+        texts = spark.createDataFrame([("u", f"{h:02d}", f"2023-03-06 {h:02d}:00:00", 50 * h * h, h) for h in hours], "unit_id string, id string, t string, entries long, exits long")
+        texts.selectExpr("unit_id", "id", "cast(t as timestamp_ntz) observed_at", "entries", "exits").coalesce(1).write.parquet(str(folder / f"p{i}"))
+    whole = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(str(folder))
+    want = rows(net_counts(whole), "id", "net_entries", "hours_difference")
+    feeds.flush_rows(whole, "observed_at").coalesce(1).write.parquet(str(folder / "p2"))
+    for i in range(3):
+        for name in os.listdir(folder / f"p{i}"):
+            moment = time.time() - 600 + 60 * i
+            os.utime(folder / f"p{i}" / name, (moment, moment))
+    stream = (
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+        .option("recursiveFileLookup", True).parquet(str(folder))
+    )
+    out = str(tmp_path / "out")
+    feeds.append_stream(feeds.stream_net_counts(stream), out, str(tmp_path / "cp")).awaitTermination()
+    assert rows(spark.read.parquet(out), "id", "net_entries", "hours_difference") == want
+    assert [r[1] for r in want] == [None, 800, 2400, 4000]
