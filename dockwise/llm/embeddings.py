@@ -92,8 +92,10 @@ class MultiIndex:
 
 
 def _units(raw, dim: int) -> np.ndarray:
-    """Unit vectors in double precision from float32 bytes."""
+    """Unit vectors in double precision from float32 bytes; a single component gets a zero beside it."""
     x = np.frombuffer(b"".join(raw), dtype="<f4").reshape(-1, dim).astype(np.float64)
+    if dim == 1:
+        x = np.column_stack([x, np.zeros(len(x))])
     x /= np.abs(x).max(axis=1, keepdims=True)  # so that squares neither vanish nor overflow
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
@@ -119,11 +121,9 @@ def fit(vectors: DataFrame, threshold: float, recall: float = RECALL) -> dict[in
         drawn = drawn.select("label", "raw").toPandas()
         unit = _units(drawn["raw"], dim)
         size = int(np.clip(round((n / CELL) ** 0.5), 1, CODES))
-        half = max(1, dim // 2)
-        books = [codebook(unit[:, :half], size), codebook(unit[:, half:] if dim > 1 else unit[:, :1] * 0, size)]
-        found = MultiIndex(*books, radius)
-        if dim > 1:
-            found.stop = _measured_stop(vectors, dim, found, unit, drawn["label"].to_numpy(), threshold, recall, radius)
+        half = unit.shape[1] // 2
+        found = MultiIndex(codebook(unit[:, :half], size), codebook(unit[:, half:], size), radius)
+        found.stop = _measured_stop(vectors, dim, found, unit, drawn["label"].to_numpy(), threshold, recall, radius)
         index[dim] = found
     return index
 
