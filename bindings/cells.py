@@ -257,13 +257,12 @@ def polygon_cells(spark, sf):
     sql(
         f"""
         SELECT id, x, y, value FROM points7 p
-        WHERE EXISTS (SELECT 1 FROM triangles t WHERE t.value = 0 AND {_inside("p.x", "p.y")})
+        WHERE EXISTS (SELECT 1 FROM triangles t WHERE {_inside("p.x", "p.y")})
         """
     ),
 )
 def clip_points(spark, sf):
-    boundary = lines(spark, sf).filter("value = 0")
-    return v.clip_points(points(spark, sf, 7), boundary, 50.0)
+    return v.clip_points(points(spark, sf, 7), lines(spark, sf), 50.0)
 
 
 @bind(

@@ -67,11 +67,11 @@ def semi_join_in(spark, sf):
 
 @bind(
     "inner_join_station",
-    sql("SELECT objectid, station_id, num_bikes_available, capacity FROM status JOIN station USING (station_id)"),
+    sql("SELECT objectid, station_id, num_bikes_available, capacity FROM status JOIN (SELECT * FROM station WHERE x > 0) USING (station_id)"),
 )
 def inner_join_station(spark, sf):
     rows = status(spark, sf).select("objectid", "station_id", "num_bikes_available")
-    return j.inner_join_station(rows, station(spark, sf), cols=["capacity"])
+    return j.inner_join_station(rows, station(spark, sf).filter("x > 0"), cols=["capacity"])
 
 
 @bind("station_period", sql("SELECT period, objectid FROM period_reports"))
@@ -96,15 +96,37 @@ def parts(spark, sf):
     return calendar_parts(table(spark, sf, "events").select("event_id", "ts"), "ts", "seen").drop("ts")
 
 
-def _condition(measure: str, comparison: str, limit) -> str:
-    return f"{measure} {comparison} {float(limit)!r}::DOUBLE"
-
-
+# the conditions as the users' table has them, written out apart from the library's
+CONDITIONS = """
+    count_eq0_bikes_available  bikes_available_eq0              num_bikes_available = 0
+    count_eq1_bikes_available  bikes_available_eq1              num_bikes_available = 1
+    count_lte3_bikes_available bikes_available_lte3             num_bikes_available <= 3
+    count_lte5_bikes_available bikes_available_lte5             num_bikes_available <= 5
+    count_eq0_docks_available  docks_available_eq0              num_docks_available = 0
+    count_eq1_docks_available  docks_available_eq1              num_docks_available = 1
+    count_lte3_docks_available docks_available_lte3             num_docks_available <= 3
+    count_lte5_docks_available docks_available_lte5             num_docks_available <= 5
+    count_0                    capacity_available_eq_0percent   perc_capacity_available = 0::DOUBLE
+    count_10                   capacity_available_lt_10percent  perc_capacity_available <= 0.1::DOUBLE
+    count_25                   capacity_available_lt_25percent  perc_capacity_available <= 0.25::DOUBLE
+    count_lt50                 capacity_available_lt_50percent  perc_capacity_available <= 0.5::DOUBLE
+    count_gt50                 capacity_available_gt_50percent  perc_capacity_available >= 0.5::DOUBLE
+    count_gt75                 capacity_available_gt_75percent  perc_capacity_available >= 0.75::DOUBLE
+    count_gt90                 capacity_available_gt_90percent  perc_capacity_available >= 0.9::DOUBLE
+    count_100                  capacity_available_eq_100percent perc_capacity_available = 100::DOUBLE
+    counte_0                   enabled_available_eq_0percent    perc_enabled_available = 0::DOUBLE
+    counte_10                  enabled_available_lt_10percent   perc_enabled_available <= 0.1::DOUBLE
+    counte_25                  enabled_available_lt_25percent   perc_enabled_available <= 0.25::DOUBLE
+    counte_lt50                enabled_available_lt_50percent   perc_enabled_available <= 0.5::DOUBLE
+    counte_gt50                enabled_available_gt_50percent   perc_enabled_available >= 0.5::DOUBLE
+    counte_gt75                enabled_available_gt_75percent   perc_enabled_available >= 0.75::DOUBLE
+    counte_gt90                enabled_available_gt_90percent   perc_enabled_available >= 0.9::DOUBLE
+    counte_100                 enabled_available_eq_100percent  perc_enabled_available = 100::DOUBLE
+"""
+_LINES = [line.split(None, 2) for line in CONDITIONS.strip().splitlines()]
 COUNTS = (
     "SELECT period, station_id, count(*) AS total, "
-    + ", ".join(
-        f"count(*) FILTER ({_condition(m, op, lim)}) AS {c}" for c, _, m, op, lim in s.AVAILABILITY
-    )
+    + ", ".join(f"count(*) FILTER ({condition}) AS {count}" for count, _, condition in _LINES)
     + ", round(avg(CAST(perc_capacity_available AS DECIMAL(18, 12))), 3)"
     " AS avg_perc_capacity_available"
     ", round(avg(CAST(perc_enabled_available AS DECIMAL(18, 12))), 3) AS avg_perc_enabled_available"
@@ -119,7 +141,7 @@ def availability_counts(spark, sf):
 
 RATIOS = (
     "SELECT period, station_id, "
-    + ", ".join(f"round(CAST({c} AS DOUBLE) / total, 3) AS {r}" for c, r, *_ in s.AVAILABILITY)
+    + ", ".join(f"round(CAST({count} AS DOUBLE) / total, 3) AS {ratio}" for count, ratio, _ in _LINES)
     + ", avg_perc_capacity_available, avg_perc_enabled_available FROM (" + COUNTS + ")"
 )
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bindings.journeys import _layouts
-from bindings.registry import bind, lookup, sql, table
+from bindings.registry import bind, sql, table
 from dockwise.functions.calendar import micros_between
 from dockwise.operators import clean
 from dockwise.operators.grid import Region, bin_sum
@@ -74,17 +74,15 @@ def scan_turnstiles(spark, sf):
     SELECT CAST(c_custkey AS VARCHAR) AS remote, c_name AS booth,
            CASE WHEN c_mktsegment <> 'BUILDING' THEN CAST(c_nationkey AS VARCHAR) END AS complex_id,
            c_mktsegment AS station, 'A' AS line_name, 'B' AS division
-    FROM customer WHERE c_acctbal > 0
+    FROM customer
     """,
 )
 def scan_lookup(spark, sf):
-    rows = lookup(spark, sf).join(
-        table(spark, sf, "customer").withColumn("remote", F.col("c_custkey").cast("string")), "remote"
-    )
-    raw = rows.select(
-        "remote",
+    building = F.col("c_mktsegment") == "BUILDING"
+    raw = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("remote"),
         F.col("c_name").alias("booth"),
-        "complex_id",
+        F.when(~building, F.col("c_nationkey").cast("string")).alias("complex_id"),
         F.col("c_mktsegment").alias("station"),
         F.lit("A").alias("line_name"),
         F.lit("B").alias("division"),

@@ -236,16 +236,14 @@ piece(
     """
     SELECT c_custkey AS station_id, c_nationkey AS capacity, c_acctbal AS x,
            CAST(c_custkey AS DOUBLE) AS y
-    FROM customer WHERE c_acctbal > 0
+    FROM customer
     """,
 )
 
 
 def station(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        table(spark, sf_dir, "customer")
-        .filter("c_acctbal > 0")
-        .select(
+        table(spark, sf_dir, "customer").select(
             F.col("c_custkey").alias("station_id"),
             F.col("c_nationkey").alias("capacity"),
             F.col("c_acctbal").alias("x"),

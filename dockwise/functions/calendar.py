@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,15 +109,3 @@ def micros_between(start: Column, end: Column) -> Column:
 
 def hours_between(start: Column, end: Column) -> Column:
     return micros_between(start, end) / F.lit(3.6e9)
-
-
-def year_month(df: DataFrame, date_col: str) -> dict[str, Column]:
-    """Grouping columns year and month of a date."""
-    return {"year": F.year(date_col), "month": F.month(date_col)}
-
-
-def any_of(predicates: Iterable[Column]) -> Column:
-    result = F.lit(False)
-    for predicate in predicates:
-        result = result | predicate
-    return result

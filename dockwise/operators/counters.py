@@ -70,9 +70,15 @@ def net_counts(
     max_gap: float = MAX_GAP_HOURS,
     tie: Sequence[str] = TIES,
     run_days: int = RUN_DAYS,
+    dedupe: bool = False,
 ) -> DataFrame:
-    """Add `net_<counter>` and `hours_difference`, keeping every row."""
-    return grouped_net_counts(df, unit, ts, counters, cap, max_gap, tie, run_days).drop(RUN, DAY)
+    """Add `net_<counter>` and `hours_difference`, keeping every row.
+
+    With `dedupe` a read that repeats unit, time and counters is left out first; any one
+    of the repeats stays.
+    """
+    rows = df.dropDuplicates([unit, ts, *counters]) if dedupe else df
+    return grouped_net_counts(rows, unit, ts, counters, cap, max_gap, tie, run_days).drop(RUN, DAY)
 
 
 def grouped_net_counts(

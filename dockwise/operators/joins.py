@@ -44,11 +44,12 @@ def update_from_subquery(
 
 
 def cross_join_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Every column of a one-row table on every row, as scalar subqueries.
+    """Every column of a one-row table on every row, as one scalar subquery.
 
     A table of more than one row fails the job instead of multiplying rows.
     """
-    return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
+    held = df.withColumn("_one", one_row.select(F.struct(*one_row.columns)).scalar())
+    return held.withColumns({c: F.col(f"_one.{c}") for c in one_row.columns}).drop("_one")
 
 
 def multi_year_mean(cols: Sequence[Column | str]) -> Column:

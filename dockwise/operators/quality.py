@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def require_none(violations: DataFrame, rule: str) -> None:
+    """Fails with the first rows that break a rule; a table without any passes."""
+    found = violations.limit(5).collect()
+    if found:
+        raise ValueError(f"{rule}: {', '.join(str(r.asDict()) for r in found)}")
+
+
 def check_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per required column with its number of nulls."""
     counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])

@@ -146,9 +146,13 @@ def latest_capture(df: DataFrame, ts_col: str = "capture_datetime") -> DataFrame
 def incremental_captures(
     captures: DataFrame, loaded: DataFrame, ts_col: str = "capture_datetime"
 ) -> DataFrame:
-    """Captures strictly after the newest one loaded; all of them when none is."""
-    newest = latest_capture(loaded, ts_col).select(ts_col).scalar()
-    return captures.filter(newest.isNull() | (F.col(ts_col) > newest))
+    """Captures strictly after the newest one loaded; all of them when none is.
+
+    The one newest time comes to the driver, so that the bound is a literal: where the
+    time follows from the file's name, older files are not opened.
+    """
+    newest = latest_capture(loaded, ts_col).first()[0]
+    return captures if newest is None else captures.filter(F.col(ts_col) > F.lit(newest))
 
 
 def report_time(epoch: Column, zone: str = "America/New_York") -> Column:

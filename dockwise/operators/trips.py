@@ -96,12 +96,19 @@ def harmonize_trips(*dfs: DataFrame) -> DataFrame:
 def first_non_null_per_key(
     df: DataFrame, key: str, cols: Sequence[str], order: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Per key and column the first non-null value in the given order."""
+    """Per key and column the first non-null value in the given order.
+
+    Rows that agree in all but the first order column are one row first, by a hash
+    aggregate; what is left is as many rows as there are different values.
+    """
     line = F.struct(*order) if len(order) > 1 else F.col(order[0])
     firsts = [
         F.min_by(F.col(c), F.when(F.col(c).isNotNull(), line)).alias(c) for c in cols
     ]
-    return df.filter(F.col(key).isNotNull()).groupBy(*by, key).agg(*firsts)
+    first, *ties = order
+    alike = list(dict.fromkeys([*by, key, *ties, *[c for c in cols if c != first]]))
+    known = df.filter(F.col(key).isNotNull()).groupBy(*alike).agg(F.min(first).alias(first))
+    return known.groupBy(*by, key).agg(*firsts)
 
 
 def union_distinct_stations(

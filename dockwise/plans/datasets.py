@@ -19,6 +19,7 @@ from dockwise.operators.clean import (
     text_to_number,
 )
 from dockwise.operators.joins import anti_join_new, join_summary_geometry
+from dockwise.operators.quality import check_domain, check_unique, require_none
 from dockwise.operators.stations import incremental_captures
 from dockwise.operators.trips import complete_trips, trips_summary_all, trips_summary_year
 from dockwise.operators.trips import stations_of_trips
@@ -27,7 +28,7 @@ from dockwise.plans.status import status_summaries
 from dockwise.plans.turnstile import annual_by_year, net_observations, turnstile_rollups
 from dockwise.session import settle
 from dockwise.sources import files
-from dockwise.sources.schemas import CRASH_NUMBERS, CRASH_PROPERTIES, STATUS_REQUIRED
+from dockwise.sources.schemas import CRASH_NUMBERS, CRASH_PROPERTIES, STATUS_FLAGS, STATUS_REQUIRED
 from dockwise.sources.tables import append_rows, layer_exists, load_by_source, write_by_year, write_layer
 
 CLIP_TILE = 5000.0
@@ -89,6 +90,8 @@ def build_stations(
     stations = files.scan_station_info(spark, info)
     if boundary is not None:
         stations = clip_points(stations, boundary, CLIP_TILE)
+    stations = settle(stations)
+    require_none(check_unique(stations, "station_id"), "a station stands twice")
     write_layer(stations, root, "station")
     return ["station"]
 
@@ -101,6 +104,12 @@ def build_status(
     rows = reject_null_rows(seen, STATUS_REQUIRED)
     if _exists(spark, root, "status"):
         rows = incremental_captures(rows, files.scan_layer(spark, root, "status"))
+    rows = settle(rows)
+    types = dict(rows.dtypes)
+    for flag in STATUS_FLAGS:
+        if types.get(flag) in ("int", "bigint"):  # a boolean holds nothing else
+            outside = check_domain(rows, flag, (0, 1)).filter("violations > 0")
+            require_none(outside, f"{flag} holds something else than 0 and 1")
     append_rows(rows, root, "status")
     station = files.scan_layer(spark, root, "station")
     status = files.scan_layer(spark, root, "status")
@@ -122,6 +131,8 @@ def build_trips(
     seen = project_points(stations_of_trips(trips), "lng", "lat")
     if _exists(spark, root, "trip_stations"):
         seen = anti_join_new(seen, files.scan_layer(spark, root, "trip_stations"), "station_id")
+    seen = settle(seen)
+    require_none(check_unique(seen, "station_id"), "a station of the trips stands twice")
     append_rows(seen, root, "trip_stations")
     load_by_source(complete_trips(trips, ["source_file"]), root, "trips", "started_at")
     kept = files.scan_layer(spark, root, "trips")

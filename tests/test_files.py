@@ -176,3 +176,33 @@ def test_row_limit(spark):
 def test_domain_lets_nulls_pass(spark):
     flags = spark.createDataFrame([(0,), (1,), (2,), (None,)], "stale int")
     assert rows(q.check_domain(flags, "stale", [0, 1])) == [(4, 1)]
+
+
+def test_escapes(spark):
+    given = "a &amp;amp; b&#8217;s caf&eacute; &#x1F600;&#xe9;&unknown;&#0; &lt;p&gt; &copy; 2 &middot; &#39; & ;&"
+    got = spark.createDataFrame([(given,), (None,), ("",)], "t string").select(files.unescape(F.col("t"))).collect()
+    assert got[0][0] == "a &amp; b’s café \U0001f600é&unknown;&#0; <p> © 2 · ' & ;&"
+    assert (got[1][0], got[2][0]) == (None, "")
+
+
+def test_archives_are_read_once(spark):
+    """One pass over the archives gives both layouts."""
+    empty = spark.createDataFrame([], "path string, content binary")
+    plan = files.trips_from_archives(empty)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("MapInPandas") == 1
+
+
+def test_loaded_captures_are_not_opened(spark, tmp_path):
+    """The bound of an incremental load prunes the list of files."""
+    from dockwise.operators.stations import incremental_captures
+    from test_status import CAPTURES, write_captures
+
+    write_captures(tmp_path, CAPTURES)
+    seen = files.scan_station_status(spark, str(tmp_path))
+    newest = max(r[0] for r in seen.select("capture_datetime").distinct().collect())
+    loaded = seen.filter(F.col("capture_datetime") < newest)
+    fresh = incremental_captures(seen, loaded)
+    opened = {r[0] for r in fresh.select("capture_datetime").distinct().collect()}
+    assert opened == {newest}
+    parts = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in parts or fresh.rdd.getNumPartitions() <= seen.rdd.getNumPartitions()

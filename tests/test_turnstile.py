@@ -192,6 +192,14 @@ def test_no_sort_aggregate_for_totals(spark, reads):
     assert "SortAggregate" not in "".join(line for line in plan.splitlines() if "sum(net_entries" in line)
 
 
+def test_repeated_reads(spark, reads):
+    twice = reads.unionByName(reads.withColumn("id", F.concat("id", F.lit("-again"))))
+    cols = ["unit_id", "observed_at", "net_entries", "net_exits", "hours_difference"]
+    got = rows(c.net_counts(twice, dedupe=True), *cols)
+    assert got == rows(c.net_counts(reads, dedupe=True), *cols)
+    assert len(got) < reads.count() < c.net_counts(twice).count()  # one read stands there twice to begin with
+
+
 def test_building_runs_no_job(spark, reads):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("building", "no job while a plan is built")
