@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bindings.cells import FINE, FULL, MEDIUM, RADIUS, bins, disc, full_bins, nearest_sql, norm, points
+from bindings.cells import FINE, FULL, MEDIUM, RADIUS, bins, disc, full_bins, lines, nearest_sql, norm, points
 from bindings.registry import bind, piece, sql
 from dockwise.operators import distance as d
 from dockwise.operators import grid as g
@@ -412,6 +412,19 @@ def apply_preference(spark, sf):
     return rounded(s.apply_preference(score, settle(preference), 60))
 
 
+piece("wish_codes", "SELECT row, col, max(value % 3) AS code FROM covered GROUP BY ALL")
+
+
+@bind(
+    "preference_layer",
+    sql("SELECT row, col, CASE code WHEN 0 THEN -50.0 ELSE 50.0 END::DOUBLE AS value FROM wish_codes WHERE code <> 1"),
+)
+def preference_layer(spark, sf):
+    """Triangles in three kinds: one disliked, one without a wish, one preferred."""
+    areas = lines(spark, sf).withColumn("boro_code", (F.col("value") % 3).cast("int"))
+    return s.preference_layer(areas, {0: -50, 2: 50}, MEDIUM)
+
+
 # the whole model: five indices from the layers of the service area, then the score;
 # an even layer of shares weighs as 1, and halving a layer does not change its scale
 piece("even_share", "SELECT row, col, 1.0::DOUBLE AS value FROM active")

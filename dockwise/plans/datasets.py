@@ -6,7 +6,7 @@ names it returns can be read with `scan_layer`.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,18 +18,20 @@ from dockwise.operators.clean import (
     reject_null_rows,
     text_to_number,
 )
+from dockwise.operators.grid import Region
 from dockwise.operators.joins import anti_join_new, join_summary_geometry
 from dockwise.operators.quality import check_domain, check_unique, require_none
 from dockwise.operators.stations import incremental_captures
 from dockwise.operators.trips import complete_trips, trips_summary_all, trips_summary_year
 from dockwise.operators.trips import stations_of_trips
 from dockwise.operators.vector import clip_points
+from dockwise.plans.siting import siting_from_vectors
 from dockwise.plans.status import status_summaries
 from dockwise.plans.turnstile import annual_by_year, net_observations, turnstile_rollups
 from dockwise.session import settle
 from dockwise.sources import files
 from dockwise.sources.schemas import CRASH_NUMBERS, CRASH_PROPERTIES, STATUS_FLAGS, STATUS_REQUIRED
-from dockwise.sources.tables import append_rows, layer_exists, load_by_source, write_by_year, write_layer
+from dockwise.sources.tables import append_rows, layer_exists, load_by_source, write_by_year, write_layer, write_raster
 
 CLIP_TILE = 5000.0
 
@@ -187,3 +189,52 @@ def build_comments(pages: DataFrame, root: str) -> list[str]:
     comments = files.scan_comments(pages)
     write_layer(project_points(comments), root, "comments")
     return ["comments"]
+
+
+def build_siting(
+    spark: SparkSession,
+    root: str,
+    fine: Region,
+    medium: Region,
+    weights: Mapping[str, float],
+    wishes: Mapping[object, float] | None = None,
+    wish_weight: float = 100,
+    **options,
+) -> list[str]:
+    """Rasters of the siting model from the layers that the other builders wrote.
+
+    Reads boroughs, streets, routes, acs, station, annual_by_year, motor_vehicle_crashes,
+    status_summary and trips_summary; writes constraint, service_area, suitability and
+    suitability_constrained, and both scores moved by `wishes` where there are any.
+    """
+
+    def layer(name: str, key: str | None = None) -> DataFrame:
+        rows = files.scan_layer(spark, root, name)
+        return rows if key is None else rows.withColumn("id", F.col(key))
+
+    def numbered(name: str) -> DataFrame:
+        rows = files.scan_layer(spark, root, name)
+        return rows.withColumn("id", F.xxhash64(*rows.columns))
+
+    status = layer("status_summary", "station_id")
+    made = siting_from_vectors(
+        boroughs=layer("boroughs"),
+        streets=numbered("streets"),
+        routes=numbered("routes"),
+        tracts=numbered("acs"),
+        docks=layer("station", "station_id"),
+        complexes=layer("annual_by_year", "complex_id").filter("period = 'all'"),
+        crashes=numbered("motor_vehicle_crashes"),
+        peak=status.filter("period = 'peak'"),
+        offpeak=status.filter("period = 'offpeak'"),
+        trips=layer("trips_summary", "station_id"),
+        fine=fine,
+        medium=medium,
+        weights=weights,
+        wishes=wishes,
+        wish_weight=wish_weight,
+        **options,
+    )
+    for name, cells in made.items():
+        write_raster(cells, f"{root}/{name}")
+    return list(made)

@@ -20,6 +20,7 @@ from dockwise.operators.grid import (
     MEDIUM_RES,
     Region,
     bin_sum,
+    burn_categories,
     cap,
     cell_algebra,
     cells_within,
@@ -36,7 +37,7 @@ from dockwise.operators.grid import (
     reclass_invert,
     resample_nearest,
 )
-from dockwise.operators.vector import polygon_cells
+from dockwise.operators.vector import polygon_cells, rasterize_lines
 from dockwise.session import settle, settle_all
 
 # Distances in feet, ceilings of layers and weights of indices.
@@ -304,6 +305,102 @@ def apply_preference(score: DataFrame, preference: DataFrame, weight: float = 10
     return normalize(cell_algebra(floored, score=score, preference=preference))
 
 
+def preference_layer(
+    areas: DataFrame,
+    wishes: Mapping[object, float],
+    region: Region,
+    code: str = "boro_code",
+    parts: str = "parts",
+) -> DataFrame:
+    """Preference by area code on the cells of polygons; areas without a wish stay empty.
+
+    Where areas of several codes hold a cell, the largest code counts.
+    """
+    held = polygon_cells(areas, region, [code], parts).groupBy(*CELL).agg(F.max(code).alias("_code"))
+    burnt = burn_categories(held, list(wishes.items()), category="_code")
+    return burnt.filter(F.col("value").isNotNull())
+
+
+def siting_from_vectors(
+    boroughs: DataFrame,
+    streets: DataFrame,
+    routes: DataFrame,
+    tracts: DataFrame,
+    docks: DataFrame,
+    complexes: DataFrame,
+    crashes: DataFrame,
+    peak: DataFrame,
+    offpeak: DataFrame,
+    trips: DataFrame,
+    fine: Region,
+    medium: Region,
+    weights: Mapping[str, float],
+    wishes: Mapping[object, float] | None = None,
+    wish_weight: float = 100,
+    radius: int = WALK_RADIUS,
+    station_min: int = STATION_MIN,
+    street_max: int = STREET_MAX,
+    key: str = "id",
+    street_type: str = "rw_type",
+    borough_code: str = "boro_code",
+    names: Mapping[str, str] = LAYER_COLUMNS,
+    min_tract_area: float = MIN_TRACT_AREA,
+) -> dict[str, DataFrame]:
+    """The whole model from vector layers: constraint, service area, score, constrained score.
+
+    `boroughs` and `tracts` are polygons, `streets` and `routes` lines, the rest points;
+    lines and points carry a key. With `wishes`, a preference by borough code, both scores
+    come out moved by it as well. All layers returned are settled.
+    """
+    land = polygon_cells(boroughs, fine, [borough_code]).select(*CELL).distinct()
+    medium_land = polygon_cells(boroughs, medium, [borough_code]).select(*CELL).distinct()
+    base = settle_all(
+        {
+            "land": land,
+            "medium_land": medium_land,
+            "stations": rasterize_points(docks, None, fine, key),
+            "streets": bikeable_streets(rasterize_lines(streets, street_type, fine, key)),
+            "routes": rasterize_lines(routes, None, medium, key),
+        }
+    )
+    result = settle_all(
+        {
+            "constraint": constraint(
+                base["stations"], base["streets"], fine, station_min, radius, street_max, base["land"]
+            ),
+            "service_area": service_area(base["stations"], fine, medium, radius, base["land"]),
+        }
+    )
+    area = result["service_area"]
+    layers = service_layers(
+        docks=docks,
+        population=population_cells(tracts, base["medium_land"], medium, key=key, min_area=min_tract_area),
+        crashes=crashes,
+        complexes=complexes,
+        routes=base["routes"],
+        peak=peak,
+        offpeak=offpeak,
+        trips=trips,
+        area=area,
+        active=settle(service_area_mask(area, base["medium_land"])),
+        region=medium,
+        radius=radius,
+        cell_area=float(medium.res) ** 2,
+        key=key,
+        names=names,
+        boroughs=base["medium_land"],
+    )
+    result["suitability"] = settle(suitability(index_layers(layers), weights))
+    result["suitability_constrained"] = settle(
+        suitability_constrained(result["suitability"], result["constraint"], medium, fine)
+    )
+    if wishes:
+        for name, region in (("suitability", medium), ("suitability_constrained", fine)):
+            wish = settle(preference_layer(boroughs, wishes, region, borough_code))
+            result[f"{name}_preferred"] = settle(apply_preference(result[name], wish, wish_weight))
+    return result
+
+
 def service_layers(
     docks: DataFrame,
     population: DataFrame,

@@ -107,3 +107,77 @@ def test_boroughs_bound_the_service_area(spark):
     np.testing.assert_array_equal(
         allowed[inside], ((by_dock >= 30) & (by_dock <= 120) & (by_street <= 24))[inside].astype(float)
     )
+
+
+def test_model_from_vector_layers(spark, tmp_path):
+    """Layers on disk to both scores and both preferred scores; parts checked by hand."""
+    from dockwise.plans import datasets as b
+    from dockwise.sources.files import scan_layer, scan_raster
+    from dockwise.sources.tables import write_layer
+
+    root = str(tmp_path / "layers")
+    rng = np.random.default_rng(3)
+
+    def square(x, y, side):
+        corners = [(x, y), (x + side, y), (x + side, y + side), (x, y + side)]
+        return [[[{"x": float(a), "y": float(c)} for a, c in corners]]]
+
+    def put(name, rows_, schema):
+        write_layer(spark.createDataFrame(rows_, schema), root, name)
+
+    parts = "parts array<array<array<struct<x:double,y:double>>>>"
+    paths = "paths array<array<struct<x:double,y:double>>>"
+    # two boroughs on the west 300 ft of a map of 400 ft; the rest is water
+    put("boroughs", [("1", square(0, 0, 150)), ("1", square(0, 150, 250)), ("3", square(150, 0, 150))], f"boro_code string, {parts}")
+    put("acs", [("a", 500, square(0, 0, 300)), ("b", 90, square(0, 300, 100))], f"tract string, population int, {parts}")
+    line = [[{"x": 5.0, "y": 55.0}, {"x": 395.0, "y": 55.0}]]
+    put("streets", [("1", line), ("2", [[{"x": 5.0, "y": 155.0}, {"x": 395.0, "y": 155.0}]])], f"rw_type string, {paths}")
+    put("routes", [("r", line)], f"name string, {paths}")
+    docks = [(f"s{i}", float(x), float(y), 20 + i) for i, (x, y) in enumerate(rng.uniform(10, 140, (5, 2)))]
+    docks.append(("far", 390.0, 50.0, 9))  # on the water, no source of a walk
+    put("station", docks, "station_id string, x double, y double, capacity int")
+    put("annual_by_year", [("all", f"c{i}", 50.0 + 60 * i, 60.0, 1000.0 * i, 900.0, 5.0) for i in range(3)],
+        "period string, complex_id string, x double, y double, mean_daily_entries_2023 double, mean_daily_exits_2023 double, total_exits_all double")
+    put("motor_vehicle_crashes", [(float(x), 70.0, 1.0) for x in range(20, 200, 30)], "x double, y double, number_of_cyclist_injured double")
+    put("status_summary", [(p, k, x, y, 0.1 * i, 0.05 * i) for p in ("peak", "offpeak") for i, (k, x, y, _) in enumerate(docks)],
+        "period string, station_id string, x double, y double, bikes_available_eq0 double, docks_available_eq0 double")
+    put("trips_summary", [(k, x, y, 1.0 + i) for i, (k, x, y, _) in enumerate(docks)],
+        "station_id string, x double, y double, trips_per_day_per_dock double")
+
+    made = b.build_siting(
+        spark, root, FINE, MEDIUM, {n: 2 for n in s.INDICES}, {"1": -50, "3": 50}, 60,
+        radius=60, station_min=10, street_max=30, min_tract_area=0,
+    )
+    assert made == ["constraint", "service_area", "suitability", "suitability_constrained",
+                    "suitability_preferred", "suitability_constrained_preferred"]
+    got = {n: array_of(scan_raster(spark, f"{root}/{n}"), FINE if "constr" in n else MEDIUM) for n in made}
+
+    land = np.zeros((40, 40), dtype=bool)
+    land[:15, :30] = land[15:40, :25] = True
+    at = np.full((40, 40), np.nan)
+    for _, x, y, _ in docks[:-1]:
+        at[int(y // 10), int(x // 10)] = 1.0
+    by_dock = np.floor(brute_distance(at, FINE))
+    street = np.full((40, 40), np.nan)
+    street[5, :30] = 1.0  # the bikeable one, as far as there is land
+    by_street = np.floor(brute_distance(street, FINE))
+    allowed = ((by_dock >= 10) & (by_dock <= 60) & (by_street <= 29)).astype(float)
+    np.testing.assert_array_equal(got["constraint"], np.where(land, allowed, np.nan))
+    served = np.where(land, (by_dock <= 59).astype(float), np.nan)[1::2, 1::2]
+    np.testing.assert_array_equal(got["service_area"], served)
+    scored = ~np.isnan(got["suitability"])
+    assert scored.any() and (served[scored] == 1).all()
+    np.testing.assert_allclose([np.nanmin(got["suitability"]), np.nanmax(got["suitability"])], [1, 100])
+    wish = np.full((20, 20), np.nan)
+    wish[:, :] = np.where(land[1::2, 1::2], -50.0, np.nan)
+    wish[:7, 8:15] = 50.0
+    wish[:8, 7] = np.nan  # the border of the boroughs is left to the rasteriser
+    wish[7, :] = np.nan
+    moved = np.maximum(got["suitability"] + 0.6 * wish, 0)
+    ours = got["suitability_preferred"]
+    both = ~np.isnan(moved) & ~np.isnan(ours)
+    order = np.argsort(moved[both], kind="stable")
+    assert both.any() and (np.diff(ours[both][order]) >= -1e-9).all()  # one scale, so one order
+    fine = got["suitability_constrained"]
+    assert ((~np.isnan(fine)) == (np.kron(scored, np.ones((2, 2), dtype=bool)) & ~np.isnan(got["constraint"]))).all()
+    assert scan_layer(spark, root, "suitability").count() > 0
