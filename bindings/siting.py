@@ -23,8 +23,9 @@ OUTSIDE = "(col >= 80 OR (col < 40 AND row BETWEEN 40 AND 55))"
 piece("borough_fine", f"SELECT row, col FROM fine_grid WHERE NOT {OUTSIDE}")
 piece("borough_medium", "SELECT m.row, m.col FROM medium_grid m JOIN borough_fine f ON f.row = 2 * m.row + 1 AND f.col = 2 * m.col + 1")
 piece("stations_fine", "SELECT DISTINCT row, col FROM fine1 JOIN borough_fine USING (row, col)")
-piece("streets_fine", "SELECT row, col, arg_max(value, id) AS value FROM fine3 JOIN borough_fine USING (row, col) GROUP BY ALL")
+piece("streets_fine", "SELECT row, col, arg_max(value, id) AS value FROM fine3 GROUP BY ALL")
 piece("bikeable_fine", "SELECT row, col FROM streets_fine WHERE value IN (1, 3, 5, 6, 7, 10, 11, 13)")
+piece("bikeable_land", "SELECT row, col FROM bikeable_fine JOIN borough_fine USING (row, col)")
 
 
 def _fine_distance(name: str, source: str) -> None:
@@ -40,7 +41,7 @@ def _fine_distance(name: str, source: str) -> None:
 
 
 _fine_distance("station_distance", "stations_fine")
-_fine_distance("street_distance", "bikeable_fine")
+_fine_distance("street_distance", "bikeable_land")
 piece(
     "allowed",
     f"""
