@@ -108,21 +108,20 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of docs that `exact_dedup` keeps, one for each text; columns stay as they are.
 
     Of rows that repeat both id and text one is left; null ids are handled like any other.
-    Rows that go are few beside those that stay, so the texts meet their ids only.
+    The texts are shuffled once by id and hash to meet the rows that go, at every size
+    alike, and repeated rows fall together in the same shuffle.
     """
-    found = settle(exact_dedup(docs, id_col, text_col).select(id_col, "text_sha256", "kept"))
-    gone = settle(found.filter("NOT kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct())
-    twice = found.filter("kept").groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
-    twice = settle(twice.agg(F.count("*").alias("n")).filter("n > 1").drop("n"))
-    marked = docs.withColumn("_copy_sha", F.sha2(_norm(text_col).cast("binary"), 256))
-
-    def same(other: DataFrame):
-        return marked[id_col].eqNullSafe(other["_id"]) & (marked["_copy_sha"] == other["_sha"])
-
-    left = marked.join(gone, same(gone), "left_anti")
-    once = left.join(twice, same(twice), "left_anti")
-    again = left.join(twice, same(twice), "left_semi").dropDuplicates([id_col, "_copy_sha"])
-    return once.unionByName(again).select(docs.columns)
+    found = exact_dedup(docs, id_col, text_col).filter("NOT kept")
+    gone = settle(found.select(_row_mark(F.col(id_col), F.col("text_sha256")).alias("_row_mark")).distinct())
+    sha = F.sha2(_norm(text_col).cast("binary"), 256)
+    marked = docs.withColumn("_row_mark", _row_mark(F.col(id_col), sha))
+    left = marked.join(gone.hint("merge"), "_row_mark", "left_anti")
+    return left.dropDuplicates(["_row_mark"]).select(docs.columns)
+
+
+def _row_mark(row_id, sha):
+    """Id and hash of a row as one text, which a null id has as well."""
+    return F.concat(F.coalesce(row_id.cast("long").cast("string"), F.lit("none")), F.lit(":"), sha)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
