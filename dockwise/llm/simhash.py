@@ -129,18 +129,30 @@ class _Group:
         Leaders take all within the radius; what is then connected already needs no more
         tests, so only members of different components are compared, in blocks.
         """
-        comp = np.arange(len(fp))
+        comp, size = np.arange(len(fp)), np.ones(len(fp), dtype=np.int64)
         free = np.ones(n_index, dtype=bool)
         leaders, owner = [], np.full(n_index, -1)
+
+        def join(rows: np.ndarray) -> None:
+            labels = np.unique(comp[rows])
+            low = labels[0]
+            alone = labels[1:][size[labels[1:]] == 1]
+            comp[alone] = low  # a row's first label is its own place
+            for label in labels[1:][size[labels[1:]] > 1]:
+                comp[comp == label] = low
+            size[low] = size[labels].sum()
+
         for at in range(n_index):
             if not free[at]:
                 continue
-            near = self.near(fp, fp2, fp[at], fp2[at])
-            taken = free & near[:n_index]
+            near = np.flatnonzero(self.near(fp, fp2, fp[at], fp2[at]))
+            taken = near[: np.searchsorted(near, n_index)]
+            taken = taken[free[taken]]
             owner[taken] = len(leaders)
             free[taken] = False
             leaders.append(at)
-            comp[np.isin(comp, np.unique(comp[near]))] = comp[near].min()
+            if len(near) > 1:
+                join(near)
         for number, leader in enumerate(leaders):
             members = np.flatnonzero(owner == number)
             members = members[members != leader]
@@ -155,13 +167,10 @@ class _Group:
                 part = part[comp[part] != comp[leader]]
                 hit = self.near(fp[part][:, None], fp2[part][:, None], fp[members][None], fp2[members][None]).any(axis=1)
                 if hit.any():
-                    joined = np.append(np.unique(comp[part[hit]]), comp[leader])
-                    comp[np.isin(comp, joined)] = joined.min()
-        first = {}
-        for at in range(len(fp)):
-            c = comp[at]
-            first[c] = min(first.get(c, ids[at]), ids[at])
-        root = np.array([first[c] for c in comp], dtype=np.int64)
+                    join(np.append(part[hit], leader))
+        first = np.full(len(fp), np.iinfo(np.int64).max)
+        np.minimum.at(first, comp, ids)
+        root = first[comp]
         moved = root != ids
         return ids[moved], root[moved]
 
