@@ -316,20 +316,6 @@ def near_duplicates(
     )
 
 
-def drop_near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8
-) -> DataFrame:
-    """The rows of docs without those that are near copies of a row with a smaller id.
-
-    Near copies are texts linked, directly or through others, by 128-bit SimHash
-    fingerprints of word shingles at the distance that `similarity` gives (`bits_for`).
-    Rows with a null id pass. Columns are those of docs, whatever their names.
-    """
-    found = near_duplicates(docs, id_col, text_col, words, bits_for(similarity), (42, 43))
-    gone = settle(found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct())
-    return docs.join(gone, id_col, "left_anti").select(docs.columns)
-
-
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
