@@ -13,16 +13,15 @@ from pyspark.sql import functions as F
 from dockwise.llm.common import components, group_edges, table, whole_groups
 from dockwise.session import settle
 
-#: Vectors that the codebooks are fitted on, and query vectors that fix where traversal stops.
+#: Vectors that the codebooks are fitted on.
 SAMPLE = 20_000
-QUERIES_MEASURED = 1_000
-#: Share of the links that the traversal must reach on the measured queries.
-RECALL = 0.999
 #: Largest codebook of a half; smaller where there are fewer than CELL rows for each cell.
 CODES = 128
 CELL = 64
 #: Rows of one side that a task compares at once.
 BLOCK = 2_048
+#: Rounding of squared distances of unit vectors, allowed for so that no bound exceeds the distance.
+ROUNDING = 1e-13
 
 
 def codebook(points: np.ndarray, size: int, rounds: int = 12, seed: int = 7) -> np.ndarray:
@@ -50,7 +49,7 @@ class MultiIndex:
 
     def __init__(self, first: np.ndarray, second: np.ndarray, stop: float):
         self.books = (first, second)
-        self.between = tuple(np.sqrt(np.maximum(squares(b, b), 1e-30)) for b in self.books)
+        self.between = tuple(np.array([np.sqrt(((b - c) ** 2).sum(axis=1)) for c in b]) for b in self.books)
         self.stop = stop
 
     def bounds(self, unit: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -60,10 +59,9 @@ class MultiIndex:
         for half, book, between in zip((unit[:, :cut], unit[:, cut:]), self.books, self.between):
             d = squares(half, book)
             home = d.argmin(axis=1)
-            bound = (d - d[np.arange(len(d)), home][:, None]) / (2 * between[home])
-            bound[np.arange(len(d)), home] = 0
+            further = np.maximum(d - d[np.arange(len(d)), home][:, None] - ROUNDING, 0)
             homes.append(home)
-            bounds.append(np.maximum(bound, 0))
+            bounds.append(further / np.maximum(2 * between[home], 1e-30))
         return homes, bounds
 
     def home(self, homes) -> np.ndarray:
@@ -105,59 +103,25 @@ def _per_dim(rows: pd.DataFrame) -> Iterator[tuple[int, pd.DataFrame]]:
         yield int(dim), part
 
 
-def fit(vectors: DataFrame, threshold: float, recall: float = RECALL) -> dict[int, MultiIndex]:
+def fit(vectors: DataFrame, threshold: float) -> dict[int, MultiIndex]:
     """An index per dimension for rows (node, label, dim, raw).
 
     Codebooks come from a sample of at most SAMPLE vectors, drawn by a hash of their bytes.
-    The traversal's stop is measured: at most QUERIES_MEASURED of them are compared with
-    all rows by brute force, and the stop is what reaches `recall` of their links, with a
-    quarter more as a margin, and at least a quarter of the linking distance.
+    The traversal stops at the linking distance: bounds never exceed the distance, so every
+    cell that can hold a link is visited, whatever the sample.
     """
-    radius = float(np.sqrt(2 - 2 * threshold))
+    radius = float(np.sqrt(max(0.0, 2 - 2 * threshold) + ROUNDING))
     index = {}
     for row in vectors.groupBy("dim").agg(F.count("*").alias("n")).orderBy("dim").collect():  # a row per dimension
         dim, n = row["dim"], row["n"]
         drawn = vectors.filter(F.col("dim") == dim).orderBy(F.xxhash64("raw"), "node").limit(SAMPLE)
-        drawn = drawn.select("label", "raw").toPandas()
-        unit = _units(drawn["raw"], dim)
+        unit = _units(drawn.select("raw").toPandas()["raw"], dim)
         size = int(np.clip(round((n / CELL) ** 0.5), 1, CODES))
         half = unit.shape[1] // 2
-        found = MultiIndex(codebook(unit[:, :half], size), codebook(unit[:, half:], size), radius)
-        found.stop = _measured_stop(vectors, dim, found, unit, drawn["label"].to_numpy(), threshold, recall, radius)
-        index[dim] = found
+        index[dim] = MultiIndex(codebook(unit[:, :half], size), codebook(unit[:, half:], size), radius)
     return index
 
 
-def _measured_stop(vectors, dim, found, unit, labels, threshold, recall, radius) -> float:
-    queries, asked = unit[:QUERIES_MEASURED], labels[:QUERIES_MEASURED]
-    bins = 400
-
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        _, (first, second) = found.bounds(queries)
-        for batch in batches:
-            counts = np.zeros(bins + 1, dtype=np.int64)
-            for at in range(0, len(batch), 4096):
-                part = batch.iloc[at : at + 4096]
-                rows = _units(part["raw"], dim)
-                (home1, home2), _ = found.bounds(rows)
-                cosine = queries @ rows.T
-                hit = (cosine >= threshold) & (cosine < 1 - 1e-12) & (asked[:, None] == part["label"].to_numpy()[None])
-                q, r = np.nonzero(hit)
-                far = np.sqrt(first[q, home1[r]] ** 2 + second[q, home2[r]] ** 2)
-                counts += np.bincount(np.minimum(bins, np.ceil(far / radius * bins)).astype(int), minlength=bins + 1)
-            seen = np.flatnonzero(counts)
-            yield pd.DataFrame({"bin": seen, "links": counts[seen]})
-
-    rows = vectors.filter(F.col("dim") == dim).select("label", "raw")
-    counted = rows.mapInPandas(measure, "bin long, links long").groupBy("bin").agg(F.sum("links").alias("links")).collect()
-    total, reached, needed = sum(r["links"] for r in counted), 0, 0
-    for row in sorted(counted):
-        if reached >= recall * total:
-            break
-        reached, needed = reached + row["links"], row["bin"]
-    return float(np.clip(1.25 * needed / bins * radius, 0.25 * radius, radius))
-
-
 def _labels(hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> np.ndarray:
     """Smallest place reachable, from tables of hits between places."""
     label = np.arange(n)
@@ -303,8 +267,7 @@ def near_vectors(
     so a vector that a third of all rows share costs no more than another. A null id takes
     part and ranks behind all ids. An empty table gives an empty result.
 
-    Every pair that is reported is verified; the share of links found is governed by the
-    traversal's stop (see `fit`).
+    Every pair that is reported is verified, and every link is found (see `fit`).
     """
     rows = rows.select(
         F.col(id_col).cast("long").alias("vec_id"),

@@ -123,3 +123,21 @@ def test_recall_of_the_query(spark, sf_dir):
 def test_small_dimensions(spark, dim):
     rng = np.random.default_rng(dim)
     check(spark, [(i, [float(np.float32(c)) for c in rng.normal(size=dim)], i % 2) for i in range(60)])
+
+
+def test_links_of_small_groups_beside_a_large_one(spark):
+    """A tight group holds nearly all links; those of pairs across cell borders count all the same."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=16)
+    points = [base + rng.normal(size=16) * 1e-4 for _ in range(900)]
+    for _ in range(900):
+        one, way = (v / np.linalg.norm(v) for v in rng.normal(size=(2, 16)))
+        way -= (way @ one) * one
+        points += [one, one + 0.19 * way / np.linalg.norm(way)]
+    rows = [(i, [float(np.float32(c)) for c in v], 0) for i, v in enumerate(points)]
+    unit = np.array([v for _, v, _ in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = ((unit @ unit.T >= 0.98).sum(axis=1) - 1).tolist()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors(df).collect()}
+    assert [got[i] for i in range(len(rows))] == want
