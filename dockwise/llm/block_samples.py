@@ -57,4 +57,12 @@ SAMPLES = [
     (f"<main><p>So.</p></main><div>{_LONG}</div><div>{_MID}</div>", "1 0 0"),
     (f"<p>{_LONG}</p><p>{_LONG * 2}</p>", "1 1"),
     (f"<div><a href='/'>Home</a></div><h1>Plain page</h1><p>{_LONG}</p><p>{_MID} {_LONG}</p>", "0 1 1 1"),
+    # wrappers named after their layout or a search; unwritten ends; an apostrophe in a value
+    (f"{_NAV}<div class='content with-sidebar'><p>{_LONG}</p><p>{_MID} {_LONG}</p></div><div class='sidebar'><p>{_LONG}</p></div>",
+     "000 11 0"),
+    (f"{_NAV}<div class='search share'><main><h1>Mills</h1><p title=don't>{_LONG}</p><p>{_MID}</p></main></div>{_FOOT}",
+     "000 1 11 0"),
+    (f"<article><p>{_MID}</p><svg class='i'/><p>{_LONG}</p><datalist><option value=a>A<option value=b>B</datalist><p>{_LONG}</p>"
+     f"<svg><p>{_MID}</p></article><section class='comments'><article><p>{_LONG}</p></article></section>",
+     "1 1 1 1 0"),
 ]

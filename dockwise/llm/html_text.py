@@ -16,12 +16,19 @@ from pyspark.sql import functions as F
 from dockwise.llm.block_samples import SAMPLES
 from dockwise.llm.common import table, whole_text
 
+#: Attributes of a tag; a quoted value begins only after an equals sign.
+ATTRIBUTES = r"(?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?+)*+"
 #: Markup in order: comments, elements whose content is no text, tags, declarations, and a
-#: tag that the page breaks off.
+#: tag that the page breaks off. Only comments and raw text may run to the end of the page;
+#: of other elements an end must be written, else the start is a tag like any.
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|title|noscript|template|textarea|select|option|button|svg|iframe|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    rf"|<(?:(?P<raw>script|style|title|textarea)\b{ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|svg\b{ATTRIBUTES}(?<=/)>"
+    rf"|option\b{ATTRIBUTES}>[^<]*"
+    rf"|(?P<inside>select|button|svg)\b{ATTRIBUTES}>(?:[^<]|<(?!/?(?:p|h[1-6]|article|main|section)\b|(?P=inside)\b))*?</(?P=inside)\s*>"
+    rf"|(?P<held>noscript|template|iframe|object)\b{ATTRIBUTES}>.*?</(?P=held)\s*>)"
+    rf"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9-]*)(?P<attributes>{ATTRIBUTES})>"
     r"|<[!?][^>]*>"
     r"|<[a-zA-Z/!?][^>]*\Z",
     re.DOTALL | re.IGNORECASE,
@@ -47,6 +54,10 @@ ASIDE_HINTS = set(
     "comment comments reply replies respond disqus share sharing social related recommended newsletter subscribe signup "
     "login search widget pagination pager toolbar copyright legal disclaimer skip complementary contentinfo".split()
 )
+#: Of these, words for texts of others, which stay beside the main text even where they are articles.
+OTHERS_HINTS = set("comment comments reply replies respond disqus related recommended".split())
+#: A class such as with-sidebar tells of the page's layout and does not name the element.
+LAYOUT = re.compile(r"\b(?:with|without|has|no)[-_]+[a-z_-]+")
 
 
 @dataclass
@@ -66,7 +77,8 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     parts: list[str] = []
     link_parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # container, inside main, inside something beside it
+    # container, inside main, inside something beside it, which a nested article does not undo
+    stack: list[tuple[str, bool, bool, bool]] = []
     heading = link = False
     at = 0
 
@@ -74,7 +86,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal parts, link_parts
         words = "".join(parts).split()
         if words:
-            _, main, aside = stack[-1] if stack else ("", False, False)
+            _, main, aside, _ = stack[-1] if stack else ("", False, False, False)
             found.append(Block(" ".join(words), len(words), len("".join(link_parts).split()), main, aside, heading))
         parts, link_parts = [], []
 
@@ -88,13 +100,13 @@ def blocks(page: str) -> list[Block]:
     for hit in MARKUP.finditer(page):
         text(hit.start())
         at = hit.end()
-        if hit.group(1):
-            parts.append(" ")
-        name = hit.group(3)
+        name = hit["name"]
         if not name:
+            if page[hit.start() + 1] not in "!?":
+                parts.append(" ")
             continue
         name = name.lower()
-        ending = hit.group(2) == "/"
+        ending = hit["end"] == "/"
         if name in INLINE:
             if name == "a":
                 link = not ending
@@ -113,11 +125,17 @@ def blocks(page: str) -> list[Block]:
                 while stack.pop()[0] != name:
                     pass
             heading = False
-        elif not hit.group(4).endswith("/"):
-            _, main, aside = stack[-1] if stack else ("", False, False)
-            hints = {w for m in HINTS.finditer(hit.group(4)) for w in re.split(r"[^a-z]+", m.group(1).lower())}
+        elif not hit["attributes"].endswith("/"):
+            _, main, aside, firm = stack[-1] if stack else ("", False, False, False)
+            values = (LAYOUT.sub(" ", m.group(1).lower()) for m in HINTS.finditer(hit["attributes"]))
+            hints = {w for value in values for w in re.split(r"[^a-z]+", value)}
             beside = name in ASIDE or (name == "header" and not main) or not hints.isdisjoint(ASIDE_HINTS)
-            stack.append((name, main or name in MAIN, aside or (beside and name not in ("body", "article", "main"))))
+            if name in MAIN:
+                aside = firm or (aside and main)
+            elif name != "body":
+                aside = aside or beside
+                firm = firm or name in ASIDE or not hints.isdisjoint(OTHERS_HINTS)
+            stack.append((name, main or name in MAIN, aside, firm))
     text(len(page))
     close()
     return found

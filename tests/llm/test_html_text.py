@@ -93,3 +93,26 @@ def test_query(spark, sf_dir):
             line = " ".join(h.html.unescape(h.re.sub(r"</?b>", "", part.replace("<br>", " "))).split())
             want += [line] if line else []
         assert (r["url"], r["text"], r["n_chars"]) == (page["url"], "\n".join(want), len("\n".join(want)))
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<article><p>one</p><svg class=\"i\"/><p>two</p><p>three</p></article>", "one\ntwo\nthree"),
+        ("<article><p>one</p><svg class=i><p>two</p><p>three</p></article>", "one\ntwo\nthree"),
+        ("<article><p>one</p><datalist><option value=a><option value=b></datalist><p>two</p></article>", "one\ntwo"),
+        ("<article><p>one</p><button>no<p>two</p><button>no</button><p>three</p></article>", None),
+        ("<article><p title=don't>one</p><p>two</p><p>it's three</p></article>", "one\ntwo\nit's three"),
+        (f"{NAV}<div class='content with-sidebar'><article><p>one</p><p>two</p></article></div>", "one\ntwo"),
+        (f"{NAV}<div class='search'><main><p>one</p><p>two</p></main></div>", "one\ntwo"),
+        (f"{NAV}<article><p>one</p></article><div class='comments'><article><p>{LONG}</p></article></div>", "one"),
+    ],
+)
+def test_ends_that_are_not_written(page, want):
+    """Nothing of the article is swallowed up to a later end, quote or the end of the page."""
+    got = text(page)
+    assert got == want if want is not None else {"two", "three"} <= set(got.split("\n"))
+
+
+def test_cut_tags_take_linear_time():
+    assert text("<article><p>one</p><a " + "x='y' " * 50_000) == "one"
