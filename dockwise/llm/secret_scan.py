@@ -23,13 +23,16 @@ ASSIGN_LENGTH = 6
 
 #: Lengths of the hexadecimal digests in common use, and the layout of a UUID.
 DIGESTS = {32, 40, 56, 64, 96, 128}
-UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 ONLY_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 
 #: Runs that the token test looks at, and the ratio of characters to tokens below which a
 #: run counts as random. Words and identifiers of letters lie well above.
 RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 RATIO = 2.0
+#: Parts of a run, a UUID being one, and the least length of a random string among them.
+PART = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])|[A-Za-z0-9]+=*")
+LEAST = 16
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -49,21 +52,43 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def plain_identifier(run: str) -> bool:
-    """Digests, UUIDs, numbers and words are known shapes, not secrets."""
+    """Digests, UUIDs and numbers are known shapes, not secrets; words are told by the ratio."""
     if UUID.fullmatch(run) or (len(run) in DIGESTS and ONLY_HEX.fullmatch(run)):
         return True
-    letters = any(c.isalpha() for c in run)
-    digits = any(c.isdigit() for c in run)
-    return not (letters and digits)
+    return not any(c.isalpha() for c in run)
 
 
 def random_spans(text: str, encoding, ratio: float = RATIO) -> list[tuple[int, int, int]]:
-    """Runs whose characters per token stay below `ratio`, known shapes left out."""
+    """Runs, or else stretches of their parts, whose characters per token stay below `ratio`.
+
+    Known shapes are left out. A run that is not random as a whole, such as a path, is
+    searched for neighbouring parts that all are.
+    """
+
+    def dense(part: str) -> bool:
+        return len(part) < ratio * len(encoding.encode_ordinary(part))
+
     found = []
     for hit in RUN.finditer(text):
-        run = hit.group()
-        if not plain_identifier(run) and len(run) < ratio * len(encoding.encode_ordinary(run)):
-            found.append((hit.start(), 3, hit.end()))
+        run, start = hit.group(), hit.start()
+        if plain_identifier(run):
+            continue
+        if dense(run):
+            found.append((start, 3, hit.end()))
+            continue
+        stretches, follows = [], False
+        for part in PART.finditer(run):
+            word = part.group()
+            known = plain_identifier(word) and not word.isdigit()
+            fits = not known and dense(word)
+            if fits and follows:
+                stretches[-1][1] = part.end()
+            elif fits:
+                stretches.append([*part.span()])
+            follows = fits
+        for a, b in stretches:
+            if b - a >= LEAST and not plain_identifier(run[a:b]) and dense(run[a:b]):
+                found.append((start + a, 3, start + b))
     return found
 
 
@@ -95,9 +120,9 @@ def find_secrets(docs: DataFrame, text_col: str = "text", vocabulary=None, ratio
 
     Spans are in code points, the end exclusive, by start and then by kind as listed in
     KINDS. The kinds assign, access and hex follow fixed patterns. The kind random is the
-    token-efficiency test: a run of 16 or more characters that mixes letters and digits and
-    needs more than one token per `ratio` characters is a random string; digests, UUIDs and
-    plain numbers are left out. All of a text is searched, whatever its length; null is
+    token-efficiency test: a run of 16 or more characters that needs more than one token per
+    `ratio` characters is a random string, and so is a stretch of parts of such length inside
+    a path or a joined name; digests, UUIDs and plain numbers are left out. All of a text is searched, whatever its length; null is
     empty and has no spans. Ids are not looked at, so null and repeated ids pass; a column
     of the name `secret_spans` is replaced.
     """

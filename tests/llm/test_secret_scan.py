@@ -1,7 +1,9 @@
 """Secret scans against plain regular expressions."""
 
 import hashlib
+import random
 import re
+import string
 
 import pytest
 from hypothesis import given, settings
@@ -85,3 +87,37 @@ def test_query(spark, sf_dir, encoding):
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == n for _, k, _ in base) for n in range(3)]
         every = sorted(base + s.random_spans(docs[r["doc_id"]], encoding))
         assert r["spans"] == ",".join(f"{s.KINDS[k]}:{a}:{b}" for a, k, b in every)
+
+
+def test_random_strings_inside_paths_and_names(encoding):
+    """A path or a name around a random string does not hide it, nor does the lack of digits."""
+    rng = random.Random(5)
+    base62 = string.ascii_letters + string.digits
+    for before, after in (
+        ("https://example.org/documentation/article/", ""),
+        ("/home/project/information/configuration/production/", "/settings"),
+        ("production_configuration_", "_information"),
+    ):
+        hits = 0
+        for _ in range(300):
+            secret = "".join(rng.choices(base62, k=20))
+            text = before + secret + after
+            at = len(before)
+            hits += any(a <= at and at + 20 <= b for a, _, b in s.random_spans(text, encoding))
+        assert hits >= 0.9 * 300, before
+    letters = ["".join(rng.choices(string.ascii_letters, k=rng.randint(16, 40))) for _ in range(300)]
+    assert sum(bool(s.random_spans(t, encoding)) for t in letters) >= 0.97 * 300
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "https://example.org/documentation/article/the-history-of-water-mills",
+        "/files/123e4567-e89b-12d3-a456-426614174000/information",
+        "/objects/d41d8cd98f00b204e9800998ecf8427e/information",
+        "/archive/2024/03/14/information/about/the/weather",
+        "configuration_of_the_production_environment",
+    ],
+)
+def test_paths_and_names_of_words_are_no_secrets(encoding, text):
+    assert s.random_spans(text, encoding) == []
