@@ -30,6 +30,14 @@ def remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """A helper column's name that none of the given columns has, in either case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     """Connected components of an edge list (a long, b long): rows (node, component_id).
 

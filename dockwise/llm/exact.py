@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockwise.llm.common import WHITE, table, whole_text
+from dockwise.llm.common import WHITE, free_name, table, whole_text
 from dockwise.session import settle
 
 #: Distinct hashes that a bucket holds before it is split.
@@ -112,11 +112,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     alike, and repeated rows fall together in the same shuffle.
     """
     found = exact_dedup(docs, id_col, text_col).filter("NOT kept")
-    gone = settle(found.select(_row_mark(F.col(id_col), F.col("text_sha256")).alias("_row_mark")).distinct())
+    mark = free_name(docs.columns, "row_mark")
+    gone = settle(found.select(_row_mark(F.col(id_col), F.col("text_sha256")).alias(mark)).distinct())
     sha = F.sha2(_norm(text_col).cast("binary"), 256)
-    marked = docs.withColumn("_row_mark", _row_mark(F.col(id_col), sha))
-    left = marked.join(gone.hint("merge"), "_row_mark", "left_anti")
-    return left.dropDuplicates(["_row_mark"]).select(docs.columns)
+    marked = docs.withColumn(mark, _row_mark(F.col(id_col), sha))
+    left = marked.join(gone.hint("merge"), mark, "left_anti")
+    return left.dropDuplicates([mark]).select(docs.columns)
 
 
 def _row_mark(row_id, sha):

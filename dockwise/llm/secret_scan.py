@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockwise.llm.common import table, whole_text
+from dockwise.llm.common import free_name, table, whole_text
 
 #: The base patterns and their least lengths.
 ASSIGN = re.compile(
@@ -170,11 +170,12 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", voca
             found = ([(a, b) for a, _, b in base_spans(t) + random_spans(t, encoding, ratio)] for t in texts)
             yield pd.Series([redacted(t, s, mark) if s else None for t, s in zip(texts, found)], dtype=object)
 
-    rows = docs.withColumn("_clean", clean(whole_text(text_col)))
-    changed = {text_col: F.coalesce("_clean", F.col(text_col))}
+    cleaned = free_name(docs.columns, "clean")
+    rows = docs.withColumn(cleaned, clean(whole_text(text_col)))
+    changed = {text_col: F.coalesce(cleaned, F.col(text_col))}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_clean").isNull(), F.col("n_chars")).otherwise(
-            F.length("_clean").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col(cleaned).isNull(), F.col("n_chars")).otherwise(
+            F.length(cleaned).cast(docs.schema["n_chars"].dataType)
         )
     return rows.withColumns(changed).select(docs.columns)
 

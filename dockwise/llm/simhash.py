@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockwise.llm.common import components, group_edges, table, whole_groups, whole_text
+from dockwise.llm.common import components, free_name, group_edges, table, whole_groups, whole_text
 from dockwise.session import settle
 
 #: Fingerprints of one key that a task compares; larger groups are cut into blocks.
@@ -175,37 +174,11 @@ class _Group:
         return ids[moved], root[moved]
 
 
-def pigeonring_links(prints: DataFrame, radius: int, total: int = 128, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) whose components are those of all pairs within `radius` bits.
-
-    Only pairs count that differ in at most `total` bits of both fingerprints together.
-
-    prints: rows (id, fp, fp2) with distinct (fp, fp2). Fingerprints are cut into
-    radius + 1 segments on a ring. Of two within the radius some chain of consecutive
-    segments differs by at most l - 1 bits in its first l segments, for every l; so the
-    first segment is equal and the second differs by one bit at most. Each fingerprint is
-    filed under the key of every such pair of segments and looks in the keys that one
-    more set bit gives. Inside a key the longer chains prune, then the whole distance
-    decides. No pair is missed. A key with more than `block` filed fingerprints is cut
-    into blocks that meet pairwise, so a task holds 2 blocks and no more.
-    """
+def dealt_keys(prints: DataFrame, radius: int, block: int) -> DataFrame:
+    """Rows (key, c1, c2, probe, id, fp, fp2): every fingerprint in the cells of its keys."""
     parts = segments(radius)
     n = len(parts)
 
-    def filed(i):
-        (s, w), (s2, w2) = parts[i], parts[(i + 1) % n]
-        first = F.shiftrightunsigned("fp", s).bitwiseAND((1 << w) - 1)
-        second = F.shiftrightunsigned("fp", s2).bitwiseAND((1 << w2) - 1)
-        return F.lit(i << 56) + F.shiftleft(first.cast("long"), w2) + second
-
-    hot = (
-        prints.select(F.explode(F.array(*[filed(i) for i in range(n)])).alias("key"))
-        .groupBy("key")
-        .agg(F.count("*").alias("rows"))
-        .filter(F.col("rows") > block)
-        .select("key", F.ceil(F.col("rows") / block).cast("int").alias("cuts"))
-    )
-
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fp = batch["fp"].to_numpy(dtype=np.int64).view(np.uint64)
@@ -220,13 +193,50 @@ def pigeonring_links(prints: DataFrame, radius: int, total: int = 128, block: in
                     key = base[clear] + (second[clear] | np.uint64(1 << bit))
                     yield batch[clear].assign(key=key.view(np.int64), probe=True)
 
-    rows = prints.mapInPandas(keys, "id long, fp long, fp2 long, key long, probe boolean").join(hot, "key", "left")
-    own = F.pmod(F.xxhash64("fp", "fp2"), F.col("cuts"))
-    other = F.explode(F.when(F.col("cuts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    rows = rows.withColumn("own", F.coalesce(own, F.lit(0))).withColumn("other", other)
-    rows = rows.select(
-        "key", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "probe", "id", "fp", "fp2"
+    rows = prints.mapInPandas(keys, "id long, fp long, fp2 long, key long, probe boolean")
+    load = rows.groupBy("key").agg(
+        F.count_if(~F.col("probe")).alias("filed"), F.count_if(F.col("probe")).alias("looking")
+    )
+    hot = load.filter(f"filed > {block} OR looking > {block}").select(
+        "key",
+        F.ceil(F.col("filed") / block).cast("int").alias("cuts"),
+        F.ceil(F.col("looking") / block).cast("int").alias("probe_cuts"),
     )
+    rows = rows.join(hot, "key", "left").filter("cuts IS NULL OR cuts > 0")  # where none is filed, none is found
+    # cell (c1, c2): blocks c1 <= c2 of the filed, or block c1 of the filed and cuts + c2 of those that look
+    own = F.pmod(F.xxhash64("fp", "fp2"), F.when(F.col("probe"), F.col("probe_cuts")).otherwise(F.col("cuts"))).cast("int")
+    turns = F.when(F.col("probe"), F.col("cuts")).otherwise(F.col("cuts") + F.col("probe_cuts"))
+    rows = rows.withColumn("own", F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(own)).withColumn(
+        "other", F.explode(F.when(F.col("cuts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), turns - 1)))
+    )
+    looks = F.col("probe") & F.col("cuts").isNotNull()
+    return rows.select(
+        "key",
+        F.when(looks, F.col("other")).otherwise(F.least("own", "other")).alias("c1"),
+        F.when(looks, F.col("cuts") + F.col("own")).otherwise(F.greatest("own", "other")).alias("c2"),
+        "probe",
+        "id",
+        "fp",
+        "fp2",
+    )
+
+
+def pigeonring_links(prints: DataFrame, radius: int, total: int = 128, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) whose components are those of all pairs within `radius` bits.
+
+    Only pairs count that differ in at most `total` bits of both fingerprints together.
+
+    prints: rows (id, fp, fp2) with distinct (fp, fp2). Fingerprints are cut into
+    radius + 1 segments on a ring. Of two within the radius some chain of consecutive
+    segments differs by at most l - 1 bits in its first l segments, for every l; so the
+    first segment is equal and the second differs by one bit at most. Each fingerprint is
+    filed under the key of every such pair of segments and looks in the keys that one
+    more set bit gives. Inside a key the longer chains prune, then the whole distance
+    decides. No pair is missed. Where a key has more than `block` filed or looking
+    fingerprints, both kinds are cut into blocks; every filed block meets every other and
+    every looking one in a cell of its own, so a task holds 2 blocks and no more.
+    """
+    rows = dealt_keys(prints, radius, block)
 
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group = _Group(radius, total)
@@ -273,11 +283,6 @@ def pigeonring_links(prints: DataFrame, radius: int, total: int = 128, block: in
     return dealt.mapInPandas(links, "a long, b long")
 
 
-def bits_for(similarity: float, bits: int = 128) -> int:
-    """Differing bits expected of two shingle sets of equal size with this Jaccard similarity."""
-    return int(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-
-
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -294,8 +299,8 @@ def near_duplicates(
     differing bits; component_id is the smallest id reachable through links, the own one
     included. With two seeds there are 128 bits, and `radius` counts all of them: one of
     the two halves then differs in at most half the radius, and both halves are searched.
-    A null text is empty. Rows that repeat an id or a text share a component; a row with a
-    null id has the component of its fingerprint, null if no row with an id shares it, and
+    A null text is empty. Rows that repeat a text share a component; rows that repeat an id
+    with texts apart are told apart, each by its own fingerprint; a row with a null id has the component of its fingerprint, null if no row with an id shares it, and
     forms no links of its own. An empty table gives an empty result.
     """
     prints = settle(fingerprints(docs, id_col, text_col, words, seeds))
@@ -316,6 +321,26 @@ def near_duplicates(
     )
 
 
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of docs without those in whose group a smaller id stays, columns as they are.
+
+    Groups are the components of `near_duplicates`, whose rules hold here. Rows that repeat
+    an id count as one document: they go together, and only where each of their
+    fingerprints has a smaller id in its group. Rows with a null id pass. An empty table
+    stays empty.
+    """
+    found = near_duplicates(docs.select(id_col, text_col), id_col, text_col, words, radius)
+    mark = free_name(docs.columns, "gone")
+    gone = (
+        found.filter(F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias(mark))
+        .agg(F.bool_and(F.col("component_id") < F.col(id_col)).alias("all"))
+        .filter("all")
+        .select(mark)
+    )
+    return docs.join(settle(gone), F.col(id_col).cast("long") == F.col(mark), "left_anti").select(docs.columns)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 

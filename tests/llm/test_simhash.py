@@ -77,6 +77,30 @@ def test_hot_keys_in_blocks_and_large_groups(spark, monkeypatch):
     check_links(spark, sorted(ball | set(cluster(rng, 20, 4))), 4, block=16)
 
 
+def test_hot_probes_in_blocks(spark):
+    """A key that few are filed under and many look in: no cell holds more than two blocks."""
+    rng = random.Random(21)
+    base = rng.getrandbits(64) & ~(1 << 13)
+    high = ~((1 << 26) - 1)
+    # segments 0 and 1 (bits 0-24) equal but for bit 13, so all look in the key of the few that have it
+    many = {(base & ~high) | (rng.getrandbits(64) & high) for _ in range(200)}
+    few = {p | (1 << 13) for p in sorted(many)[:6]} | {((base | 1 << 13) & ~high) | (rng.getrandbits(64) & high) for _ in range(6)}
+    prints = sorted(many | few)
+    check_links(spark, prints, 4, block=16)
+    rows = spark.createDataFrame([(i, as_signed(p), 0) for i, p in enumerate(prints)], "id long, fp long, fp2 long")
+    assert max(r["count"] for r in simhash.dealt_keys(rows, 4, 16).groupBy("key", "c1", "c2").count().collect()) <= 4 * 16
+
+
+def test_drop_near_copies_on_odd_rows(spark):
+    base = "the old mill by the river stood under the water for many weeks and nobody came to see it again " * 9
+    rows = [(3, base), (1, base + "now"), (1, "alone here"), (2, "alone here"), (7, None), (8, ""), (None, base), (9, base), (9, "quite other words")]
+    out = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in out if r["text"]) == sorted(
+        [(0, base), (1, base + "now"), (1, "alone here"), (9, base), (9, "quite other words")]
+    )
+    assert [r["doc_id"] for r in out if not r["text"]] == [7]
+
+
 def test_large_group_of_many_leaders():
     rng = random.Random(13)
     prints = cluster(rng, 30, 4)
