@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dockwise.llm.exact import drop_copies
-from dockwise.llm.minhash import drop_near_copies
 from dockwise.llm.packing import pack
 from dockwise.llm.quality import keep_good
 from dockwise.llm.secret_scan import redact
+from dockwise.llm.simhash import drop_near_copies
 from dockwise.session import settle
 
 
@@ -25,8 +25,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies (five-word sets, Jaccard 0.8)."""
-    return drop_near_copies(docs, words=5, similarity=0.8)
+    """The document with the smallest id of each group of near copies: SimHash of four-word shingles, 4 bits."""
+    return drop_near_copies(docs, words=4, radius=4)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
