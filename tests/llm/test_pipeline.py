@@ -8,7 +8,7 @@ import __spark_entry__
 import corpus_pipeline
 from dockwise.llm.quality import ACCEPT, learn, score
 from dockwise.llm.secret_scan import base_spans, default_vocabulary, encoding_of, random_spans
-from dockwise.llm.simhash import bits_for, fingerprint
+from dockwise.llm.simhash import fingerprint
 from pyspark.sql import functions as F
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -49,7 +49,7 @@ def test_exact(stages):
 
 def test_near(stages):
     before = texts(stages[2])
-    prints = {i: fingerprint(t or "", 5, (42, 43)) for i, t in before.items()}
+    prints = {i: fingerprint(t or "", 4, (42,)) for i, t in before.items()}
     label = {i: i for i in prints}
 
     def root(i):
@@ -61,7 +61,7 @@ def test_near(stages):
     for k, i in enumerate(ids):
         for j in ids[:k]:
             far = sum((a ^ b).bit_count() for a, b in zip(prints[i], prints[j]))
-            if far <= bits_for(0.8):
+            if far <= 4:
                 x, y = sorted((root(i), root(j)))
                 label[y] = x
     assert set(texts(stages[3])) == {i for i in ids if root(i) == i}
@@ -97,6 +97,22 @@ def test_secrets(spark, sf_dir, stages):
     assert all(r["n_chars"] == r["n"] for r in lengths if "[SECRET]" in after[r["doc_id"]])
 
 
+def test_helper_names_do_not_clash(spark, sf_dir):
+    text = "the river rose and the lower fields stood under water until the wind turned at last " * 9
+    names = ["gone", "row_mark", "_clean", "clean", "_gone", "_row_mark", "fp", "component_id", "kept"]
+    rows = [(1, text, *names), (2, text, *names), (3, text + "so", *names), (4, "token = b7db7aa4a5fcc78305", *names)]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", 1, *more) for i, t, *more in rows],
+        "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names),
+    )
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert all(r[n] == n for r in found for n in names)
+        assert {r["doc_id"] for r in found} == {"exact": {1, 3, 4}, "near": {1, 4}, "secrets": {1, 2, 3, 4}}[name]
+
+
 def test_packing(stages):
     rows = stages[5].collect()
     words = {i: len((t or "").encode().split()) + 1 for i, t in texts(stages[4]).items()}
