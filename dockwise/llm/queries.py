@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dockwise.llm import bpe, embeddings, exact, html_text, lm_scoring, packing, quality, secret_scan, simhash, warc
+from dockwise.llm import bpe, collocations, embeddings, exact, html_text, line_rules, lm_scoring, merkle, packing, quality, secret_scan, simhash, warc
 
-MODULES = [bpe, simhash, warc, exact, html_text, quality, embeddings, secret_scan, packing, lm_scoring]
+MODULES = [bpe, simhash, warc, exact, html_text, quality, embeddings, secret_scan, packing, lm_scoring, merkle, collocations, line_rules]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in getattr(module, "SQL", {}).items()}
