@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import io
-import zipfile
+import itertools
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -22,6 +22,17 @@ from dockwise.operators.clean import (
 )
 from dockwise.operators.stations import flatten_status, report_time
 from dockwise.operators.trips import harmonize_mixed
+from dockwise.sources.ranges import (
+    LINE_TYPES,
+    RANGE_BYTES,
+    cells_of,
+    feature_rows,
+    known,
+    listed,
+    splittable,
+    table_lines,
+    zipped_lines,
+)
 from dockwise.sources.schemas import (
     LOOKUP,
     NEW_TRIP_FILE,
@@ -127,52 +138,68 @@ def scan_station_status(
 def unzip_largest(archives: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of the largest member of each zip (`path`, `content`), as text columns after `path`.
 
-    An archive is the unit of work. Its member is read in pieces, so a task
-    holds one archive and one piece at a time. Absent columns are null.
+    Absent columns are null, as are the texts that stand for no value.
     """
     columns = list(columns)
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    largest = max(archive.infolist(), key=lambda member: member.file_size)
-                    with archive.open(largest) as member:
-                        for piece in pd.read_csv(member, dtype=str, chunksize=50_000):
-                            piece = piece.rename(columns=str.strip)
-                            tidy = piece.reindex(columns=columns).astype(object)
-                            yield tidy.where(tidy.notna(), None).assign(path=path)
+                lines = table_lines(io.BytesIO(content), columns)
+                while part := list(itertools.islice(lines, 20_000)):
+                    places, texts = zip(*part)
+                    yield pd.DataFrame({"path": [path] * len(part), "places": places, "line": texts}, dtype=object)
+
+    return cells_of(archives.select("path", "content").mapInPandas(unpack, LINE_TYPES), columns)
 
-    schema = ", ".join(f"`{c}` string" for c in [*columns, "path"])
-    return archives.select("path", "content").mapInPandas(unpack, schema)
+
+def _harmonised(both: DataFrame) -> DataFrame:
+    return harmonize_mixed(both.withColumn("source_file", F.element_at(F.split("path", "/"), -1)), ["source_file"])
 
 
 def trips_from_archives(archives: DataFrame) -> DataFrame:
     """Harmonised trips of zipped trip files of both layouts, in one pass, with `source_file`."""
-    both = unzip_largest(archives, [*OLD_TRIP_FILE, *NEW_TRIP_FILE])
-    return harmonize_mixed(both.withColumn("source_file", F.element_at(F.split("path", "/"), -1)), ["source_file"])
+    return _harmonised(unzip_largest(archives, [*OLD_TRIP_FILE, *NEW_TRIP_FILE]))
 
 
 def scan_trips(spark: SparkSession, glob: str) -> DataFrame:
-    """Zipped trip files, harmonised. Write the result once and read that from then on."""
+    """Zipped trip files, harmonised. Write the result once and read that from then on.
+
+    Every archive is a partition; its directory names the member, whose lines are streamed,
+    so a task needs the same memory for an archive of any size. Where the file system is
+    none that Python knows, the archives come through Spark's own reader, whole.
+    """
+    found = listed(spark, glob)
+    wanted = [*OLD_TRIP_FILE, *NEW_TRIP_FILE]
+    if all(known(path) for path, _ in found):
+        return _harmonised(cells_of(zipped_lines(spark, found, wanted), wanted))
     return trips_from_archives(spark.read.format("binaryFile").load(glob))
 
 
 def scan_geojson(
-    spark: SparkSession, path: str, properties: str, geometry: str = "point", multiline: bool = True
+    spark: SparkSession,
+    path: str,
+    properties: str,
+    geometry: str = "point",
+    multiline: bool = True,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """Features of FeatureCollections: the properties and one geometry column.
 
     `geometry` is point (x, y), line (paths) or polygon (parts); a missing
-    geometry is null. With `multiline=False` every line of a file is a collection
-    of its own, which lets one large file be split among tasks.
+    geometry is null. A file is one collection and is read in ranges of bytes, by several
+    tasks where it is large; compressed files, and those of a file system that only Spark
+    knows, are read whole. With `multiline=False` every line of a file is a collection of its own.
     """
-    schema = (
-        f"features array<struct<properties: struct<{_colons(properties)}>, "
-        "geometry: struct<type: string, coordinates: string>>>"
-    )
-    feed = spark.read.schema(schema).option("multiLine", multiline).json(path)
-    rows = feed.select(F.explode("features").alias("_f")).select(
+    feature = f"struct<properties: struct<{_colons(properties)}>, geometry: struct<type: string, coordinates: string>>"
+    found = listed(spark, path) if multiline else []
+    if multiline and splittable(found):
+        # parsed as the JSON reader parses: a feature that is none has no properties and no geometry
+        features = feature_rows(spark, found, range_bytes).select(F.from_json("feature", feature).alias("_f"))
+    else:
+        feed = spark.read.schema(f"features array<{feature}>").option("multiLine", multiline).json(path)
+        features = feed.select(F.explode("features").alias("_f"))
+    rows = features.select(
         "_f.properties.*",
         F.col("_f.geometry.type").alias("_type"),
         F.col("_f.geometry.coordinates").alias("_text"),
