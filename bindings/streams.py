@@ -19,19 +19,27 @@ def _stream(spark, sf, view) -> DataFrame:
     return view(events)
 
 
-def _shuffled(spark, sf, view, ts: str) -> DataFrame:
-    """A bound view over the events as a feed out of order: four files of events dealt by
-    a hash of their id, one to a trigger, and the row that flushes the feed."""
-    rows, source = view(table(spark, sf, "events")), work_dir(spark, "feed")
-    key = rows.columns[0]
-    for part in range(4):
-        rows.filter(F.pmod(F.xxhash64(key), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(source)
-    feeds.flush_rows(rows, ts).coalesce(1).write.mode("append").parquet(source)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+#: Parts that a feed arrives in, and files of a part.
+PARTS, FILES = 4, 3
+#: A row arrives up to half a day after its time, so none of them comes too late.
+DISORDER_HOURS, DELAY = 12, "1 day"
+
 
+def _disordered(spark, sf, view, ts: str) -> DataFrame:
+    """A bound view over the events as a feed out of order, and the row that flushes it.
 
-#: The events reach over less than this, so no shuffled file comes too late.
-WHOLE_FEED = "4000 days"
+    Every row arrives by a hash of its id up to DISORDER_HOURS after its time. What arrives
+    within a quarter of the events' time is a part of several files, read by one trigger.
+    """
+    rows, source = view(table(spark, sf, "events")), work_dir(spark, "feed")
+    late = F.pmod(F.xxhash64(rows.columns[0]), F.lit(DISORDER_HOURS * 3600))
+    arrival = F.unix_seconds(F.col(ts).cast("timestamp")) + late
+    span = rows.agg(F.min(arrival).alias("a"), F.max(arrival).alias("b")).first()
+    part = F.least(F.floor((arrival - span["a"]) * PARTS / (span["b"] - span["a"] + 1)), F.lit(PARTS - 1))
+    for number in range(PARTS):
+        rows.filter(part == number).repartition(FILES).write.mode("append").parquet(source)
+    feeds.flush_rows(rows, ts).coalesce(1).write.mode("append").parquet(source)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(source)
 
 
 def _run(spark, rows: DataFrame, name: str) -> DataFrame:
@@ -68,8 +76,8 @@ def _reports(events: DataFrame) -> DataFrame:
     ),
 )
 def stream_net_counts(spark, sf):
-    feed = _shuffled(spark, sf, _reads, "observed_at")
-    return _run(spark, feeds.stream_net_counts(feed, delay=WHOLE_FEED), "net")
+    feed = _disordered(spark, sf, _reads, "observed_at")
+    return _run(spark, feeds.stream_net_counts(feed, delay=DELAY), "net")
 
 
 @bind(
@@ -77,8 +85,8 @@ def stream_net_counts(spark, sf):
     sql("SELECT objectid, station_id, reported_datetime, stale FROM flagged"),
 )
 def stream_stale_flag(spark, sf):
-    feed = _shuffled(spark, sf, _reports, "reported_datetime")
-    return _run(spark, feeds.stream_stale_flag(feed, delay=WHOLE_FEED), "stale")
+    feed = _disordered(spark, sf, _reports, "reported_datetime")
+    return _run(spark, feeds.stream_stale_flag(feed, delay=DELAY), "stale")
 
 
 @bind(
@@ -92,10 +100,10 @@ def stream_stale_flag(spark, sf):
 )
 def stream_service_day_totals(spark, sf):
     """All days, the last ones closed by the row that flushes the feed."""
-    counted = _shuffled(spark, sf, _reads, "observed_at").withColumns(
+    counted = _disordered(spark, sf, _reads, "observed_at").withColumns(
         {"net_entries": F.col("entries"), "net_exits": F.col("exits")}
     )
-    return _run(spark, feeds.stream_service_day_totals(counted, delay=WHOLE_FEED), "days")
+    return _run(spark, feeds.stream_service_day_totals(counted, delay=DELAY), "days")
 
 
 @bind("stream_status_ingest", STATUS_ROWS)

@@ -17,9 +17,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # capture files are named after a time of day, which holds colons; the
-    # checksumming local file system cannot open such names
-    "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
 }
 
 

@@ -45,6 +45,9 @@ from dockwise.sources.schemas import (
 )
 
 TURNSTILE_GLOB = "turnstile_*.txt"
+#: Capture files are named after a time of day, which holds colons. The checksumming local
+#: file system cannot open such names; these options read local files without checksums.
+LOCAL_COLONS = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 
 
 def turnstile_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -130,8 +133,8 @@ def status_rows(feed: DataFrame, file_name: Column, zone: str = "America/New_Yor
 def scan_station_status(
     spark: SparkSession, path: str, zone: str = "America/New_York"
 ) -> DataFrame:
-    """Status captures under a directory. Colons in local file names need RawLocalFileSystem."""
-    feed = spark.read.schema(STATION_STATUS).option("multiLine", True).json(path)
+    """Status captures under a directory; file names may hold colons."""
+    feed = spark.read.schema(STATION_STATUS).option("multiLine", True).options(**LOCAL_COLONS).json(path)
     return status_rows(feed.withColumn("_file", capture_path()), F.col("_file"), zone)
 
 

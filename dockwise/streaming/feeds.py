@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from dockwise.functions.calendar import micros_between
 from dockwise.operators.counters import DELTA_CAP, MAX_GAP_HOURS, plausible_delta
 from dockwise.operators.joins import anti_join_new
-from dockwise.sources.files import capture_path, status_rows
+from dockwise.sources.files import LOCAL_COLONS, capture_path, status_rows
 from dockwise.sources.schemas import STATION_STATUS
 
 _EPOCH = "1970-01-01 00:00:00"
@@ -93,10 +93,12 @@ def _with_previous_in_state(
         for batch in batches:
             rows = batch[[tie, *held]].astype(object)
             waiting += rows.where(rows.notna(), None).values.tolist()
+        if group[0] is None:  # the row that `flush_rows` makes has its time and nothing else
+            waiting = [w for w in waiting if not (w[1] == flush and w[0] is None and all(v is None for v in w[2:]))]
         passed = state.getCurrentWatermarkMs() * 1000
         # a row without a time has no predecessor and is none
         timeless = [w for w in waiting if w[1] is None]
-        timed = [w for w in waiting if w[1] is not None and w[1] < flush]
+        timed = [w for w in waiting if w[1] is not None]
         ready = sorted((w for w in timed if w[1] < passed), key=lambda w: (w[1], w[0] is not None, w[0]))
         waiting = [w for w in timed if w[1] >= passed]
         out = [(*w, *[None] * len(held)) for w in timeless]
@@ -198,6 +200,7 @@ def stream_status_ingest(
     feed = (
         spark.readStream.schema(STATION_STATUS)
         .option("multiLine", True)
+        .options(**LOCAL_COLONS)
         .option("maxFilesPerTrigger", files_per_trigger)
         .json(source)
     )

@@ -224,3 +224,51 @@ def test_late_rows_never_move_the_state_back(spark, tmp_path):
     feeds.append_stream(feeds.stream_net_counts(stream), out, str(tmp_path / "cp")).awaitTermination()
     assert rows(spark.read.parquet(out), "id", "net_entries", "hours_difference") == want
     assert [r[1] for r in want] == [None, 800, 2400, 4000]
+
+
+def test_hot_unit_in_several_files_a_trigger(spark, tmp_path):
+    """A unit with a third of the rows: a delay of an hour, rows in disorder within it, and one too late."""
+    import random
+
+    from dockwise.operators.counters import net_counts
+
+    rng = random.Random(8)
+    start = 1_700_000_000
+    events = []
+    for k in range(1_500):
+        unit = "hot" if k % 3 == 0 else f"u{rng.randrange(40)}"
+        events.append((unit, f"{k:05d}", start + 400 * k + rng.randrange(300), 10 * k + rng.randrange(9), k))
+    arrived = sorted(events, key=lambda e: e[2] + rng.randrange(3_000))
+    schema = "unit_id string, id string, observed_at timestamp_ntz, entries long, exits long"
+    source = str(tmp_path / "in")
+
+    def add(part, files):
+        texts = spark.createDataFrame(part, "unit_id string, id string, t long, entries long, exits long")
+        rows_ = texts.selectExpr("unit_id", "id", "cast(timestamp_seconds(t) as timestamp_ntz) observed_at", "entries", "exits")
+        rows_.repartition(files).write.mode("append").parquet(source)
+
+    for at in range(0, len(arrived), 300):
+        add(arrived[at : at + 300], 2)
+    whole = spark.read.schema(schema).parquet(source)
+    want = rows(net_counts(whole), "id", "net_entries", "net_exits", "hours_difference")
+    add([("hot", "late", start, 1, 1)], 1)  # behind the watermark by days
+    feeds.flush_rows(whole, "observed_at").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(source)
+    out = str(tmp_path / "out")
+    feeds.append_stream(feeds.stream_net_counts(stream, delay="1 hour"), out, str(tmp_path / "cp")).awaitTermination()
+    assert rows(spark.read.parquet(out), "id", "net_entries", "net_exits", "hours_difference") == want
+
+
+def test_rows_of_the_flush_time_are_kept_but_for_the_flush(spark, tmp_path):
+    schema = "station_id string, objectid string, reported_datetime timestamp_ntz"
+    given = [("s", "1", "2249-12-31 23:00:00"), ("s", "2", feeds.FLUSH_TIME), (None, "3", feeds.FLUSH_TIME)]
+    texts = spark.createDataFrame(given, "station_id string, objectid string, t string")
+    told = texts.selectExpr("station_id", "objectid", "cast(t as timestamp_ntz) reported_datetime")
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    told.coalesce(1).write.parquet(source)
+    feeds.flush_rows(told, "reported_datetime").coalesce(1).write.mode("append").parquet(source)
+    after = spark.createDataFrame([("t", "4", "2260-01-01 00:00:00")], "station_id string, objectid string, t string")
+    after.selectExpr("station_id", "objectid", "cast(t as timestamp_ntz) reported_datetime").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    feeds.append_stream(feeds.stream_stale_flag(stream), out, str(tmp_path / "cp")).awaitTermination()
+    assert rows(spark.read.parquet(out), "objectid") == [("1",), ("2",), ("3",)]
