@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import math
 import re
 import uuid
 import zlib
@@ -24,6 +25,8 @@ LEAST_PAYLOAD = 100
 ARCHIVE_BYTES = 64 << 20
 #: Captures in a compressed block of the index.
 BLOCK_LINES = 256
+#: Captures in a part of the index, and archive bytes that a task reads, on average at most.
+PART_CAPTURES, TASK_BYTES = 500_000, 64 << 20
 #: Stands for a null id in keys, below every id that occurs.
 NO_ID = -(2**63)
 #: The tables carry no capture time.
@@ -83,7 +86,7 @@ def record(page_id, url, payload: bytes, digest: str, target_id=None, target_url
 
 
 def parse(raw: bytes) -> dict:
-    """Type, id, target and payload of one record; the payload of a revisit is None."""
+    """Type, id, target, stated digest and payload of one record; the payload of a revisit is None."""
     head, _, rest = raw.partition(b"\r\n\r\n")
     fields = {}
     for line in head.decode().split("\r\n")[1:]:
@@ -102,6 +105,7 @@ def parse(raw: bytes) -> dict:
         "record_type": kind,
         "refers_to": page("warc-refers-to"),
         "refers_to_key": surt(fields["warc-refers-to-target-uri"]) if kind == "revisit" else None,
+        "stated_digest": fields["warc-payload-digest"].removeprefix("sha256:"),
         "payload": payload if kind == "response" else None,
     }
 
@@ -194,6 +198,11 @@ def write_archives(
     return settle(rows.mapInPandas(write, CAPTURES))
 
 
+def _tasks(df: DataFrame, wanted: float) -> int:
+    """As many tasks as wanted, and as a shuffle of this session has at least: adaptive execution sees few bytes."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(wanted))
+
+
 DIRECTORY = "part int, key string, id long, file string, offset long, length long"
 
 
@@ -201,11 +210,12 @@ def build_index(captures: DataFrame, root: str, lines: int = BLOCK_LINES) -> Dat
     """Writes the sorted captures as compressed blocks under root; returns the block directory.
 
     Captures are sorted by reversed-host key and id over ranges, so a host with a third of
-    all pages lies in many parts. Every `lines` captures become one compressed block; the
+    all pages lies in many parts; their number follows the number of captures. Every `lines` captures become one compressed block; the
     directory holds part, first key and place of each block, a small fraction of the rows.
     """
     ranged = captures.withColumn("id", F.coalesce("page_id", F.lit(NO_ID))).drop("page_id")
-    ranged = ranged.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
+    parts = _tasks(captures, captures.count() / PART_CAPTURES)
+    ranged = ranged.repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         files = _Files(root, ".cdx.gz")
@@ -236,12 +246,13 @@ def _read(place, path: str, offset: int, length: int) -> bytes:
 
 
 def lookup(keys: DataFrame, directory: DataFrame, index_root: str) -> DataFrame:
-    """Captures of some (key, id) rows; those without a capture are left out.
+    """All captures of some (key, id) rows; those without a capture are left out.
 
     The first key of every index part is known to all tasks (a row for each part of the
     index files, not for each capture), so keys are dealt to the part that can hold them.
-    There a binary search in the block directory names the one block to range-read, and a
-    binary search in that block finds the capture.
+    There a binary search in the block directory names the block to range-read (and those
+    after it where captures that repeat a key and id run on), and a binary search in that
+    block finds the capture. A part of the index is bounded by PART_CAPTURES.
     """
     firsts = sorted(
         (r["first"]["key"], r["first"]["id"], r["part"])
@@ -262,28 +273,31 @@ def lookup(keys: DataFrame, directory: DataFrame, index_root: str) -> DataFrame:
             starts = list(zip(blocks["key"], blocks["id"].tolist()))
             opened, lines = None, []
             for key in sorted(zip(wanted["key"], wanted["id"].tolist())):
-                at = bisect.bisect_right(starts, key) - 1
-                if at < 0:
-                    continue
-                if at != opened:
-                    row = blocks.iloc[at]
-                    text = _read(place, f"{path}/{row['file']}", row["offset"], row["length"]).decode()
-                    lines = [line.split(" ") for line in text.split("\n")]
-                    opened = at
-                k = bisect.bisect_left(lines, key, key=lambda p: (p[0], int(p[1])))
-                if k < len(lines) and (lines[k][0], int(lines[k][1])) == key:
-                    out.append((int(lines[k][1]), lines[k][0], lines[k][2], int(lines[k][3]), int(lines[k][4])))
+                at = max(0, bisect.bisect_left(starts, key) - 1)
+                while at < len(starts) and starts[at] <= key:
+                    if at != opened:
+                        row = blocks.iloc[at]
+                        text = _read(place, f"{path}/{row['file']}", row["offset"], row["length"]).decode()
+                        lines = [line.split(" ") for line in text.split("\n")]
+                        opened = at
+                    k = bisect.bisect_left(lines, key, key=lambda p: (p[0], int(p[1])))
+                    while k < len(lines) and (lines[k][0], int(lines[k][1])) == key:
+                        out.append((key[1], key[0], lines[k][2], int(lines[k][3]), int(lines[k][4])))
+                        k += 1
+                    at += 1
         return pd.DataFrame(out, columns=["page_id", "key", "file", "offset", "length"])
 
     wanted = keys.select("key", "id").distinct().mapInPandas(deal, "key string, id long, part int")
     return wanted.groupBy("part").cogroup(directory.groupBy("part")).applyInPandas(search, CAPTURES)
 
 
-RECORDS = "page_id long, record_type string, refers_to long, refers_to_key string, payload binary"
+RECORDS = (
+    "page_id long, record_type string, refers_to long, refers_to_key string, stated_digest string, payload binary"
+)
 
 
 def _frame(found: list[dict]) -> pd.DataFrame:
-    frame = pd.DataFrame(found, columns=["page_id", "record_type", "refers_to", "refers_to_key", "payload"])
+    frame = pd.DataFrame(found, columns=["page_id", "record_type", "refers_to", "refers_to_key", "stated_digest", "payload"])
     return frame.astype({"page_id": "Int64", "refers_to": "Int64"})
 
 
@@ -313,7 +327,10 @@ def scan_archives(captures: DataFrame, root: str) -> DataFrame:
                 if found:
                     yield _frame(found)
 
-    return captures.select("file").distinct().repartition("file").mapInPandas(scan, RECORDS)
+    archives = settle(captures.groupBy("file").agg(F.max(F.col("offset") + F.col("length")).alias("bytes")))
+    sizes = archives.agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).first()
+    dealt = archives.select("file").repartition(min(max(1, sizes["n"]), _tasks(captures, (sizes["bytes"] or 0) / TASK_BYTES)), "file")
+    return dealt.mapInPandas(scan, RECORDS)
 
 
 def fetch(captures: DataFrame, root: str) -> DataFrame:
@@ -329,7 +346,9 @@ def fetch(captures: DataFrame, root: str) -> DataFrame:
                 )
                 yield _frame([parse(raw) for raw in raws])
 
-    dealt = captures.select("file", "offset", "length").repartition("file", F.floor(F.col("offset") / (4 << 20)))
+    captures = settle(captures.select("file", "offset", "length"))
+    tasks = _tasks(captures, (captures.agg(F.sum("length")).first()[0] or 0) / TASK_BYTES)
+    dealt = captures.repartition(tasks, "file", F.floor(F.col("offset") / (4 << 20)))
     return dealt.sortWithinPartitions("file", "offset").mapInPandas(read, RECORDS)
 
 
@@ -338,12 +357,15 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = write_archives(table(spark, sf_dir, "pages"), root)
     directory = build_index(captures, index_root)
     digests = [F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest")]
-    read = settle(scan_archives(captures, root).select("page_id", "record_type", "refers_to", "refers_to_key", *digests))
-    revisits = read.filter("record_type = 'revisit'")
+    read = settle(
+        scan_archives(captures, root).select("page_id", "record_type", "refers_to", "refers_to_key", "stated_digest", *digests)
+    )
+    revisits = read.filter("record_type = 'revisit'").drop("payload_bytes", "payload_digest")
     wanted = revisits.select(F.col("refers_to_key").alias("key"), F.col("refers_to").alias("id")).distinct()
-    targets = fetch(lookup(wanted, directory, index_root), root)
+    targets = fetch(lookup(wanted, directory, index_root), root).filter("record_type = 'response'")
     targets = settle(targets.select(F.col("page_id").alias("refers_to"), *digests).distinct())
-    full = revisits.drop("payload_bytes", "payload_digest").join(targets, "refers_to")
+    # an id that repeats may stand for several payloads; the digest in the revisit tells which one is meant
+    full = revisits.withColumnRenamed("stated_digest", "payload_digest").join(targets, ["refers_to", "payload_digest"])
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return read.filter("record_type = 'response'").select(columns).unionByName(full.select(columns))
 

@@ -8,7 +8,7 @@ from pyarrow import fs
 from pyspark.sql import functions as F
 
 from dockwise.llm import warc
-from dockwise.session import work_dir
+from dockwise.session import settle, work_dir
 
 
 @pytest.mark.parametrize(
@@ -32,7 +32,9 @@ def test_record_round_trip():
     raw = warc.record(7, "http://a.org/\r\nX: 1", payload, "d")
     assert warc.parse(raw)["payload"] == payload and warc.parse(raw)["page_id"] == 7
     again = warc.parse(warc.record(9, "u", payload, "d", 7, "http://www.a.org/"))
-    assert again == {"page_id": 9, "record_type": "revisit", "refers_to": 7, "refers_to_key": "org,a)/", "payload": None}
+    assert again == {
+        "page_id": 9, "record_type": "revisit", "refers_to": 7, "refers_to_key": "org,a)/", "stated_digest": "d", "payload": None
+    }
     assert warc.parse(warc.record(None, None, b"", "d"))["page_id"] is None
 
 
@@ -85,7 +87,7 @@ def test_lookup_and_fetch(spark, archived):
     keys = [(warc.surt(u), warc.NO_ID if i is None else i) for i, u, _ in PAGES] + [("aaa", 1), ("zzz", 1), ("org,a)/y", 3)]
     found = warc.lookup(spark.createDataFrame(keys, "key string, id long"), directory, index_root)
     assert {(r["key"], r["page_id"]) for r in found.collect()} == set(keys[: len(PAGES)])
-    assert found.count() == len(set(keys[: len(PAGES)]))  # the page that stands there twice is one key
+    assert found.count() == len(PAGES)  # the page that stands there twice is one key with two captures
     read = warc.fetch(found.filter("page_id = 11"), root).collect()
     assert bytes(read[0]["payload"]).decode() == PAGES[9][2]
 
@@ -99,6 +101,40 @@ def test_files_that_no_committed_task_names_are_not_read(spark, archived):
     assert any(f.base_name == "orphan.warc.gz" for f in place.get_file_info(fs.FileSelector(path)))
 
 
+def test_captures_that_repeat_a_key_run_through_blocks(spark):
+    root, index_root = work_dir(spark, "warc"), work_dir(spark, "cdx")
+    pages = [(1, "http://a.org/", f"{k}") for k in range(20)] + [(0, "http://a.org/", "x"), (2, "http://a.org/", "y")]
+    captures = warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), root)
+    directory = warc.build_index(captures, index_root, lines=3)
+    found = warc.lookup(spark.createDataFrame([("org,a)/", 1)], "key string, id long"), directory, index_root)
+    assert {bytes(r["payload"]).decode() for r in warc.fetch(found, root).collect()} == {f"{k}" for k in range(20)}
+    assert found.count() == 20
+
+
+def test_archives_are_read_by_many_tasks(spark):
+    root = work_dir(spark, "warc")
+    pages = [(k, f"http://a.org/{k}", f"{k} " * 200) for k in range(64)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    captures = warc.write_archives(df, root, archive_bytes=500)
+    assert captures.select("file").distinct().count() >= 16
+    read = settle(warc.scan_archives(captures, root).withColumn("task", F.spark_partition_id()))
+    assert read.count() == 64 and read.select("task").distinct().count() > 2
+    parts = settle(warc.fetch(captures, root).withColumn("task", F.spark_partition_id()))
+    assert parts.count() == 64 and parts.select("task").distinct().count() > 2
+
+
+def test_ids_that_repeat_with_other_payloads(spark, tmp_path):
+    a, b, c = "A" * 150, "B" * 150, "C" * 150
+    pages = [(1, "http://a.org/", a), (1, "http://a.org/", b), (2, "http://b.org/", a), (3, "http://c.org/", b)]
+    pages += [(1, "http://a.org/", a), (4, "http://d.org/", c), (5, "http://a.org/", c), (5, "http://a.org/", a)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = [tuple(r) for r in warc.op3_warc(spark, str(tmp_path)).collect()]
+    sha = {x: hashlib.sha256(x.encode()).hexdigest() for x in (a, b, c)}
+    want = [(1, 150, sha[a], "response", None)] * 2 + [(1, 150, sha[b], "response", None), (4, 150, sha[c], "response", None)]
+    want += [(2, 150, sha[a], "revisit", 1), (3, 150, sha[b], "revisit", 1), (5, 150, sha[c], "revisit", 4), (5, 150, sha[a], "revisit", 1)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_empty(spark):
     root, index_root = work_dir(spark, "warc"), work_dir(spark, "cdx")
     none = spark.createDataFrame([], "page_id long, url string, html string")
