@@ -41,7 +41,7 @@ SAMPLES = [
      f"<p>{_MID} {_LONG}</p><p><a href='/3'>Read the next part of this long story here</a></p><div>Tel. 12 34</div>",
      "00 111 0 0"),
     (f"<ul><li><a href='/1'>{_MID}</a></li><li><a href='/2'>{_MID}</a></li><li><a href='/3'>{_MID}</a></li></ul>"
-     f"<h1>On the water</h1><p>{_LONG * 2}</p><p>{_LONG}</p><p>Login</p>",
+     f"<h1>On the water</h1><p>{_LONG * 2}</p><p>{_LONG}</p><div>Login</div>",
      "000 1 11 0"),
     # links and long texts inside boilerplate, links inside the article
     (f"<div class='sidebar'><p>{_LONG * 2}</p><p>{_MID}</p></div><article><h1>Links</h1><p><a href='/l'>A list of all mills</a></p>"
@@ -65,4 +65,19 @@ SAMPLES = [
     (f"<article><p>{_MID}</p><svg class='i'/><p>{_LONG}</p><datalist><option value=a>A<option value=b>B</datalist><p>{_LONG}</p>"
      f"<svg><p>{_MID}</p></article><section class='comments'><article><p>{_LONG}</p></article></section>",
      "1 1 1 1 0"),
+    # no article or main element: short paragraphs, lists, tables, code, captions
+    ("<p>One short line.</p>", "1"),
+    ("<p>Yes.</p><p>No.</p>", "1 1"),
+    (f"<div><a href='/'>Home</a> <a href='/n'>News</a></div><h1>Tools</h1><p>{_MID}</p><ul><li>a saw</li><li>two planes</li></ul>"
+     f"<pre>cut --twice board</pre><p>So.</p><div><a href='/i'>Imprint</a></div><div>Version 3</div>",
+     "0 1 1 1 1 1 1 0 0"),
+    (f"<ul><li><a href='/1'>Home</a></li><li><a href='/2'>Shop</a></li></ul><h2>Heights</h2><table><tr><th>mill</th><th>feet</th></tr>"
+     f"<tr><td>upper</td><td>12</td></tr><tr><td>lower</td><td>4</td></tr></table><p>{_LONG}</p>",
+     "00 1 11 11 11 1"),
+    (f"<div class='menu'><p>Home</p><p>Shop</p></div><blockquote>{_MID}</blockquote><dl><dt>Weir</dt><dd>a low dam</dd></dl>"
+     f"<figure><figcaption>The weir in May</figcaption></figure><p>{_LONG * 2}</p><div class='footer'><p>Made in the valley</p></div>",
+     "00 1 1 1 1 1 0"),
+    (f"<h1>Notes</h1><p>{_LONG}</p><ol><li>{_MID}</li><li>Rest.</li></ol><p>{_MID}</p><div><a href='/up'>Back to the top</a></div>",
+     "1 1 11 1 0"),
+    (f"<div>{_LONG * 2}</div><div>{_LONG}</div><div>Tel. 12 34</div>", "1 1 0"),
 ]

@@ -26,13 +26,14 @@ MARKUP = re.compile(
     rf"|<(?:(?P<raw>script|style|title|textarea)\b{ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)"
     rf"|svg\b{ATTRIBUTES}(?<=/)>"
     rf"|option\b{ATTRIBUTES}>[^<]*"
-    rf"|(?P<inside>select|button|svg)\b{ATTRIBUTES}>(?:[^<]|<(?!/?(?:p|h[1-6]|article|main|section)\b|(?P=inside)\b))*?</(?P=inside)\s*>"
-    rf"|(?P<held>noscript|template|iframe|object)\b{ATTRIBUTES}>.*?</(?P=held)\s*>)"
+    rf"|(?P<inside>select|button|svg)\b{ATTRIBUTES}>(?:[^<]|<(?!/?(?:p|h[1-6]|article|main|section)\b|(?P=inside)\b))*?</(?P=inside)\s*>)"
     rf"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9-]*)(?P<attributes>{ATTRIBUTES})>"
     r"|<[!?][^>]*>"
     r"|<[a-zA-Z/!?][^>]*\Z",
     re.DOTALL | re.IGNORECASE,
 )
+#: Elements that hold no text of the page where their end is written; where it is not, they are tags like any.
+HELD = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in ("noscript", "template", "iframe", "object")}
 HINTS = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 
 #: Fixed values of HTML: elements inside a line; all others end a text block.
@@ -45,6 +46,8 @@ CONTAINERS = set(
     "figure details dialog fieldset blockquote body".split()
 )
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements that hold running text; a div or a section may hold anything.
+TEXTUAL = {"p", "li", "td", "th", "pre", "blockquote", "dd", "dt", "figcaption", "caption", *HEADINGS}
 MAIN = {"article", "main"}
 ASIDE = {"nav", "aside", "footer", "form", "menu", "dialog"}
 #: Words in class, id or role that name something beside the main text.
@@ -70,6 +73,7 @@ class Block:
     main: bool
     aside: bool
     heading: bool
+    textual: bool
 
 
 def blocks(page: str) -> list[Block]:
@@ -80,14 +84,16 @@ def blocks(page: str) -> list[Block]:
     # container, inside main, inside something beside it, which a nested article does not undo
     stack: list[tuple[str, bool, bool, bool]] = []
     heading = link = False
+    element = ""
     at = 0
+    last_end: dict[str, int] = {}  # where the last written end of a held element begins
 
     def close() -> None:
         nonlocal parts, link_parts
         words = "".join(parts).split()
         if words:
             _, main, aside, _ = stack[-1] if stack else ("", False, False, False)
-            found.append(Block(" ".join(words), len(words), len("".join(link_parts).split()), main, aside, heading))
+            found.append(Block(" ".join(words), len(words), len("".join(link_parts).split()), main, aside, heading, element in TEXTUAL))
         parts, link_parts = [], []
 
     def text(until: int) -> None:
@@ -97,7 +103,7 @@ def blocks(page: str) -> list[Block]:
             if link:
                 link_parts.append(piece)
 
-    for hit in MARKUP.finditer(page):
+    while hit := MARKUP.search(page, at):
         text(hit.start())
         at = hit.end()
         name = hit["name"]
@@ -107,6 +113,13 @@ def blocks(page: str) -> list[Block]:
             continue
         name = name.lower()
         ending = hit["end"] == "/"
+        if name in HELD and not ending:
+            if name not in last_end:
+                last_end[name] = max((m.start() for m in HELD[name].finditer(page, at)), default=-1)
+            if last_end[name] >= at:  # a page without such an end is searched once
+                at = HELD[name].search(page, at).end()
+                parts.append(" ")
+                continue
         if name in INLINE:
             if name == "a":
                 link = not ending
@@ -118,13 +131,18 @@ def blocks(page: str) -> list[Block]:
         link = False
         if name in HEADINGS:
             heading = not ending
+        if not ending:
+            element = name
         if name not in CONTAINERS:
+            if ending:
+                element = stack[-1][0] if stack else ""
             continue
         if ending:
             if any(entry[0] == name for entry in stack):
                 while stack.pop()[0] != name:
                     pass
             heading = False
+            element = stack[-1][0] if stack else ""
         elif not hit["attributes"].endswith("/"):
             _, main, aside, firm = stack[-1] if stack else ("", False, False, False)
             values = (LAYOUT.sub(" ", m.group(1).lower()) for m in HINTS.finditer(hit["attributes"]))
@@ -142,7 +160,7 @@ def blocks(page: str) -> list[Block]:
 
 
 FEATURES = (
-    "words link_density words_before link_density_before words_after link_density_after in_main beside heading page_has_main"
+    "words link_density words_before link_density_before words_after link_density_after in_main beside heading textual page_has_main"
 ).split()
 
 
@@ -150,7 +168,7 @@ def features(found: list[Block]) -> np.ndarray:
     """One row per block: its words and link density, those of its neighbours, its place."""
     words = np.array([0, *(b.words for b in found), 0], dtype=float)
     density = np.array([0, *(b.link_words / b.words for b in found), 0], dtype=float)
-    marks = np.array([(b.main, b.aside, b.heading) for b in found], dtype=float).reshape(len(found), 3)
+    marks = np.array([(b.main, b.aside, b.heading, b.textual) for b in found], dtype=float).reshape(len(found), 4)
     has_main = np.full(len(found), float(any(b.main for b in found)))
     return np.column_stack(
         [words[1:-1], density[1:-1], words[:-2], density[:-2], words[2:], density[2:], marks, has_main]

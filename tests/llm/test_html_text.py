@@ -1,5 +1,7 @@
 """Main text of pages."""
 
+import time
+
 import pytest
 
 from dockwise.llm import html_text as h
@@ -114,5 +116,33 @@ def test_ends_that_are_not_written(page, want):
     assert got == want if want is not None else {"two", "three"} <= set(got.split("\n"))
 
 
+BODY = "<h1>Tools</h1><p>One short line.</p>"
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<p>One short line.</p>", "One short line."),
+        (f"<html><body>{BODY}<p>{LONG}</p></body></html>", f"Tools\nOne short line.\n{LONG.strip()}"),
+        (f"{BODY}<ul><li>a saw</li><li>a plane</li></ul><p>{LONG}</p>", f"Tools\nOne short line.\na saw\na plane\n{LONG.strip()}"),
+        (f"{BODY}<pre>x = 1\n  y = 2</pre><p>Done.</p>", "Tools\nOne short line.\nx = 1 y = 2\nDone."),
+        (f"<p>{LONG}</p><table><tr><td>mill</td><td>12</td></tr></table>", f"{LONG.strip()}\nmill\n12"),
+        (f"<ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li></ul>{BODY}<p>{LONG}</p>", f"Tools\nOne short line.\n{LONG.strip()}"),
+        (f"{BODY}<div class='sidebar'><p>{LONG}</p></div><footer><p>{LONG}</p></footer>", "Tools\nOne short line."),
+        ("<p>a</p><iframe src=x>no</iframe><template><p>no</p></template><noscript>no</noscript><p>b</p>", "a\nb"),
+    ],
+)
+def test_pages_without_article_or_main(page, want):
+    assert text(page) == want
+
+
+@pytest.mark.parametrize("name", ["iframe", "template", "object", "noscript", "button", "svg", "select"])
+def test_ends_that_are_not_written_take_linear_time(name):
+    begin = time.perf_counter()
+    assert "one" in text("<article><p>one</p>" + f"<{name}>x" * 100_000)
+    assert "one" in text(f"<article><p>one</p></{name}>" + f"<{name}></{name} " * 30_000)
+    assert time.perf_counter() - begin < 20
+
+
 def test_cut_tags_take_linear_time():
     assert text("<article><p>one</p><a " + "x='y' " * 50_000) == "one"
