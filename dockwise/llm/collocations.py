@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import bisect
 import pickle
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,6 +26,8 @@ FILTER_BITS = 1 << 26
 TOKENS = 2_000_000
 #: Distinct words that a task counts before it hands them on.
 DISTINCT = 400_000
+#: Words of the corpus for each prefix range: the number of ranges grows with the input.
+RANGE_WORDS = 1_000_000
 #: The language of rows without one.
 NO_LANG = "und"
 #: A tab parts words, and these bytes part pieces; `.` stands for them.
@@ -85,6 +86,54 @@ def automaton(phrases) -> list[tuple]:
     return found.done()
 
 
+def automaton_of(columns: list[np.ndarray], names: list[list], counts: np.ndarray) -> list[tuple]:
+    """The same for ascending phrases of one length, given as places in lists of ascending symbols.
+
+    A level's states are closed in the order of their prefixes, whole runs of ways at a
+    time, from the last symbol to the first; equal states are one, as ever.
+    """
+    states: dict[tuple, int] = {}
+    weights, of = np.unique(counts, return_inverse=True)
+    state = np.array([states.setdefault((w,), len(states)) for w in weights.tolist()], dtype=np.int64)[of]
+    for depth in range(len(columns) - 1, -1, -1):
+        change = np.zeros(len(state), dtype=bool)
+        change[:1] = True
+        for column in columns[:depth]:
+            change[1:] |= column[1:] != column[:-1]
+        starts = np.flatnonzero(change)
+        ways: list = [None] * (2 * len(state))
+        labels = names[depth]
+        ways[0::2] = [labels[k] for k in columns[depth].tolist()]
+        ways[1::2] = state.tolist()
+        edges = [*(2 * starts).tolist(), len(ways)]
+        closed = [states.setdefault((0, *ways[a:b]), len(states)) for a, b in zip(edges, edges[1:])]
+        state, columns = np.array(closed, dtype=np.int64), [c[starts] for c in columns[:depth]]
+    return list(states)
+
+
+def absorb(total: dict, states: list[tuple], state: tuple, depth: int) -> None:
+    """Adds an automaton of phrases of `depth` symbols to a union, symbol by symbol, weights summed."""
+    ways = zip(state[1::2], state[2::2])
+    if depth == 1:
+        for symbol, end in ways:
+            total[symbol] = total.get(symbol, 0) + states[end][0]
+        return
+    for symbol, following in ways:
+        below = total.get(symbol)
+        if below is None:
+            below = total[symbol] = {}
+        absorb(below, states, states[following], depth - 1)
+
+
+def survivors(total: dict, least: int, depth: int, before: tuple = ()) -> Iterator[tuple[tuple, int]]:
+    """The phrases of a union that have `least` or more, in ascending order."""
+    for symbol in sorted(total if depth > 1 else (s for s, w in total.items() if w >= least)):
+        if depth == 1:
+            yield (*before, symbol), total[symbol]
+        else:
+            yield from survivors(total[symbol], least, depth - 1, (*before, symbol))
+
+
 def paths(states: list[tuple]) -> Iterator[tuple[tuple, int]]:
     """The phrases of an automaton and their weights, in ascending order."""
     waiting = [((), states[-1])]
@@ -119,11 +168,11 @@ def compose(asked: list[tuple], counts: list[tuple]) -> Iterator[tuple[tuple, in
 
 
 def _pack(states: list[tuple]) -> bytes:
-    return zlib.compress(pickle.dumps(states, protocol=5), 1)
+    return pickle.dumps(states, protocol=5)  # Spark compresses what it shuffles
 
 
 def _unpack(raw: bytes) -> list[tuple]:
-    return pickle.loads(zlib.decompress(raw))
+    return pickle.loads(raw)
 
 
 # --- the filter of frequent phrases ---------------------------------------------------------
@@ -202,8 +251,25 @@ def count_words(rows: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
-def shard_phrases(texts: list[tuple[str, str]], size: int, known: np.ndarray) -> tuple[list[tuple], np.ndarray]:
-    """Ascending phrases (lang, word, ...) of `size` words and their counts, of rows (lang, text).
+class Phrases:
+    """Ascending phrases (lang, word, ...) as places in lists of symbols, and their counts."""
+
+    def __init__(self, columns: list[np.ndarray], names: list[list], counts: np.ndarray):
+        self.columns, self.names, self.counts = columns, names, counts
+
+    def __len__(self) -> int:
+        return len(self.counts)
+
+    def __getitem__(self, k: int) -> tuple:
+        return tuple(labels[c[k]] for labels, c in zip(self.names, self.columns))
+
+    def states(self, a: int, b: int) -> list[tuple]:
+        """The automaton of the phrases from a to b."""
+        return automaton_of([c[a:b] for c in self.columns], self.names, self.counts[a:b])
+
+
+def shard_phrases(texts: list[tuple[str, str]], size: int, known: np.ndarray) -> Phrases:
+    """The phrases of `size` words of rows (lang, text).
 
     Only phrases both of whose parts without the last and the first word pass the filter
     are counted; no frequent phrase has an infrequent part.
@@ -223,8 +289,9 @@ def shard_phrases(texts: list[tuple[str, str]], size: int, known: np.ndarray) ->
         hashes.append(np.array([word_hash(lang, w) for w in place], dtype=np.uint64))
     ids, hashed = np.concatenate(flat), np.concatenate(hashes)
     n = len(ids) - size + 2  # parts of size - 1 words
+    none = Phrases([], [], np.zeros(0, dtype=np.int64))
     if n < 2:
-        return [], np.zeros(0, dtype=np.int64)
+        return none
     inner = np.ones(n, dtype=bool)
     for k in range(size - 1):
         inner &= ids[k : k + n] > 0
@@ -233,7 +300,7 @@ def shard_phrases(texts: list[tuple[str, str]], size: int, known: np.ndarray) ->
     part[at] = _known(known, phrase_hash([hashed[ids[at + k]] for k in range(size - 1)]))
     starts = np.flatnonzero(part[:-1] & part[1:])
     if not len(starts):
-        return [], np.zeros(0, dtype=np.int64)
+        return none
     columns = [ids[starts + k] for k in range(size)]
     used = np.unique(np.concatenate(columns))
     order = sorted(range(len(used)), key=lambda k: labels[used[k] - 1])
@@ -244,10 +311,11 @@ def shard_phrases(texts: list[tuple[str, str]], size: int, known: np.ndarray) ->
     for column in columns[1:-1]:
         code = np.unique(code * len(used) + rank[column], return_inverse=True)[1]
     _, first, counts = np.unique(code * len(used) + rank[columns[-1]], return_index=True, return_counts=True)
-    picked = [rank[c[first]].tolist() for c in columns]
+    langs = sorted(by_lang)
+    of = np.array([langs.index(lang) for lang, _ in names], dtype=np.int64)
+    picked = [rank[c[first]] for c in columns]
     words = [w for _, w in names]
-    phrases = [(names[p[0]][0], *[words[k] for k in p]) for p in zip(*picked)]
-    return phrases, counts
+    return Phrases([of[picked[0]], *picked], [langs, *[words] * size], counts)
 
 
 def prefix_cuts(words: DataFrame, total: int, parts: int) -> list[tuple]:
@@ -257,16 +325,21 @@ def prefix_cuts(words: DataFrame, total: int, parts: int) -> list[tuple]:
     is cut by its second word. What is collected is bounded by the number of ranges, and
     decides which task counts a phrase, not the count.
     """
-    drawn = words.orderBy(F.xxhash64("lang", "phrase"), "lang", "phrase").limit(16 * parts).collect()
-    heavy = words.filter(F.col("f") > max(1, total // parts)).collect()  # fewer than `parts` rows
-    light = sorted((r["lang"], r["phrase"].encode()) for r in drawn)
-    cuts = {light[len(light) * k // parts] for k in range(1, parts) if light}
+    drawn = words.orderBy(F.xxhash64("lang", "phrase"), "lang", "phrase").limit(32 * parts).collect()
+    share = max(1, total // parts)
+    heavy = words.filter(F.col("f") > share).collect()  # fewer than `parts` rows
+    light = sorted((r["lang"], r["phrase"].encode(), r["f"]) for r in drawn if r["f"] <= share)
+    mass = np.cumsum([f for *_, f in light])
+    cuts = {light[int(np.searchsorted(mass, mass[-1] * k / parts))][:2] for k in range(1, parts) if light}
     for r in heavy:
         lang, word = r["lang"], r["phrase"].encode()
-        second = sorted({w for g, w in light if g == lang})
-        pieces = -(-r["f"] * parts // total)
+        # its followers are about as frequent as words are elsewhere
+        second = sorted((q["phrase"].encode(), min(q["f"], share)) for q in drawn if q["lang"] == lang)
+        pieces, weight = -(-r["f"] // share), np.cumsum([f for _, f in second])
         cuts |= {(lang, word), (lang, word + b"\0")}
-        cuts |= {(lang, word, second[len(second) * k // pieces]) for k in range(1, pieces) if second}
+        if second:
+            at = np.searchsorted(weight, weight[-1] * np.arange(1, pieces) / pieces)
+            cuts |= {(lang, word, second[k][0]) for k in at.tolist()}
     return sorted(cuts)
 
 
@@ -290,30 +363,27 @@ def count_phrases(rows: DataFrame, size: int, known, cuts: list[tuple], least: i
             yield from cut(held)
 
     def cut(held: list[tuple[str, str]]) -> Iterator[pd.DataFrame]:
-        phrases, counts = shard_phrases(held, size, known.value)
+        phrases = shard_phrases(held, size, known.value)
         edges = [0, *[bisect.bisect_left(phrases, c) for c in cuts], len(phrases)]
-        weights = counts.tolist()
         for part, (a, b) in enumerate(zip(edges, edges[1:])):
             if b > a:
-                states = _pack(automaton(zip(phrases[a:b], weights[a:b])))
-                yield pd.DataFrame({"part": [part], "states": [states]})
+                yield pd.DataFrame({"part": [part], "states": [_pack(phrases.states(a, b))]})
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, total = None, Counter()
+        part, total = None, {}
         for batch in batches:
             for number, raw in zip(batch["part"], batch["states"]):
                 if number != part:
                     if total:
                         yield summed(part, total)
-                    part, total = number, Counter()
-                for phrase, weight in paths(_unpack(raw)):
-                    total[phrase] += weight
+                    part, total = number, {}
+                states = _unpack(raw)
+                absorb(total, states, states[-1], size + 1)
         if total:
             yield summed(part, total)
 
-    def summed(part: int, total: Counter) -> pd.DataFrame:
-        states = automaton((p, total[p]) for p in sorted(p for p, w in total.items() if w >= least))
-        return pd.DataFrame({"part": [part], "states": [_pack(states)]})
+    def summed(part: int, total: dict) -> pd.DataFrame:
+        return pd.DataFrame({"part": [part], "states": [_pack(automaton(survivors(total, least, size + 1)))]})
 
     found = rows.mapInPandas(shards, "part int, states binary")
     dealt = found.repartition(len(cuts) + 1, "part").sortWithinPartitions("part")
@@ -414,7 +484,8 @@ def collocations(
     sums = counted.groupBy("lang").agg(F.sum("f").cast("long").alias("n"))
     words = settle(counted.filter(F.col("f") >= least))
     total = words.agg(F.sum("f")).first()[0] or 0
-    cuts = prefix_cuts(words, total, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE_WORDS)
+    cuts = prefix_cuts(words, total, parts)
     levels, frequent, before = [], [], words
     for size in range(2, longest + 1):
         known = spark.sparkContext.broadcast(bit_filter(before, bits))

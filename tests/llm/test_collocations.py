@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from bindings.check import compare
@@ -69,6 +70,24 @@ def test_automata():
         assert dict(compose(asked, states)) == {p: c for p, c in one.items() if p in two}
 
 
+def test_automata_of_arrays_and_their_union():
+    rng = random.Random(6)
+    names = [["de", "en"], *[[bytes([97 + k]) for k in range(6)]] * 3]
+    for n in (1, 7, 150):
+        total, want = {}, Counter()
+        for _ in range(3):
+            own = Counter({(rng.randrange(2), *[rng.randrange(6) for _ in range(3)]): rng.randint(1, 3) for _ in range(n)})
+            places = sorted(own)
+            columns = [np.array(c) for c in zip(*places)]
+            states = module.automaton_of(columns, names, np.array([own[p] for p in places]))
+            named = {tuple(labels[k] for labels, k in zip(names, p)): c for p, c in own.items()}
+            assert list(paths(states)) == sorted(named.items())
+            assert len(states) == len(automaton(sorted(named.items())))
+            module.absorb(total, states, states[-1], 4)
+            want.update(named)
+        assert list(module.survivors(total, 3, 4)) == sorted((p, c) for p, c in want.items() if c >= 3)
+
+
 def test_equal_states_are_shared():
     states = automaton([((a, b, c), 1) for a in "abcdef" for b in "abcdef" for c in "abcdef"])
     assert len(states) == 4
