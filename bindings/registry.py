@@ -79,13 +79,13 @@ piece(
     """
     SELECT CAST(c_custkey AS VARCHAR) AS remote,
            CASE WHEN c_mktsegment <> 'BUILDING' THEN CAST(c_nationkey AS VARCHAR) END AS complex_id
-    FROM customer WHERE c_acctbal > 0
+    FROM customer
     """,
 )
 
 
-def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer").filter("c_acctbal > 0")
+def lookup(spark: SparkSession, sf_dir: str, known: str = "true") -> DataFrame:
+    customer = table(spark, sf_dir, "customer").filter(known)
     return customer.select(
         F.col("c_custkey").cast("string").alias("remote"),
         F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_nationkey").cast("string")).alias(

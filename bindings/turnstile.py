@@ -152,13 +152,17 @@ def daily_period_group_totals(spark, sf):
     sql(
         """
         SELECT id, remoteunit, coalesce(complex_id, remoteunit) AS complex_id
-        FROM obs LEFT JOIN (SELECT DISTINCT remote, complex_id FROM lookup) ON remoteunit = remote
+        FROM obs LEFT JOIN (
+            SELECT DISTINCT remote, complex_id FROM lookup
+            WHERE remote IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 0)
+        ) ON remoteunit = remote
         """
     ),
 )
 def left_join_lookup(spark, sf):
+    """A lookup that lacks some remotes: their reads stay, under their own name."""
     reads = observations(spark, sf).select("id", "remoteunit")
-    return j.left_join_lookup(reads, lookup(spark, sf), "remoteunit")
+    return j.left_join_lookup(reads, lookup(spark, sf, "c_acctbal > 0"), "remoteunit")
 
 
 @bind("distinct_remotes", "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer")

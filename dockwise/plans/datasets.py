@@ -20,7 +20,7 @@ from dockwise.operators.clean import (
 )
 from dockwise.operators.grid import Region
 from dockwise.operators.joins import anti_join_new, join_summary_geometry
-from dockwise.operators.quality import check_domain, check_unique, require_none
+from dockwise.operators.quality import check_domain, check_foreign_key, check_unique, require_none
 from dockwise.operators.stations import incremental_captures
 from dockwise.operators.trips import complete_trips, trips_summary_all, trips_summary_year
 from dockwise.operators.trips import stations_of_trips
@@ -53,18 +53,19 @@ def build_turnstiles(
 ) -> list[str]:
     """Turnstile files to reads by year, observations, daily, monthly, annual and multi-year tables.
 
-    Reads are loaded by source file: files that were loaded before add nothing, the others
-    are added to what the years hold. Everything else is made from all stored reads, so the
+    Reads are loaded by source file: files that were loaded before add nothing, those that
+    have changed since are replaced, the others are added to what the years hold. Everything else is made from all stored reads, so the
     tables agree with them and with each other after any order of loads.
     """
     places = files.scan_transit_stations(spark, stations, station_columns)
     write_layer(places, root, "stations")
     reads = files.scan_turnstiles(spark, raw, start, end)
-    reads = reads.withColumn("source_file", F.element_at(F.split("filename", "/"), -1))
-    load_by_source(reads, root, "turnstile_reads", "observed_at")
-    stored = files.scan_layer(spark, root, "turnstile_reads").drop("year", "source_file")
+    versions = files.file_versions(spark, f"{raw}/{files.TURNSTILE_GLOB}").drop("path")
+    reads = reads.join(versions, F.col("filename") == F.col("source_file"), "left")
+    load_by_source(reads, root, "turnstile_reads", "observed_at", version="source_version")
+    stored = files.scan_layer(spark, root, "turnstile_reads").drop("year", "source_file", "source_version")
     observations = net_observations(stored)
-    write_by_year(observations, root, "turnstile_observations", "observed_at")
+    write_by_year(observations, root, "turnstile_observations", "observed_at", whole=True)
     kept = files.scan_layer(spark, root, "turnstile_observations").drop("year")
     tables = turnstile_rollups(kept, files.scan_lookup(spark, lookup))
     for layer in ("daily_subunit", "daily_complex", "monthly_complex", "annual_complex"):
@@ -99,9 +100,13 @@ def build_stations(
 
 
 def build_status(
-    spark: SparkSession, captures: str, root: str, zone: str = "America/New_York"
+    spark: SparkSession, captures: str, root: str, zone: str = "America/New_York", strict: bool = False
 ) -> list[str]:
-    """Captures newer than those loaded are appended, then all summaries are made anew."""
+    """Captures newer than those loaded are appended, then all summaries are made anew.
+
+    Stations of the new captures that the station layer lacks, for instance those outside
+    its boundary, are listed in `status_unknown` with their rows; with `strict` they fail the load.
+    """
     seen = files.scan_station_status(spark, captures, zone)
     rows = reject_null_rows(seen, STATUS_REQUIRED)
     if _exists(spark, root, "status"):
@@ -112,12 +117,16 @@ def build_status(
         if types.get(flag) in ("int", "bigint"):  # a boolean holds nothing else
             outside = check_domain(rows, flag, (0, 1)).filter("violations > 0")
             require_none(outside, f"{flag} holds something else than 0 and 1")
-    append_rows(rows, root, "status")
     station = files.scan_layer(spark, root, "station")
+    unknown = settle(check_foreign_key(rows, station, "station_id", "station_id"))
+    if strict:
+        require_none(unknown, "a station of the captures is not in the station layer")
+    append_rows(rows, root, "status")
+    write_layer(unknown, root, "status_unknown")
     status = files.scan_layer(spark, root, "status")
     summary = status_summaries(status, station, tie=("capture_datetime",))
     write_layer(join_summary_geometry(summary, station), root, "status_summary")
-    return ["status", "status_summary"]
+    return ["status", "status_unknown", "status_summary"]
 
 
 def build_trips(
@@ -126,17 +135,23 @@ def build_trips(
     """Trip archives to trips by year, their stations, and yearly and all-year summaries.
 
     The archives are unpacked once, into a table that everything else reads. Trips are
-    loaded by source file: an archive that was loaded before adds nothing, any other adds
-    to what the years hold. Summaries are made from all stored trips.
+    loaded by source file: an archive that was loaded before adds nothing, one that has
+    changed since is replaced, any other adds to what the years hold. Summaries are made from all stored trips.
     """
-    trips = settle(files.scan_trips(spark, archives))
+    versions = files.file_versions(spark, archives).select("path", "source_version")
+    trips = files.scan_trips(spark, archives).join(versions, F.col("source_file") == F.col("path"), "left").drop("path")
+    trips = settle(trips)
     seen = project_points(stations_of_trips(trips), "lng", "lat")
     if _exists(spark, root, "trip_stations"):
         seen = anti_join_new(seen, files.scan_layer(spark, root, "trip_stations"), "station_id")
     seen = settle(seen)
     require_none(check_unique(seen, "station_id"), "a station of the trips stands twice")
     append_rows(seen, root, "trip_stations")
-    load_by_source(complete_trips(trips, ["source_file"]), root, "trips", "started_at")
+    known = files.scan_layer(spark, root, "trip_stations")
+    complete = complete_trips(trips, ["source_file", "source_version"])
+    for end in ("start_station_id", "end_station_id"):
+        require_none(check_foreign_key(complete, known, end, "station_id"), f"{end} of a trip is no station of the trips")
+    load_by_source(complete, root, "trips", "started_at", version="source_version")
     kept = files.scan_layer(spark, root, "trips")
     station = files.scan_layer(spark, root, "station")
     yearly = trips_summary_year(kept, station, years)

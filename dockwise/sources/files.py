@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import io
 import itertools
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,6 +79,21 @@ def scan_turnstiles(
     return unit_keys(parse_observed_at(rename_columns(named, TURNSTILE_RAW)))
 
 
+def file_versions(spark: SparkSession, glob: str) -> DataFrame:
+    """Rows (path, source_file, source_version) of the files under a path; nothing of them is read.
+
+    source_file is the whole path, as text, so files of one name in two folders are two;
+    source_version holds size and time of change.
+    """
+    listing = spark.read.format("binaryFile").load(glob)
+    stamp = F.unix_micros("_metadata.file_modification_time")
+    return listing.select(
+        "path",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.concat_ws(":", F.col("_metadata.file_size"), stamp).alias("source_version"),
+    )
+
+
 def scan_lookup(spark: SparkSession, path: str) -> DataFrame:
     """Remote to complex table; ids stay text, blanks are null."""
     return spark.read.schema(LOOKUP).option("header", True).option("nullValue", "").csv(path)
@@ -157,7 +173,7 @@ def unzip_largest(archives: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _harmonised(both: DataFrame) -> DataFrame:
-    return harmonize_mixed(both.withColumn("source_file", F.element_at(F.split("path", "/"), -1)), ["source_file"])
+    return harmonize_mixed(both.withColumnRenamed("path", "source_file"), ["source_file"])
 
 
 def trips_from_archives(archives: DataFrame) -> DataFrame:
@@ -256,44 +272,10 @@ def scan_raster(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("row", "col", "value")
 
 
-# The named character escapes that pages use.
-ESCAPES = {
-    "lt": "<",
-    "gt": ">",
-    "amp": "&",
-    "quot": '"',
-    "apos": "'",
-    "nbsp": "\u00a0",
-    "copy": "\u00a9",
-    "reg": "\u00ae",
-    "deg": "\u00b0",
-    "middot": "\u00b7",
-    "laquo": "\u00ab",
-    "raquo": "\u00bb",
-    "agrave": "\u00e0",
-    "aacute": "\u00e1",
-    "auml": "\u00e4",
-    "ccedil": "\u00e7",
-    "egrave": "\u00e8",
-    "eacute": "\u00e9",
-    "iacute": "\u00ed",
-    "ntilde": "\u00f1",
-    "oacute": "\u00f3",
-    "ouml": "\u00f6",
-    "uacute": "\u00fa",
-    "uuml": "\u00fc",
-    "szlig": "\u00df",
-    "ndash": "\u2013",
-    "mdash": "\u2014",
-    "lsquo": "\u2018",
-    "rsquo": "\u2019",
-    "ldquo": "\u201c",
-    "rdquo": "\u201d",
-    "bull": "\u2022",
-    "hellip": "\u2026",
-    "euro": "\u20ac",
-    "trade": "\u2122",
-}
+#: Escapes that make up most of what pages hold; they are looked up first.
+COMMON = "lt gt amp quot apos nbsp copy reg deg middot laquo raquo ndash mdash lsquo rsquo ldquo rdquo bull hellip".split()
+#: Named escapes and their characters, as the HTML standard lists them; those that need no semicolon are there with one too.
+ESCAPES = {name[:-1]: characters for name, characters in html5.items() if name.endswith(";")}
 ESCAPE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
@@ -315,9 +297,12 @@ def _character(escape: Column) -> Column:
               + F.shiftleft(F.shiftright(point, 12) % 64, 16)
               + F.shiftleft(F.shiftright(point, 6) % 64, 8) + (point % 64)),
     ]
-    named = F.create_map(*[F.lit(x) for pair in ESCAPES.items() for x in pair])
     numeric = F.decode(F.unhex(F.coalesce(*byte)), "UTF-8")
-    return F.when(escape.startswith("#"), numeric).otherwise(named[escape])
+    return F.when(escape.startswith("#"), numeric).otherwise(F.coalesce(_named(COMMON, escape), _named(ESCAPES, escape)))
+
+
+def _named(names: Iterable[str], escape: Column) -> Column:
+    return F.create_map(*[F.lit(x) for name in names for x in (name, ESCAPES[name])])[escape]
 
 
 def unescape(text: Column) -> Column:
@@ -325,6 +310,10 @@ def unescape(text: Column) -> Column:
 
     An escape that names no character stays as it is.
     """
+    return F.when(F.contains(text, F.lit("&")), _resolved(text)).otherwise(text)
+
+
+def _resolved(text: Column) -> Column:
     escapes = F.regexp_extract_all(text, F.lit(ESCAPE), F.lit(1))
     between = F.split(text, ESCAPE, -1)
     characters = F.transform(

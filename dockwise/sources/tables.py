@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dockwise.session import settle
+
 
 def write_layer(df: DataFrame, root: str, layer: str, mode: str = "overwrite") -> str:
     """Write a named layer and return its path."""
@@ -29,8 +31,8 @@ def append_rows(df: DataFrame, root: str, name: str) -> str:
     return write_layer(df, root, name, "append")
 
 
-def write_by_year(df: DataFrame, root: str, layer: str, ts_col: str) -> str:
-    """Write a table by year; only the years at hand are replaced.
+def write_by_year(df: DataFrame, root: str, layer: str, ts_col: str, whole: bool = False) -> str:
+    """Write a table by year; only the years at hand are replaced, or all where the rows are `whole`.
 
     Rows are rebalanced by year first: few files per year, and a year that is
     too big for one task is split.
@@ -40,7 +42,7 @@ def write_by_year(df: DataFrame, root: str, layer: str, ts_col: str) -> str:
         df.withColumn("year", F.year(ts_col))
         .hint("rebalance", "year")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy("year")
         .parquet(path)
     )
@@ -48,22 +50,58 @@ def write_by_year(df: DataFrame, root: str, layer: str, ts_col: str) -> str:
 
 
 def load_by_source(
-    df: DataFrame, root: str, layer: str, ts_col: str, source: str = "source_file"
+    df: DataFrame, root: str, layer: str, ts_col: str, source: str = "source_file", version: str | None = None
 ) -> str:
     """Add the rows of sources that the layer does not hold yet, by year.
 
-    A source is a raw file, named by a column. One that was loaded before adds
-    nothing, whatever years it reaches into, so loads may overlap and repeat and
-    every row is held once. A null source counts as one source.
+    A source is a raw file, named by a column, best by its whole path. One that was loaded
+    before adds nothing, whatever years it reaches into, so loads may overlap and repeat
+    and every row is held once. A null source counts as one source.
+
+    `version` is a column that changes with the file, such as its size and time. A source
+    that is held in another version has changed since: what the layer holds of it is
+    replaced. The new years are written aside first and then put in place of the old ones
+    by one job, whose commit publishes them together. The sources that are held follow
+    from the rows themselves, so no list can disagree with them after a load that broke off.
     """
     path = f"{root}/{layer}"
     spark = df.sparkSession
-    if layer_exists(spark, path):
-        held = spark.read.parquet(path).select(F.col(source).alias("_held")).distinct()
-        df = df.join(held, F.col(source).eqNullSafe(F.col("_held")), "left_anti")
-    df.withColumn("year", F.year(ts_col)).hint("rebalance", "year").write.mode("append").partitionBy(
-        "year"
-    ).parquet(path)
+    df = df.withColumn("year", F.year(ts_col))
+    if not layer_exists(spark, path):
+        df.hint("rebalance", "year").write.mode("append").partitionBy("year").parquet(path)
+        return path
+    held = spark.read.parquet(path)
+    if version is None or version not in held.columns:
+        known = held.select(F.col(source).alias("_held")).distinct()
+        fresh = df.join(known, F.col(source).eqNullSafe(F.col("_held")), "left_anti")
+    else:
+        known = settle(held.groupBy(F.col(source).alias("_held"), F.col(version).alias("_as"), "year").agg(F.lit(1).alias("_one")))
+        same = F.col(source).eqNullSafe(F.col("_held"))
+        # one row for each source and version, whatever the rows
+        given = settle(df.groupBy(source, version).agg(F.lit(1).alias("_one")).drop("_one"))
+        fresh = df.join(known, same & F.col(version).eqNullSafe(F.col("_as")), "left_anti")
+        old = settle(known.join(given, same & ~F.col(version).eqNullSafe(F.col("_as")), "left_semi"))
+        if not old.isEmpty():
+            return _replace(spark, held, fresh, old, path, source, version)
+    fresh.hint("rebalance", "year").write.mode("append").partitionBy("year").parquet(path)
+    return path
+
+
+def _replace(spark: SparkSession, held: DataFrame, fresh: DataFrame, old: DataFrame, path: str, source: str, version: str) -> str:
+    """Puts the years of the new rows, and of those that go, in place of what the layer holds of them."""
+    fresh = settle(fresh)
+    years = old.select("year").union(fresh.select("year")).distinct()
+    gone = old.select("_held", "_as").distinct()
+    stays = held.join(years, held["year"].eqNullSafe(years["year"]), "left_semi").join(
+        gone, F.col(source).eqNullSafe(F.col("_held")) & F.col(version).eqNullSafe(F.col("_as")), "left_anti"
+    )
+    staged = settle(stays.unionByName(fresh.select(held.columns)))
+    empty = years.join(staged.select(F.col("year").alias("_filled")).distinct(), F.col("year").eqNullSafe(F.col("_filled")), "left_anti")
+    mode = "dynamic"
+    if not empty.isEmpty():  # a year that holds nothing any more goes only with the whole table
+        rest = held.join(years, held["year"].eqNullSafe(years["year"]), "left_anti")
+        staged, mode = settle(rest.unionByName(staged)), "static"
+    staged.hint("rebalance", "year").write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("year").parquet(path)
     return path
 
 

@@ -125,6 +125,84 @@ def test_loads_add_up(spark, tmp_path):
     assert daily == sum(totals.values())
 
 
+def test_files_that_change_and_files_of_one_name(spark, tmp_path):
+    """A file that grew replaces what was held of it; a second file of its name in another folder is another file."""
+    (tmp_path / "lookup.csv").write_text("remote,booth,complex_id,station,line_name,division\nR1,A,7,59 ST,N,BMT\n")
+    (tmp_path / "stations.csv").write_text("Complex ID,GTFS Latitude,GTFS Longitude\n7,40.75,-73.99\n")
+    root = str(tmp_path / "out")
+
+    def file(folder, name, *reads, unit="00"):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        lines = [HEADER] + [f"A,R1,{unit},59 ST,N,BMT,{day},{hour}:00:00,REGULAR,{n},{n}" for day, hour, n in reads]
+        (tmp_path / folder / name).write_text("\n".join(lines) + "\n")
+
+    def load(folder):
+        b.build_turnstiles(
+            spark, str(tmp_path / folder), str(tmp_path / "lookup.csv"), str(tmp_path / "stations.csv"),
+            ["Complex ID", "GTFS Latitude", "GTFS Longitude"], root, [2020, 2021],
+        )
+        return rows(scan_layer(spark, root, "turnstile_observations"), "unit_id", "observed_at", "entries")
+
+    first = (("12/20/2020", "04", 10), ("12/20/2020", "08", 14))
+    file("a", "turnstile_201226.txt", *first)
+    file("a", "turnstile_210102.txt", ("01/01/2021", "04", 510))
+    seen = load("a")
+    assert [r[2] for r in seen] == [10, 14, 510] and load("a") == seen
+    file("a", "turnstile_201226.txt", *first, ("12/20/2020", "12", 20))
+    seen = load("a")
+    assert [r[2] for r in seen] == [10, 14, 20, 510] and load("a") == seen
+    file("b", "turnstile_201226.txt", *first, unit="01")
+    seen = load("b")
+    assert sorted(r[2] for r in seen) == [10, 10, 14, 14, 20, 510] and load("a") == load("b") == seen
+    # the only file of 2021 now tells of 2020: the year goes with its rows
+    file("a", "turnstile_210102.txt", ("12/31/2020", "04", 77))
+    seen = load("a")
+    assert sorted(r[2] for r in seen) == [10, 10, 14, 14, 20, 77]
+    assert {r.year for r in scan_layer(spark, root, "turnstile_reads").select("year").collect()} == {2020}
+
+
+def test_a_load_that_breaks_off_leaves_the_old_table(spark, tmp_path):
+    """Rows that fail while they are made anew, after part of them was written aside: the layer is as before."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    from dockwise.sources.tables import load_by_source
+
+    root = str(tmp_path)
+
+    def given(version, values, breaks=False):
+        df = spark.createDataFrame([("f", version, f"202{k}-01-01", v) for k, v in enumerate(values)], "source_file string, v string, t string, n long")
+        df = df.withColumn("at", F.col("t").cast("timestamp_ntz")).drop("t").repartition(3)
+        return df.withColumn("n", F.when(F.col("n") == 99, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("n"))) if breaks else df
+
+    def held():
+        return rows(scan_layer(spark, root, "x"), "source_file", "v", "n", "year")
+
+    load_by_source(given("1", [1, 2, 3]), root, "x", "at", version="v")
+    before = held()
+    with pytest.raises(Exception, match="broken"):
+        load_by_source(given("2", [4, 99, 6], breaks=True), root, "x", "at", version="v")
+    assert held() == before
+    load_by_source(given("2", [4, 5, 6]), root, "x", "at", version="v")
+    assert held() == [("f", "2", 4, 2020), ("f", "2", 5, 2021), ("f", "2", 6, 2022)]
+
+
+def test_unknown_stations_of_captures(spark, tmp_path):
+    import pytest
+
+    root = str(tmp_path / "out")
+    write_boundary(tmp_path / "boroughs.json")
+    b.build_boundaries(spark, str(tmp_path / "boroughs.json"), "boro_code string", root, "boroughs")
+    write_info(tmp_path / "info.json.gz")
+    b.build_stations(spark, str(tmp_path / "info.json.gz"), root, scan_layer(spark, root, "boroughs"))
+    write_captures(tmp_path / "captures", {"2023-03-06_07:45:30": [station("s", SEVEN), station("far", SEVEN), station("x", SEVEN)]})
+    with pytest.raises(ValueError, match="not in the station layer"):
+        b.build_status(spark, str(tmp_path / "captures"), root, strict=True)
+    b.build_status(spark, str(tmp_path / "captures"), root)
+    assert rows(scan_layer(spark, root, "status_unknown")) == [("far", 1), ("x", 1)]
+    assert scan_layer(spark, root, "status").count() == 3
+
+
 def test_crashes_and_comments(spark, tmp_path):
     root = str(tmp_path / "out")
     write_boundary(tmp_path / "b.json")
