@@ -158,6 +158,7 @@ def nearest_values(
     x: str = "x",
     y: str = "y",
     side: int = 64,
+    block: int = 100_000,
 ) -> DataFrame:
     """Values of the point nearest to each cell's centre; of equally near ones, the smallest key.
 
@@ -165,7 +166,9 @@ def nearest_values(
     cells bounds how far a tile of cells has to look: the nearest point lies no farther
     than the nearest occupied cell and a cell's diagonal. So every tile meets the points
     of the tiles within its bound, and no others. Points of one place count once, the
-    smallest key standing for them.
+    smallest key standing for them. A tile that meets more than `block` points deals them
+    to several tasks, which find the nearest of theirs for every cell; the nearest of these
+    is then the smallest in an aggregate by cell.
     """
     if not values:
         raise ValueError("at least one value is needed")
@@ -202,9 +205,15 @@ def nearest_values(
         {"_from_row": F.expr(f"row div {side}").cast("int"), "_from_col": F.expr(f"col div {side}").cast("int")}
     ).drop(*CELL)
     met = sources.join(wide, ["_from_row", "_from_col"])
+    tile = ["tile_row", "tile_col"]
+    # points that a tile meets, from a count for each tile of points
+    load = sources.groupBy("_from_row", "_from_col").agg(F.count(F.lit(1)).alias("_points"))
+    load = wide.join(load, ["_from_row", "_from_col"]).groupBy(*tile).agg(F.sum("_points").alias("_points"))
+    hot = load.filter(F.col("_points") > block).select(*tile, F.ceil(F.col("_points") / block).alias("_slots"))
     rows, cols, west, south = region.rows, region.cols, float(region.west), float(region.south)
+    key_type = placed.schema["_key"].dataType.simpleString()
 
-    def in_tile(tile: tuple, found: pd.DataFrame) -> pd.DataFrame:
+    def nearest_in(tile: tuple, found: pd.DataFrame) -> pd.DataFrame:
         found = found.sort_values("_key", kind="stable")
         px, py = found["_x"].to_numpy(), found["_y"].to_numpy()
         row = np.arange(tile[0] * side, min(rows, (tile[0] + 1) * side))
@@ -221,11 +230,16 @@ def nearest_values(
             least[closer], which[closer] = low[closer], nearest[closer] + at
         grid_row, grid_col = np.meshgrid(row, col, indexing="ij")
         chosen = which.ravel()
-        out = {"row": grid_row.ravel().astype("int32"), "col": grid_col.ravel().astype("int32")}
-        return pd.DataFrame(out | {n: found[n].to_numpy()[chosen] for n in names})
+        out = {"row": grid_row.ravel().astype("int32"), "col": grid_col.ravel().astype("int32"), "_d2": least.ravel()}
+        return pd.DataFrame(out | {n: found[n].to_numpy()[chosen] for n in ["_key", *names]})
 
     schema = ", ".join(["row int", "col int", *[f"{n} double" for n in names]])
-    result = met.groupBy("tile_row", "tile_col").applyInPandas(in_tile, schema)
+    plain = met.join(hot, tile, "left_anti").groupBy(*tile)
+    result = plain.applyInPandas(lambda key, found: nearest_in(key, found).drop(columns=["_d2", "_key"]), schema)
+    slots = met.join(hot, tile).withColumn("_slot", F.pmod(F.xxhash64("_x", "_y", "_key"), F.col("_slots")))
+    partial = slots.groupBy(*tile, "_slot").applyInPandas(nearest_in, f"row int, col int, _d2 double, _key {key_type}, " + ", ".join(f"{n} double" for n in names))
+    best = partial.groupBy(*CELL).agg(F.min(F.struct("_d2", "_key", *names)).alias("_best"))
+    result = result.unionByName(best.select(*CELL, *[F.col(f"_best.{n}").alias(n) for n in names]))
     return result.select(*CELL, *[F.col(n).alias(v) for n, v in zip(names, values)])
 
 
