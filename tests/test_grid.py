@@ -85,24 +85,6 @@ def test_nearest_value(spark, seed):
     np.testing.assert_allclose(got, frame.v.to_numpy()[np.argmin(squared, axis=0)])
 
 
-def test_nearest_value_of_a_hot_tile(spark):
-    """A tile with a third of all points is dealt to several tasks; ties across them take the smallest key."""
-    rng = np.random.default_rng(17)
-    region = g.Region(0.0, 0.0, 10.0, 40, 40)
-    x, y = rng.uniform(0, 400, 300), rng.uniform(0, 400, 300)
-    x[:100], y[:100] = rng.integers(40, 60, 100) / 2 * 2, rng.integers(40, 60, 100) / 2 * 2
-    rows_ = [(int(k), float(a), float(b), float(k % 7)) for k, (a, b) in enumerate(zip(x, y))]
-    points = spark.createDataFrame(rows_, "id int, x double, y double, v double")
-    want = []
-    for row in range(40):
-        for col in range(40):
-            cx, cy = (col + 0.5) * 10, (row + 0.5) * 10
-            want.append((row, col, min(((cx - a) * (cx - a) + (cy - b) * (cy - b), i, v) for i, a, b, v in rows_)[2]))
-    for block in (10, 60, 100_000):
-        got = d.nearest_values(points, ["v"], region, "id", side=8, block=block)
-        assert sorted(map(tuple, got.collect())) == sorted(want)
-
-
 def test_nearest_value_ties(spark):
     points = spark.createDataFrame([(2, 5.0, 5.0, 2.0), (1, 45.0, 5.0, 1.0)], "id int, x double, y double, v double")
     line = g.Region(0.0, 0.0, 10.0, 1, 5)
