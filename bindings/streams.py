@@ -20,7 +20,7 @@ def _stream(spark, sf, view) -> DataFrame:
 
 
 #: Parts that a feed arrives in, and files of a part.
-PARTS, FILES = 4, 3
+PARTS, FILES = 3, 4
 #: A row arrives up to half a day after its time, so none of them comes too late.
 DISORDER_HOURS, DELAY = 12, "1 day"
 
@@ -29,7 +29,7 @@ def _disordered(spark, sf, view, ts: str) -> DataFrame:
     """A bound view over the events as a feed out of order, and the row that flushes it.
 
     Every row arrives by a hash of its id up to DISORDER_HOURS after its time. What arrives
-    within a quarter of the events' time is a part of several files, read by one trigger.
+    within a third of the events' time is a part of several files, read by one trigger.
     """
     rows, source = view(table(spark, sf, "events")), work_dir(spark, "feed")
     late = F.pmod(F.xxhash64(rows.columns[0]), F.lit(DISORDER_HOURS * 3600))

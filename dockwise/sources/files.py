@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import itertools
+import json
 from collections.abc import Iterable, Iterator, Sequence
 from html.entities import html5
 
@@ -302,7 +303,8 @@ def _character(escape: Column) -> Column:
 
 
 def _named(names: Iterable[str], escape: Column) -> Column:
-    return F.create_map(*[F.lit(x) for name in names for x in (name, ESCAPES[name])])[escape]
+    # a text that the optimizer turns into one constant map, and not into thousands of literals
+    return F.from_json(F.lit(json.dumps({name: ESCAPES[name] for name in names})), "map<string,string>")[escape]
 
 
 def unescape(text: Column) -> Column:

@@ -65,6 +65,15 @@ def flush_rows(like: DataFrame, ts: str) -> DataFrame:
     )
 
 
+def _plain(column: pd.Series) -> list:
+    """Values as Python's own, null as None; whole numbers that came as floats, for their nulls, are whole again."""
+    if column.dtype.kind == "f":
+        return [None if v != v else int(v) for v in column.tolist()]
+    if column.dtype.kind in "iub":
+        return column.tolist()
+    return [None if v is None or v != v else v for v in column.tolist()]
+
+
 def _with_previous_in_state(
     stream: DataFrame, key: str, ts: str, tie: str, values: Sequence[str], delay: str
 ) -> DataFrame:
@@ -91,8 +100,7 @@ def _with_previous_in_state(
             *last, text = state.get
             waiting = json.loads(text)
         for batch in batches:
-            rows = batch[[tie, *held]].astype(object)
-            waiting += rows.where(rows.notna(), None).values.tolist()
+            waiting += [list(row) for row in zip(*[_plain(batch[c]) for c in (tie, *held)])]
         if group[0] is None:  # the row that `flush_rows` makes has its time and nothing else
             waiting = [w for w in waiting if not (w[1] == flush and w[0] is None and all(v is None for v in w[2:]))]
         passed = state.getCurrentWatermarkMs() * 1000
@@ -112,11 +120,10 @@ def _with_previous_in_state(
         if waiting:
             state.setTimeoutTimestamp(min(w[1] for w in waiting) // 1000 + 1)
         if out:
-            frame = pd.DataFrame(out, columns=[tie, *held, *previous]).astype(
-                {c: "Int64" for c in [*held, *previous]}
-            )
-            frame.insert(0, key, [group[0]] * len(frame))
-            yield frame
+            # object columns: there are many small groups, and typed ones cost each of them milliseconds
+            columns = [[group[0]] * len(out), *zip(*out)]
+            names = [key, tie, *held, *previous]
+            yield pd.DataFrame({n: pd.Series(c, dtype=object) for n, c in zip(names, columns)})
 
     kept = [f"{c} long" for c in held] + ["waiting string"]
     return narrow.groupBy(key).applyInPandasWithState(
