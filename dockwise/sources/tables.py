@@ -72,8 +72,7 @@ def load_by_source(
         return path
     held = spark.read.parquet(path)
     if version is None or version not in held.columns:
-        known = held.select(F.col(source).alias("_held")).distinct()
-        fresh = df.join(known, F.col(source).eqNullSafe(F.col("_held")), "left_anti")
+        fresh = _unknown(df, held, source)
     else:
         known = settle(held.groupBy(F.col(source).alias("_held"), F.col(version).alias("_as"), "year").agg(F.lit(1).alias("_one")))
         same = F.col(source).eqNullSafe(F.col("_held"))
@@ -87,11 +86,22 @@ def load_by_source(
     return path
 
 
+def _unknown(df: DataFrame, held: DataFrame, source: str) -> DataFrame:
+    """Rows whose source is not held.
+
+    The list of sources is written first: joins then know that it is short, so the rows are
+    not shuffled by source, which would put all rows of a source into one task.
+    """
+    known = settle(held.select(F.col(source).alias("_held")).distinct())
+    return df.join(known, F.col(source).eqNullSafe(F.col("_held")), "left_anti")
+
+
 def _replace(spark: SparkSession, held: DataFrame, fresh: DataFrame, old: DataFrame, path: str, source: str, version: str) -> str:
     """Puts the years of the new rows, and of those that go, in place of what the layer holds of them."""
     fresh = settle(fresh)
-    years = old.select("year").union(fresh.select("year")).distinct()
-    gone = old.select("_held", "_as").distinct()
+    # written, so that joins know that they are short and shuffle no rows by year or source
+    years = settle(old.select("year").union(fresh.select("year")).distinct())
+    gone = settle(old.select("_held", "_as").distinct())
     stays = held.join(years, held["year"].eqNullSafe(years["year"]), "left_semi").join(
         gone, F.col(source).eqNullSafe(F.col("_held")) & F.col(version).eqNullSafe(F.col("_as")), "left_anti"
     )

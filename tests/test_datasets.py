@@ -187,6 +187,32 @@ def test_a_load_that_breaks_off_leaves_the_old_table(spark, tmp_path):
     assert held() == [("f", "2", 4, 2020), ("f", "2", 5, 2021), ("f", "2", 6, 2022)]
 
 
+def test_a_load_deals_no_rows_by_source(spark, tmp_path):
+    """A layer far larger than a broadcast, of few sources: the rows to load meet the list where they lie."""
+    from pyspark.sql import functions as F
+
+    from dockwise.sources.tables import _unknown, load_by_source
+
+    def given(*sources):
+        df = spark.range(40_000).withColumn("at", F.expr("timestamp_ntz'2021-01-01 00:00:00'"))
+        named = F.element_at(F.array(*map(F.lit, sources)), (F.col("id") % len(sources) + 1).cast("int"))
+        return df.withColumn("source_file", named).withColumn("noise", F.rand(1))
+
+    root, key = str(tmp_path), "spark.sql.autoBroadcastJoinThreshold"
+    path = load_by_source(given("a", "b", None), root, "x", "at")
+    old = spark.conf.get(key)
+    spark.conf.set(key, "20KB")
+    try:
+        fresh = _unknown(given("b", "c", None), spark.read.parquet(path), "source_file")
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        load_by_source(given("b", "c", None), root, "x", "at")
+    finally:
+        spark.conf.set(key, old)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    counts = scan_layer(spark, root, "x").groupBy("source_file").count()
+    assert rows(counts) == [(None, 13_333), ("a", 13_334), ("b", 13_333), ("c", 13_333)]
+
+
 def test_unknown_stations_of_captures(spark, tmp_path):
     import pytest
 
