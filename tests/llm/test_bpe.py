@@ -79,3 +79,41 @@ def test_query(spark, sf_dir, library):
         want.add((doc["doc_id"], len(ids), sha(",".join(map(str, ids))), sha(decoded)))
     assert {tuple(r) for r in op1_bpe(spark, sf_dir).collect()} == want
     assert round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet"), default_path()).columns == ["doc_id", "ids", "text"]
+
+
+def test_narrow_pattern():
+    """Every character up to U+02AF, beside letters, numbers, spaces and marks, splits as the pattern says."""
+    import regex
+
+    from dockwise.llm.bpe import PATTERN, pieces_of
+
+    want = regex.compile(PATTERN).findall
+    for c in map(chr, range(0x2B2)):
+        for text in (c, "a" + c, c + "a", " " + c, c + " b", "1" + c, c + "1", c + c, f"  {c} .{c}", f"'{c}'s"):
+            assert pieces_of(text) == want(text)
+
+
+def test_many_texts_at_once(known):
+    """Texts coded together equal texts coded alone, ids that cut a character and empty texts included."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["", "The river", "été 漢\U0001f600", "", "<|endoftext|>x <|endoftext|>", "z" * 3000, ""]
+    for some in (texts, [""], ["", ""], []):
+        flat, ends = known.encode_all(some)
+        assert [flat[a:b].tolist() for a, b in zip(ends, ends[1:])] == [known.encode(t) for t in some]
+        assert known.decode_all(flat, ends).to_pylist() == some
+    flat, ends = known.encode_all(["a漢", "é漢"])
+    cut = np.array([0, 1, 2, len(flat) - 1])
+    got = known.decode_all(flat[:-1], cut)
+    assert got.type == pa.string() and got.to_pylist() == [known.decode(flat[a:b]) for a, b in zip(cut, cut[1:])]
+    assert any("�" in t for t in got.to_pylist())
+
+
+def test_texts_of_known_pieces_merge_nothing_again(known, monkeypatch):
+    """Pieces are remembered without what stands beside them: new neighbours cost no merge."""
+    known.encode_all(["red, green. blue; white!", "Red"])
+    asked = []
+    monkeypatch.setattr(known, "merge_many", lambda words: asked.extend(words) or [])
+    known.encode_all(["red; green, blue. white;", "red green! white."])
+    assert not asked
