@@ -150,3 +150,23 @@ def test_scores_do_not_depend_on_the_layout(spark, sf_dir, monkeypatch):
             assert score == pytest.approx(found[0][i][1], rel=1e-6)
     held = [found[0][i] for i in found[0] if zlib.crc32(str(i).encode()) % 7 == 2]
     assert sum(s for _, s in held) > sum(b for b, _ in held)
+
+
+def test_texts_split_together():
+    """Every white space and no other splits, A-Z alone are lowered, and each text has one end."""
+    import pyarrow as pa
+
+    texts = [" A\x0bb\x1cC d\x85e\tÀB  \r\n", "", " ", "one", " x Y z\x00", "KK İ ONE one", "\n\n a"]
+    for some in (texts, [], [""], ["a"]):
+        words, flat, n = lm.split(pa.array(some, pa.string()))
+        found = [words[int(k)].as_py().encode() for k in flat]
+        assert found == [w for t in some for w in lm.words_of(t)]
+        assert n.tolist() == [len(lm.words_of(t)) for t in some]
+
+
+def test_tokens_are_handled_in_arrow(spark):
+    """Counting takes whole batches of texts, not word by word in Python."""
+    df = spark.createDataFrame([(1, "a b A"), (2, None)], "doc_id long, text string")
+    counts = lm.count_tokens(df.select(lm.whole_text("text").alias("text")))
+    assert "MapInArrow" in counts._jdf.queryExecution().executedPlan().toString()
+    assert {r["word"]: r["c"] for r in counts.collect()} == {"a": 2, "b": 1, "": 2}
