@@ -170,3 +170,84 @@ def test_tokens_are_handled_in_arrow(spark):
     counts = lm.count_tokens(df.select(lm.whole_text("text").alias("text")))
     assert "MapInArrow" in counts._jdf.queryExecution().executedPlan().toString()
     assert {r["word"]: r["c"] for r in counts.collect()} == {"a": 2, "b": 1, "": 2}
+
+
+def test_every_hot_word_has_a_place():
+    """Ranked words beyond the softmax differ in the model both as inputs and as guesses, and all sums to one."""
+    n = 3000
+    lex = lm.lexicon([(f"w{i}", 4000 - i) for i in range(n)], 5 * 10**6)
+    assert len({(c, w) for c, w in zip(lex.classes, lex.words)}) == len(set(lex.inputs)) == n + 1
+    shape, rng = lex.shape, np.random.default_rng(4)
+    model = gru.Model(shape, shape.start(lex.class_log, lex.word_log, lex.count))
+    hidden = np.repeat(rng.normal(size=(gru.STATE, 1)).astype(np.float32), n + 1, axis=1)
+    began = model.log_probs(hidden, lex.classes, lex.words)
+    assert np.exp(began.astype(float)).sum() == pytest.approx(1, abs=1e-3)
+    # words of a tree begin with what their band shares
+    assert began[1500] - began[1600] == pytest.approx(math.log(2500 / 2400), abs=1e-3)
+    model.flat[:] += rng.normal(0, 0.5, shape.size)
+    logs = model.log_probs(hidden, lex.classes, lex.words)
+    assert np.exp(logs.astype(float)).sum() == pytest.approx(1, abs=1e-3)
+    # "2000 1100" and "2002 2900" alternate: the model learns which word follows which
+    docs = [np.array([2000, 1100] * 40, dtype=np.int32), np.array([2002, 2900] * 40, dtype=np.int32)] * 16
+    model = gru.Model(shape, shape.start(lex.class_log, lex.word_log, lex.count))
+    tokens = lm.Tokens(lex, docs, 8)
+
+    def score(doc):
+        t = lm.Tokens(lex, [np.array(doc, dtype=np.int32)])
+        return model.score(t.lanes, t.inputs, t.keep, t.classes, t.words).sum()
+
+    for _ in range(30):
+        model.learn(tokens.lanes, tokens.inputs, tokens.keep, tokens.classes, tokens.words)
+    assert score([2000, 1100] * 10) > score([2000, 2900] * 10) + 5
+    assert score([2002, 2900] * 10) > score([2002, 1100] * 10) + 5
+
+
+def test_gradient_of_trees():
+    rng = np.random.default_rng(0)
+    shape = gru.Shape(800, 16, 2, 800)
+    model = gru.Model(shape, shape.start(np.zeros(18), np.zeros((16, gru.PER_CLASS))))
+    model.flat = rng.normal(0, 0.3, shape.size)
+    model.p = shape.views(model.flat)
+    inputs, valid = rng.integers(0, 800, (gru.WINDOW, 5)), rng.random((gru.WINDOW, 5)) > 0.2
+    keep, ranks = (rng.random((gru.WINDOW, 5)) > 0.2).astype(float), rng.integers(500, 800, valid.shape)
+    classes, words = np.where(ranks < 512, 15, 16), np.where(ranks < 512, ranks % 32, ranks)
+    h = rng.normal(size=(gru.STATE, 5))
+    grad, _ = model.gradient(inputs, keep, valid, classes, words, h)
+
+    def loss():
+        out, _, _ = model.states(inputs, keep, h)
+        use = valid.ravel()
+        return -model.log_probs(out.reshape(gru.STATE, -1)[:, use], classes.ravel()[use], words.ravel()[use]).mean()
+
+    for k in [*rng.choice(np.flatnonzero(grad), 200), *rng.integers(0, shape.size, 50)]:
+        old = model.flat[k]
+        model.flat[k] = old + 1e-4
+        high = loss()
+        model.flat[k] = old - 1e-4
+        low = loss()
+        model.flat[k] = old
+        assert abs((high - low) / 2e-4 - grad[k]) < 1e-6
+
+
+def test_moves_are_averaged_over_the_shards_that_touched_them():
+    import pandas as pd
+
+    shape = gru.Shape(1300, 16, 3, 1300)
+    old = np.zeros(shape.size, dtype=np.float32)
+    one, two = old.copy(), old.copy()
+    shape.views(one)["E"][[3, 900]] = 1
+    shape.views(two)["E"][[3, 1299]] = 4
+    shape.views(two)["T"][1030, 16] = 0.5
+    one[5] = 3
+    rows = [r for new, n in ((one, 1), (two, 2)) for part in lm.moved(shape, old, new, n) for r in part]
+    frame = pd.DataFrame(sorted(rows), columns=["part", "at", "w", "n"])
+    got = old.copy()
+    for batch in lm.average(iter([frame[:2], frame[2:]])):
+        for part, at, w in batch.itertuples(index=False):
+            at = np.frombuffer(at, dtype=np.uint8).astype(int)
+            lm.matrices(shape, got)[part >> 24][(part & 0xFFFFFF) * lm.PART_ROWS + at] += np.frombuffer(w, dtype=np.float32).reshape(len(at), -1)
+    want = old.copy()
+    shape.views(want)["E"][[3, 900, 1299]] = [[3], [1], [4]]
+    shape.views(want)["T"][1030, 16] = 0.5
+    want[5] = 3
+    assert np.allclose(got, want)
