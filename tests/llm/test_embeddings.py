@@ -1,13 +1,17 @@
 """Embedding near-duplicates against brute force."""
 
 import math
+import os
 import random
+import threading
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from dockwise.llm import embeddings as e
 from dockwise.llm.embeddings import MultiIndex, near_vectors, op7_embeddings
+from dockwise.session import shared_root
 
 
 def brute(rows, threshold=0.98):
@@ -141,3 +145,63 @@ def test_links_of_small_groups_beside_a_large_one(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     got = {r["vec_id"]: r["n_links"] for r in near_vectors(df).collect()}
     assert [got[i] for i in range(len(rows))] == want
+
+
+def on_disk(spark):
+    """Bytes in shuffle files and in the shared folder."""
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    files = found.split("\n") if found else []
+    root = f"{shared_root(spark)}/dockwise/{spark.sparkContext.applicationId}".removeprefix("file://")
+    files += [f"{folder}/{name}" for folder, _, names in os.walk(root) for name in names]
+    return sum(os.path.getsize(f) for f in files if os.path.exists(f))
+
+
+def test_vectors_are_written_few_times(spark):
+    """Visits of many cells copy no vectors: disk stays within a few times the input."""
+    x = np.random.default_rng(9).normal(size=(24_000, 64)).astype("<f4")
+    frame = pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x.tolist(), "label": np.arange(len(x)) % 4})
+    rows = spark.createDataFrame(frame, "vec_id long, embedding array<float>, label int")
+    before, most, ended = on_disk(spark), [0], threading.Event()
+
+    def watch():
+        while not ended.wait(0.05):
+            most.append(on_disk(spark) - before)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        assert near_vectors(rows).filter("n_links = 0 AND kept").count() == len(x)
+    finally:
+        ended.set()
+        watcher.join()
+    assert 0 < max(most) < 8 * x.nbytes  # the sample, all of so small a table, is shuffled besides
+
+
+def test_blocks_and_pieces(spark, monkeypatch):
+    """Vectors lie in blocks of a few, which meet in smaller pieces; equal ones come from several partitions."""
+    rows = made(np.random.default_rng(10), 50, 16)
+    rows += [(1000 + i, v, label) for i, v, label in rows[:40]]
+    lay, link = e.lay_vectors, e.link_vectors
+    monkeypatch.setattr(e, "lay_vectors", lambda p, index, root: lay(p, index, root, block=13))
+    monkeypatch.setattr(e, "link_vectors", lambda b, index, t: link(b, index, t, block=5))
+    check(spark, rows)
+
+
+def test_dense_group_and_low_threshold(spark):
+    """Nearly all vectors of a label link; others do at a cosine that is met by chance."""
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=16)
+    rows = [(i, [float(np.float32(c)) for c in base + rng.normal(size=16) * 0.14], 0) for i in range(330)]
+    rows += [(400 + i, [float(np.float32(c)) for c in rng.normal(size=16)], 1) for i in range(150)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    for threshold in (0.98, 0.5):
+        got = near_vectors(df, threshold=threshold)
+        assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, threshold)
+
+
+def test_negative_zeros_and_equal_vectors_of_several_batches(spark):
+    """Zeros of either sign are equal; equal vectors of several partitions are one."""
+    rows = [(i, [0.0 if i % 2 else -0.0, 1.0, float(i % 3)], 0) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(7)
+    got = near_vectors(df, threshold=1.0).groupBy("component_id").count().collect()
+    assert sorted(tuple(r) for r in got) == [(0, 14), (1, 13), (2, 13)]
